@@ -1,0 +1,38 @@
+"""Cutting large groups into parts so that no task has to hold one whole."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from lanehouse.session import settle
+
+PART = "part"
+
+
+def with_part(
+    df: DataFrame, keys: Sequence[str], spread: Sequence[str], rows_per_part: int
+) -> DataFrame:
+    """Add ``part`` so that a group of ``keys`` and ``part`` holds about ``rows_per_part`` rows.
+
+    ``spread`` names columns that tell the rows of a group apart. Groups that fit stay whole in
+    part 0. The sizes of the larger ones are written first: there is at most one such group per
+    ``rows_per_part`` rows, and the planner sees the written size before it chooses the join.
+    """
+    parts = F.ceil(F.col("_rows") / rows_per_part).alias("_parts")
+    large = settle(
+        df.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .where(F.col("_rows") > rows_per_part)
+        .select(*(F.col(key).alias(f"_large_{key}") for key in keys), parts),
+        "large-groups",
+    )
+    same = reduce(and_, (df[key].eqNullSafe(large[f"_large_{key}"]) for key in keys))
+    part = F.when(F.col("_parts").isNull(), F.lit(0)).otherwise(
+        F.pmod(F.xxhash64(*(df[column] for column in spread)), F.col("_parts"))
+    )
+    return df.join(large, same, "left").select(*(df[c] for c in df.columns), part.alias(PART))
