@@ -122,10 +122,14 @@ def capacity_plan(
         )
         return F.when(total < total_cap, taken).otherwise(state)
 
-    steps = base.join(adding, cluster).select(
-        *cluster, F.aggregate("_adding", start, step, lambda state: state["steps"]).alias("_steps")
+    none_adding = F.array().cast("array<struct<queue: string, new_tasks: bigint>>")
+    state = base.join(adding, cluster, "left").select(
+        *cluster,
+        "_base",
+        F.aggregate(
+            F.coalesce("_adding", none_adding), start, step, lambda state: state["steps"]
+        ).alias("_steps"),
     )
-    state = base.join(steps, cluster, "left")
 
     here = F.col(queue)
     size = F.col("new_tasks")
