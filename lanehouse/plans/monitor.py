@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lanehouse.functions import columns as fn
@@ -34,7 +34,7 @@ def disk_usage(lines: DataFrame, volume: str, host: str = "host") -> DataFrame:
     )
 
 
-def quota_usage(texts: DataFrame, share: str | Column, text: str = "text") -> DataFrame:
+def quota_usage(texts: DataFrame, share: str, text: str = "text") -> DataFrame:
     """``(host, used, avail)`` from quota texts: the live line at or after the name of the share."""
     near = F.filter(
         context_of_text(F.col(text), share), lambda spot: spot["line"].contains(QUOTA_LINE)
@@ -83,5 +83,5 @@ def admin_summary(
     return merge_json(
         pipelines=as_document(status_counts(pipelines, pipeline, status)),
         seqruns=as_document(run_counts(runs, ts, kind)),
-        storage=as_document(storage_totals(usage)),
+        storage=as_document(storage_totals(usage).drop("used_share")),
     )
