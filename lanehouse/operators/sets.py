@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from functools import partial, reduce
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -83,5 +83,8 @@ def map_groups(
     A group of more than ``rows_per_part`` rows is passed in several frames, told apart by the
     column ``part``; the caller merges their results with an aggregate.
     """
+    def call(frame: pd.DataFrame) -> pd.DataFrame:
+        return fn(frame, **fixed)
+
     parted = with_part(df, keys, spread, rows_per_part)
-    return parted.groupBy(*keys, PART).applyInPandas(partial(fn, **fixed), schema)
+    return parted.groupBy(*keys, PART).applyInPandas(call, schema)

@@ -16,23 +16,26 @@ def carry_forward(
     order: str,
     carried: Sequence[str],
     span: int | None = 1 << 20,
+    block: str | None = None,
 ) -> DataFrame:
     """Fill each carried column with its latest known value up to and including the row.
 
     ``order`` is a whole number. A group may be of any length: it is cut into blocks of ``span``
     positions, blocks are filled on their own, and what a block inherits comes from the last known
-    values of the earlier ones, one row per block. ``span=None`` is for groups that are bounded
-    anyway, such as the lines of one text cell.
+    values of the earlier ones, one row per block. Where ``block`` names a column, such as the
+    offset of a file split, that column cuts the group and ``order`` counts within it.
+    ``span=None`` is for groups that are bounded anyway, such as the lines of one text cell.
     """
     group = list(group)
-    if span is None:
+    if span is None and block is None:
         upto = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
         return rows.withColumns(
             {c: F.last(c, ignorenulls=True).over(upto) for c in carried}
         )
-    block = [*group, "_block"]
-    blocked = rows.withColumn("_block", F.floor(F.col(order) / span))
-    ends = blocked.groupBy(*block).agg(
+    cut = F.floor(F.col(order) / span) if block is None else F.col(block)
+    blocked = rows.withColumn("_block", cut)
+    keys = [*group, "_block"]
+    ends = blocked.groupBy(*keys).agg(
         *(
             F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(f"_end_{c}")
             for c in carried
@@ -42,15 +45,15 @@ def carry_forward(
         Window.partitionBy(*group).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     )
     inherited = ends.select(
-        *block,
+        *keys,
         *(F.last(f"_end_{c}", ignorenulls=True).over(earlier).alias(f"_end_{c}") for c in carried),
     )
-    upto = Window.partitionBy(*block).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    upto = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     filled = {
         c: F.coalesce(F.last(c, ignorenulls=True).over(upto), F.col(f"_end_{c}")) for c in carried
     }
     return (
-        blocked.join(inherited, block)
+        blocked.join(inherited, keys)
         .withColumns(filled)
         .select(*rows.columns)
     )

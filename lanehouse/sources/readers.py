@@ -68,7 +68,7 @@ def split_line_scan(spark: SparkSession, path: str) -> DataFrame:
     A file is read in splits. ``block`` is the offset of the split and ``pos`` ascends within it, so
     the pair orders the lines of a file without counting the lines before.
     """
-    return spark.read.text(path).select(
+    return spark.read.option("lineSep", "\n").text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("pos"),

@@ -1 +1,177 @@
+"""Inputs, outputs and cohort lists, and functions mapped over groups."""
 
+from __future__ import annotations
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lanehouse.functions import columns as fn
+from lanehouse.operators import filters, sets
+from lanehouse.plans import collect
+from lanehouse.session import fresh_path
+from lanehouse.sources import readers, writers
+from lanehouse.sources.readers import scan
+from lanehouse.workload.registry import query
+
+INPUTS_SQL = """inputs AS (
+  SELECT l_orderkey AS sample, 'part' || l_partkey || '.' || l_linenumber || '.bam' AS bam
+  FROM lineitem WHERE l_partkey % 10 <> 0 AND l_returnflag <> 'N')"""
+
+
+def inputs(spark: SparkSession, folder: str) -> DataFrame:
+    """A file per line; some lines have no file, and some no sample."""
+    bam = F.concat_ws(".", F.concat(F.lit("part"), "l_partkey"), "l_linenumber", F.lit("bam"))
+    return scan(spark, folder, "lineitem").select(
+        F.when(F.col("l_returnflag") != "N", F.col("l_orderkey")).alias("sample"),
+        F.when(F.col("l_partkey") % 10 != 0, bam).alias("bam"),
+    )
+
+
+@query(
+    f"""
+    WITH {INPUTS_SQL}
+    SELECT sample, CAST(0 AS BIGINT) AS part, string_agg(bam, ',' ORDER BY bam) AS bams
+    FROM inputs GROUP BY sample
+    """
+)
+def collect_inputs(spark: SparkSession, folder: str) -> DataFrame:
+    collected = collect.collect_inputs(inputs(spark, folder), "sample", "bam")
+    return collected.withColumn("bams", F.concat_ws(",", "bams"))
+
+
+@query(
+    f"""
+    WITH {INPUTS_SQL}
+    SELECT '{{"sample_name":"s' || sample || '","unmapped_bams":['
+           || string_agg('"' || bam || '"', ',' ORDER BY bam) || ']}}' AS document
+    FROM inputs GROUP BY sample
+    """
+)
+def input_documents(spark: SparkSession, folder: str) -> DataFrame:
+    collected = collect.collect_inputs(inputs(spark, folder), "sample", "bam")
+    name = F.concat(F.lit("s"), F.col("sample").cast("string"))
+    return collected.select(fn.input_json(name, "bams").alias("document"))
+
+
+OUTPUT_VCF = "ExomeGermlineSingleSample.output_vcf"
+OUTPUT_CRAM = "ExomeGermlineSingleSample.output_cram"
+OUTPUT_MD5 = "ExomeGermlineSingleSample.output_cram_md5"
+
+
+def workflow_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Workflow metadata as JSON: paths, a number, a null and an output nobody asked for."""
+    vcf = F.when(
+        F.col("event_type") == "view", F.format_string('"%s":null,', F.lit(OUTPUT_VCF))
+    ).otherwise(F.format_string('"%s":"/work/%d/s.vcf.gz",', F.lit(OUTPUT_VCF), F.col("event_id")))
+    cram = F.when(
+        F.col("event_type") == "click", F.format_string('"%s":17,', F.lit(OUTPUT_CRAM))
+    ).otherwise(
+        F.format_string('"%s":"/work/%d.cram",', F.lit(OUTPUT_CRAM), F.col("event_id"))
+    )
+    document = F.concat(
+        F.format_string(
+            '{"inputs":{"sample_and_unmapped_bams":{"sample_name":"s%d"}},"outputs":{',
+            F.col("user_id"),
+        ),
+        vcf,
+        cram,
+        F.format_string('"%s":["/work/a.md5"],"other":"/work/other.txt"}}', F.lit(OUTPUT_MD5)),
+    )
+    return scan(spark, folder, "events").select(
+        "event_id", fn.parse_json(document, readers.WORKFLOW_METADATA).alias("metadata")
+    )
+
+
+@query(
+    f"""
+    SELECT event_id, 's' || user_id AS sample_name, '{OUTPUT_VCF}' AS output, 's.vcf.gz' AS file
+    FROM events WHERE event_type <> 'view'
+    UNION ALL
+    SELECT event_id, 's' || user_id, '{OUTPUT_CRAM}', event_id || '.cram'
+    FROM events WHERE event_type <> 'click'
+    """
+)
+def select_outputs(spark: SparkSession, folder: str) -> DataFrame:
+    return collect.select_outputs(workflow_documents(spark, folder), ["event_id"])
+
+
+COHORT_SQL = """SELECT 's' || event_id AS sample,
+       '/cohort/s' || event_id || '/' || event_id || '.g.vcf' AS gvcf FROM events"""
+
+
+def cohort(spark: SparkSession, folder: str) -> DataFrame:
+    """Sample documents, every other one inside a list."""
+    document = F.format_string(
+        '{"sample_name":"s%d","%s":"/run/%d.g.vcf"}',
+        F.col("event_id"), F.lit(collect.GVCF_OUTPUT), F.col("event_id"),
+    )
+    listed = F.when(F.col("event_id") % 2 == 0, document).otherwise(
+        F.concat(F.lit("["), document, F.lit(',{"sample_name":"later"}]'))
+    )
+    entries = scan(spark, folder, "events").select(F.parse_json(listed).alias("document"))
+    return collect.build_cohort_list(entries, "/cohort")
+
+
+@query(COHORT_SQL)
+def cohort_list(spark: SparkSession, folder: str) -> DataFrame:
+    return cohort(spark, folder)
+
+
+@query(COHORT_SQL)
+def cohort_tsv(spark: SparkSession, folder: str) -> DataFrame:
+    path = fresh_path(spark, "cohort")
+    writers.tsv_sink(cohort(spark, folder), path)
+    return spark.read.schema("sample string, gvcf string").csv(path, sep="\t")
+
+
+def count_long(frame: pd.DataFrame, limit: int) -> pd.DataFrame:
+    """One summary row of the documents of a source."""
+    return pd.DataFrame(
+        {
+            "source": [frame["source"].iloc[0]],
+            "documents": [len(frame)],
+            "long_documents": [int((frame["n_chars"] > limit).sum())],
+        }
+    )
+
+
+@query(
+    """
+    SELECT source, count(*) AS documents,
+           count(*) FILTER (n_chars > 1000) AS long_documents
+    FROM documents GROUP BY source
+    """
+)
+def mapped_groups(spark: SparkSession, folder: str) -> DataFrame:
+    documents = scan(spark, folder, "documents").select("doc_id", "source", "n_chars")
+    summaries = sets.map_groups(
+        documents,
+        ["source"],
+        count_long,
+        "source string, documents long, long_documents long",
+        spread=["doc_id"],
+        limit=1000,
+    )
+    return summaries.groupBy("source").agg(
+        F.sum("documents").alias("documents"), F.sum("long_documents").alias("long_documents")
+    )
+
+
+@query(
+    """
+    SELECT user_id, unnest([event_type, 'x' || user_id]) AS slide FROM events WHERE value > 20
+    """
+)
+def flat_slides(spark: SparkSession, folder: str) -> DataFrame:
+    other = F.concat(F.lit("x"), F.col("user_id").cast("string"))
+    runs = scan(spark, folder, "events").where("value > 20").select(
+        "user_id", F.array("event_type", other).alias("slides")
+    )
+    return sets.flatten_groups(runs, "slides", "slide")
+
+
+@query("SELECT event_id, user_id, value FROM events WHERE value > 5")
+def required_rows(spark: SparkSession, folder: str) -> DataFrame:
+    events = scan(spark, folder, "events").select("event_id", "user_id", "value")
+    return filters.require_rows(events.where("value > 5"), "no event above 5")

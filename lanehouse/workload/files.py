@@ -1 +1,137 @@
+"""Files: manifests, CSV and JSON round trips, digests of the table files themselves."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lanehouse.operators import joins, windows
+from lanehouse.plans import manifest
+from lanehouse.session import fresh_path
+from lanehouse.sources import readers, writers
+from lanehouse.sources.digests import file_md5
+from lanehouse.sources.readers import scan
+from lanehouse.workload.registry import query
+
+MANIFEST_SQL = """manifest AS (
+  SELECT md5(text) AS md5, 'results/' || source || '/' || doc_id || '.txt' AS path,
+         CAST(strlen(text) AS BIGINT) AS size, doc_id FROM documents),
+other AS (
+  SELECT CASE WHEN doc_id % 7 = 0 THEN md5('x' || doc_id) ELSE md5 END AS md5,
+         CASE WHEN doc_id % 11 = 0 THEN path || '.new' ELSE path END AS path, size
+  FROM manifest WHERE doc_id % 13 <> 0)"""
+
+
+def documents_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    path = F.concat(F.concat_ws("/", F.lit("results"), "source", "doc_id"), F.lit(".txt"))
+    documents = scan(spark, folder, "documents").select("doc_id", "text", path.alias("path"))
+    return manifest.manifest_of(documents, "path", "text")
+
+
+def other_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """A copy with changed, renamed and missing files."""
+    doc_id = F.regexp_extract("path", r"/(\d+)\.txt$", 1).cast("long")
+    changed = F.md5(F.concat(F.lit("x"), F.col("doc_id").cast("string")).cast("binary"))
+    return (
+        documents_manifest(spark, folder)
+        .withColumn("doc_id", doc_id)
+        .where(F.col("doc_id") % 13 != 0)
+        .select(
+            F.when(F.col("doc_id") % 7 == 0, changed).otherwise(F.col("md5")).alias("md5"),
+            F.when(F.col("doc_id") % 11 == 0, F.concat("path", F.lit(".new")))
+            .otherwise(F.col("path"))
+            .alias("path"),
+            "size",
+        )
+    )
+
+
+@query(f"WITH {MANIFEST_SQL} SELECT md5, path, size FROM manifest")
+def manifest_md5(spark: SparkSession, folder: str) -> DataFrame:
+    return documents_manifest(spark, folder)
+
+
+@query(f"WITH {MANIFEST_SQL} SELECT md5, path FROM manifest")
+def manifest_file(spark: SparkSession, folder: str) -> DataFrame:
+    path = fresh_path(spark, "manifest")
+    writers.manifest_sink(documents_manifest(spark, folder), path)
+    return manifest.manifest_read(spark, path)
+
+
+@query(
+    f"""
+    WITH {MANIFEST_SQL}
+    SELECT path, CASE WHEN o.path IS NULL THEN 'MISSING' WHEN m.path IS NULL THEN 'EXTRA'
+                      WHEN m.md5 = o.md5 THEN 'OK' ELSE 'MISMATCH' END AS verdict
+    FROM manifest m FULL JOIN other o USING (path)
+    """
+)
+def manifest_verify(spark: SparkSession, folder: str) -> DataFrame:
+    return joins.manifest_verify(
+        documents_manifest(spark, folder), other_manifest(spark, folder)
+    )
+
+
+@query(
+    f"""
+    WITH {MANIFEST_SQL}
+    SELECT m.md5, m.path, m.size FROM manifest m LEFT JOIN other o ON o.path = m.path
+    WHERE o.path IS NULL OR o.md5 <> m.md5 OR o.size <> m.size
+    """
+)
+def manifest_todo(spark: SparkSession, folder: str) -> DataFrame:
+    return joins.manifest_todo(documents_manifest(spark, folder), other_manifest(spark, folder))
+
+
+@query(
+    f"""
+    WITH {MANIFEST_SQL}
+    SELECT path, md5, size, ntile(50) OVER (ORDER BY path) AS chunk FROM manifest
+    """
+)
+def checksum_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    return manifest.checksum_chunks(documents_manifest(spark, folder))
+
+
+@query()
+def md5_files(spark: SparkSession, folder: str) -> DataFrame:
+    return file_md5(spark, folder)
+
+
+@query("SELECT s_name AS pool_name, CAST(s_suppkey % 20 AS INTEGER) AS slots FROM supplier")
+def csv_scan(spark: SparkSession, folder: str) -> DataFrame:
+    path = fresh_path(spark, "pools")
+    pools = scan(spark, folder, "supplier").select(
+        F.col("s_name").alias("pool_name"), (F.col("s_suppkey") % 20).alias("slots")
+    )
+    writers.write_new(pools, path, "csv", header=True)
+    return readers.csv_scan(spark, path, readers.POOLS)
+
+
+@query("SELECT c_custkey, c_name, c_mktsegment FROM customer")
+def json_sink(spark: SparkSession, folder: str) -> DataFrame:
+    path = fresh_path(spark, "customers")
+    customer = scan(spark, folder, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    writers.json_sink(customer, path)
+    schema = "c_custkey long, c_name string, c_mktsegment string"
+    return readers.json_scan(spark, path, schema, multiline=False)
+
+
+@query(
+    """
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents
+    """
+)
+def report_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents written below each other into text files, each after a line with its id.
+
+    The files are read in splits of any size and every line gets the id last seen above it.
+    """
+    path = fresh_path(spark, "reports")
+    cell = F.concat(F.lit("Document Id: "), F.col("doc_id").cast("string"), F.lit("\n"), "text")
+    scan(spark, folder, "documents").select(cell.alias("value")).write.text(path)
+    lines = readers.split_line_scan(spark, path)
+    doc_id = F.regexp_extract("line", r"^Document Id: (\d+)$", 1)
+    marked = lines.withColumn("doc_id", F.nullif(doc_id, F.lit("")).cast("long"))
+    filled = windows.carry_forward(marked, ["file"], "pos", ["doc_id"], block="block")
+    return filled.where(doc_id == "").select("doc_id", "line")
