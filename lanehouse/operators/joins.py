@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lanehouse.functions import columns as fn
@@ -14,15 +14,16 @@ from lanehouse.functions import columns as fn
 def update_tracked(target: DataFrame, source: DataFrame, key: str, tracked: str) -> DataFrame:
     """The target with its tracked column taken from the source where both are known and differ.
 
-    A key that the source holds twice fails the job, as the result would be undefined. Grouping the
-    source by the join key adds no shuffle: the join uses the same partitioning.
+    A key that the source holds twice and the target holds as well fails the job, as the result
+    would be undefined. Numbering the source within its key shuffles and sorts it the way the join
+    needs it, so the check adds neither.
     """
-    value = F.when(
-        F.count(F.lit(1)) > 1,
-        F.raise_error(F.concat(F.lit(f"source repeats {key} "), F.col(key).cast("string"))),
-    ).otherwise(F.max(tracked))
+    nth = F.row_number().over(Window.partitionBy(key).orderBy(key))
+    repeated = F.raise_error(F.concat(F.lit(f"source repeats {key} "), F.col(key).cast("string")))
     latest = (
-        source.where(F.col(key).isNotNull()).groupBy(key).agg(value.alias("_latest"))
+        source.where(F.col(key).isNotNull())
+        .select(key, F.col(tracked).alias("_tracked"), nth.alias("_nth"))
+        .select(key, F.when(F.col("_nth") > 1, repeated).otherwise(F.col("_tracked")).alias("_latest"))
     )
     renewed = F.when(fn.changed(F.col(tracked), F.col("_latest")), F.col("_latest")).otherwise(
         F.col(tracked)
@@ -40,12 +41,11 @@ def anti_not_in(df: DataFrame, column: str, values: DataFrame, value: str) -> Da
     and split; the null-aware join of the planner would broadcast the values whatever their number.
     """
     known = values.select(F.col(value).alias("_value")).distinct()
+    unknown = F.count_if(F.col("_value").isNull())
     facts = known.agg(
-        F.count(F.lit(1)).alias("_all"), F.count_if(F.col("_value").isNull()).alias("_nulls")
-    )
-    no_values = facts.select(F.col("_all") == 0).scalar()
-    no_nulls = facts.select(F.col("_nulls") == 0).scalar()
-    possible = df.where(no_nulls & (F.col(column).isNotNull() | no_values))
+        F.struct((F.count(F.lit(1)) == 0).alias("none"), (unknown == 0).alias("all_known"))
+    ).scalar()
+    possible = df.where(facts["all_known"] & (F.col(column).isNotNull() | facts["none"]))
     return possible.join(
         known.where(F.col("_value").isNotNull()), F.col(column) == F.col("_value"), "left_anti"
     )

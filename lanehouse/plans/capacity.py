@@ -8,11 +8,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lanehouse.functions import columns as fn
-from lanehouse.operators.aggregates import active_by_queue
+from lanehouse.operators.aggregates import ACTIVE_STATES, QUEUED_STATE
 from lanehouse.operators.filters import keep_any, keep_prefix
-from lanehouse.operators.joins import with_active, with_config
+from lanehouse.operators.joins import with_config
 from lanehouse.operators.sets import append_when, expand_by_count
 from lanehouse.operators.windows import carry_forward
+from lanehouse.session import settle
 
 # Fixed values
 MAX_WORKERS_PER_QUEUE = 10
@@ -39,13 +40,17 @@ def job_records(
     Only the three kinds of lines are kept, and of those only the value, before anything is
     shuffled. A record counts when any of its fields contains ``text``.
     """
-    value = fn.field("line", VALUE_FIELD)
-    kept = keep_any(lines, "line", [JOB_ID_LINE, JOB_NAME_LINE, JOB_STATE_LINE]).select(
-        *group,
-        order,
-        F.when(F.col("line").startswith(JOB_ID_LINE), value).alias("job_id"),
-        F.when(F.col("line").contains(JOB_NAME_LINE), value).alias("job_name"),
-        F.when(F.col("line").contains(JOB_STATE_LINE), value).alias("job_state"),
+    value = F.col("_value")
+    kept = (
+        keep_any(lines, "line", [JOB_ID_LINE, JOB_NAME_LINE, JOB_STATE_LINE])
+        .withColumn("_value", fn.field("line", VALUE_FIELD))
+        .select(
+            *group,
+            order,
+            F.when(F.col("line").startswith(JOB_ID_LINE), value).alias("job_id"),
+            F.when(F.col("line").contains(JOB_NAME_LINE), value).alias("job_name"),
+            F.when(F.col("line").contains(JOB_STATE_LINE), value).alias("job_state"),
+        )
     )
     filled = carry_forward(kept, group, order, ["job_id", "job_name"], span)
     record = [F.coalesce(c, F.lit("")).alias(c) for c in ("job_id", "job_name")]
@@ -56,6 +61,30 @@ def job_records(
     )
 
 
+def queue_states(waiting: DataFrame, active: DataFrame, on: Sequence[str]) -> DataFrame:
+    """One row per queue that waits or is busy: waiting (NULL if it does not), active and queued.
+
+    The two inputs are stacked and summed together, one shuffle in place of a join.
+    """
+    none = F.lit(0).cast("long")
+    asks = waiting.select(
+        *on, F.col("waiting").cast("long").alias("waiting"), none.alias("active"), none.alias("queued")
+    )
+    state = F.col("state")
+    jobs = F.col("n").cast("long")
+    busy = active.where(state.isin(ACTIVE_STATES)).select(
+        *on,
+        F.lit(None).cast("long").alias("waiting"),
+        jobs.alias("active"),
+        F.when(state == QUEUED_STATE, jobs).otherwise(none).alias("queued"),
+    )
+    return (
+        asks.unionByName(busy)
+        .groupBy(*on)
+        .agg(*(F.sum(c).alias(c) for c in ("waiting", "active", "queued")))
+    )
+
+
 def capacity_plan(
     waiting: DataFrame,
     active: DataFrame,
@@ -74,23 +103,20 @@ def capacity_plan(
     Such a request of w workers can be admitted only among the first ``total_cap / w`` of its size:
     either those fill the cap, or one of them was refused, after which the total never falls again.
     So a bounded list per cluster is folded to the steps of the total, and every queue, however
-    many there are, is then decided on its own against these steps.
+    many there are, is then decided on its own against these steps. What is known per queue is
+    written once, as three parts of the plan read it and the inputs may be costly to derive.
     """
     cluster = list(cluster)
     on = [*cluster, queue]
-    busy = active_by_queue(active, on)
-    base = busy.groupBy(*cluster).agg(F.sum("active").cast("long").alias("_base"))
+    known = settle(queue_states(waiting, active, on), "queues")
+    base = known.groupBy(*cluster).agg(F.sum("active").cast("long").alias("_base"))
 
     capped = fn.capped("waiting", per_queue_cap).cast("long")
     beyond = (F.col("active") > 0) & (capped > F.col("active"))
-    asked = (
-        with_active(waiting, busy, on)
-        .where(F.col("queued") < 1)
-        .select(
-            *on,
-            F.when(beyond, capped - F.col("active")).otherwise(capped).alias("new_tasks"),
-            ((F.col("active") > 0) & (capped > 0)).alias("_adds"),
-        )
+    asked = known.where(F.col("waiting").isNotNull() & (F.col("queued") < 1)).select(
+        *on,
+        F.when(beyond, capped - F.col("active")).otherwise(capped).alias("new_tasks"),
+        ((F.col("active") > 0) & (capped > 0)).alias("_adds"),
     )
 
     of_size = Window.partitionBy(*cluster, "new_tasks").orderBy(queue)
@@ -135,9 +161,9 @@ def capacity_plan(
     size = F.col("new_tasks")
     total = F.coalesce(F.col("_base"), F.lit(0).cast("long"))
     no_steps = F.array().cast("array<struct<queue: string, total: bigint>>")
-    known = F.coalesce(F.col("_steps"), no_steps)
-    is_step = F.exists(known, lambda s: s["queue"] == here)
-    full = F.exists(known, lambda s: (s["queue"] < here) & (s["total"] + size >= total_cap))
+    steps = F.coalesce(F.col("_steps"), no_steps)
+    is_step = F.exists(steps, lambda s: s["queue"] == here)
+    full = F.exists(steps, lambda s: (s["queue"] < here) & (s["total"] + size >= total_cap))
     admitted = F.when(F.col("_adds"), is_step).otherwise((total + size < total_cap) & ~full)
     return asked.join(state, cluster, "left").where(admitted).select(*on, "new_tasks")
 
@@ -148,18 +174,19 @@ def idle_workers(
     """Ids of workers without jobs that serve neither the base queue nor a needed one.
 
     ``workers`` has ``worker_id``, ``active_jobs`` and the array ``queues``; ``needed`` has
-    ``queue``. Workers of needed queues are found through the queues they serve, so the needed
-    queues may be any number.
+    ``queue``. The queues a worker serves meet the needed ones row by row, so there may be any
+    number of either, and the workers are read once.
     """
-    free = workers.where(
-        (F.col("active_jobs") == 0) & ~fn.contains("queues", F.lit(base_queue))
-    ).select("worker_id", "queues")
-    wanted = (
-        free.select("worker_id", F.explode("queues").alias("queue"))
-        .join(needed.select("queue"), "queue", "left_semi")
+    free = workers.where((F.col("active_jobs") == 0) & ~fn.contains("queues", F.lit(base_queue)))
+    wanted = needed.select("queue").distinct().withColumn("_wanted", F.lit(True))
+    return (
+        free.select("worker_id", F.explode_outer("queues").alias("queue"))
+        .join(wanted, "queue", "left")
+        .groupBy("worker_id")
+        .agg(F.count("_wanted").alias("_wanted"))
+        .where(F.col("_wanted") == 0)
         .select("worker_id")
     )
-    return free.select("worker_id").join(wanted, "worker_id", "left_anti")
 
 
 def worker_cleanup(
