@@ -74,17 +74,20 @@ def after_context(
 
 def context_of_text(text: Column, word: str, n: int = 1) -> Column:
     """The same within one text: an array of (pos, line) for whole-word matches and what follows."""
-    lines = fn.text_lines(text)
-    spots = F.transform(
-        lines, lambda line, pos: F.struct(pos.alias("pos"), line.alias("line"))
-    )
 
-    def near(spot: Column) -> Column:
-        start = F.greatest(spot["pos"] - n, F.lit(0))
-        reach = F.slice(lines, start + 1, spot["pos"] - start + 1)
-        return F.exists(reach, lambda line: fn.has_word(line, word))
+    def spots(lines: Column) -> Column:
+        def near(spot: Column) -> Column:
+            start = F.greatest(spot["pos"] - n, F.lit(0))
+            reach = F.slice(lines, start + 1, spot["pos"] - start + 1)
+            return F.exists(reach, lambda line: fn.has_word(line, word))
+
+        numbered = F.transform(
+            lines, lambda line, pos: F.struct(pos.alias("pos"), line.alias("line"))
+        )
+        return F.filter(numbered, near)
 
-    return F.filter(spots, near)
+    # the text is split once: inside the lambda the lines are a value, not an expression
+    return F.flatten(F.transform(F.array(fn.text_lines(text)), spots))
 
 
 def index_within(df: DataFrame, parents: Sequence[str], column: str, as_column: str) -> DataFrame:
