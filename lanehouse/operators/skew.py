@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lanehouse.operators.keys import join_null_safe
 from lanehouse.session import settle
 
 PART = "part"
@@ -28,11 +27,10 @@ def with_part(
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .where(F.col("_rows") > rows_per_part)
-        .select(*(F.col(key).alias(f"_large_{key}") for key in keys), parts),
+        .select(*keys, parts),
         "large-groups",
     )
-    same = reduce(and_, (df[key].eqNullSafe(large[f"_large_{key}"]) for key in keys))
     part = F.when(F.col("_parts").isNull(), F.lit(0)).otherwise(
-        F.pmod(F.xxhash64(*(df[column] for column in spread)), F.col("_parts"))
+        F.pmod(F.xxhash64(*spread), F.col("_parts"))
     )
-    return df.join(large, same, "left").select(*(df[c] for c in df.columns), part.alias(PART))
+    return join_null_safe(df, large, keys).withColumn(PART, part).drop("_parts")

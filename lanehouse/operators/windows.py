@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lanehouse.functions import columns as fn
+from lanehouse.operators.keys import join_null_safe
+from lanehouse.session import settle
 
 
 def carry_forward(
@@ -17,44 +19,43 @@ def carry_forward(
     carried: Sequence[str],
     span: int | None = 1 << 20,
     block: str | None = None,
+    keep: Column | None = None,
 ) -> DataFrame:
     """Fill each carried column with its latest known value up to and including the row.
 
     ``order`` is a whole number. A group may be of any length: it is cut into blocks of ``span``
-    positions, blocks are filled on their own, and what a block inherits comes from the last known
-    values of the earlier ones, one row per block. Where ``block`` names a column, such as the
-    offset of a file split, that column cuts the group and ``order`` counts within it.
+    positions, or where ``block`` names a column, such as the offset of a file split, by that column,
+    with ``order`` counting within it. Blocks are filled on their own with one shuffle and written;
+    what a block inherits comes from the last rows of the earlier ones, one row per block.
     ``span=None`` is for groups that are bounded anyway, such as the lines of one text cell.
+    ``keep`` tells the rows to return, if not all; it must not look at a carried column.
     """
     group = list(group)
-    if span is None and block is None:
-        upto = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-        return rows.withColumns(
-            {c: F.last(c, ignorenulls=True).over(upto) for c in carried}
-        )
-    cut = F.floor(F.col(order) / span) if block is None else F.col(block)
-    blocked = rows.withColumn("_block", cut)
-    keys = [*group, "_block"]
-    ends = blocked.groupBy(*keys).agg(
-        *(
-            F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(f"_end_{c}")
-            for c in carried
-        )
-    )
+    keep = F.lit(True) if keep is None else F.coalesce(keep, F.lit(False))
+    whole = span is None and block is None
+    cut = F.col(block) if block is not None else F.floor(F.col(order) / (span or 1))
+    keys = group if whole else [*group, "_block"]
+    place = Window.partitionBy(*keys).orderBy(order)
+    upto = place.rowsBetween(Window.unboundedPreceding, 0)
+    fill = {c: F.last(c, ignorenulls=True).over(upto) for c in carried}
+    if whole:
+        return rows.withColumns(fill).where(keep)
+    ends_block = F.lead(F.lit(True)).over(place).isNull()
+    filled = rows.withColumn("_block", cut).withColumns(fill | {"_ends_block": ends_block})
+    blocks = settle(filled.where(keep | F.col("_ends_block")), "blocks")
     earlier = (
         Window.partitionBy(*group).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     )
-    inherited = ends.select(
-        *keys,
-        *(F.last(f"_end_{c}", ignorenulls=True).over(earlier).alias(f"_end_{c}") for c in carried),
+    inherited = settle(
+        blocks.where("_ends_block").select(
+            *keys,
+            *(F.last(c, ignorenulls=True).over(earlier).alias(f"_inherited_{c}") for c in carried),
+        ),
+        "block-starts",
     )
-    upto = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    filled = {
-        c: F.coalesce(F.last(c, ignorenulls=True).over(upto), F.col(f"_end_{c}")) for c in carried
-    }
     return (
-        blocked.join(inherited, keys)
-        .withColumns(filled)
+        join_null_safe(blocks.where(keep), inherited, keys)
+        .withColumns({c: F.coalesce(F.col(c), F.col(f"_inherited_{c}")) for c in carried})
         .select(*rows.columns)
     )
 

@@ -38,8 +38,7 @@ def job_records(
     """One record per state line of a job report, with the id and name last seen above it.
 
     Only the three kinds of lines are kept, and of those only the value, before anything is
-    shuffled; unless ``span`` is None they are written, so that the reports are read once. A record
-    counts when any of its fields contains ``text``.
+    shuffled. A record counts when any of its fields contains ``text``.
     """
     value = F.col("_value")
     kept = (
@@ -53,13 +52,11 @@ def job_records(
             F.when(F.col("line").contains(JOB_STATE_LINE), value).alias("job_state"),
         )
     )
-    if span is not None:
-        kept = settle(kept, "job-lines")
-    filled = carry_forward(kept, group, order, ["job_id", "job_name"], span)
+    states = F.col("job_state").isNotNull()
+    filled = carry_forward(kept, group, order, ["job_id", "job_name"], span, keep=states)
     record = [F.coalesce(c, F.lit("")).alias(c) for c in ("job_id", "job_name")]
     return (
-        filled.where(F.col("job_state").isNotNull())
-        .select(*group, order, *record, "job_state")
+        filled.select(*group, order, *record, "job_state")
         .where(fn.row_contains(["job_id", "job_name", "job_state"], text))
     )
 
