@@ -1 +1 @@
-"""Spark operators for the data side of running a sequencing facility."""
+"""Spark operators for the data side of running a data-producing facility."""

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lanehouse.functions import columns as fn
 from lanehouse.operators.skew import PART, with_part
 
 # Fixed values
@@ -42,9 +43,7 @@ def last_per_group(
 
 def queue_depth(messages: DataFrame, queue: str = "queue") -> DataFrame:
     """Waiting messages per queue; the broker's own queues are left out."""
-    own = reduce(
-        lambda a, b: a | b, (F.col(queue).startswith(p) for p in PRIVATE_QUEUE_PREFIXES)
-    )
+    own = fn.starts_with_any(queue, PRIVATE_QUEUE_PREFIXES)
     return messages.where(~own).groupBy(queue).agg(F.count(F.lit(1)).alias("waiting"))
 
 
@@ -105,7 +104,7 @@ def collect_values(
 
 def active_count(workers: DataFrame, active: str, as_column: str = "active_jobs") -> DataFrame:
     """Number of entries in each worker's array of jobs; 0 when the array is missing."""
-    return workers.withColumn(as_column, F.coalesce(F.size(active), F.lit(0)).cast("long"))
+    return workers.withColumn(as_column, F.coalesce(fn.array_length(active), F.lit(0)).cast("long"))
 
 
 def unique_queues(df: DataFrame, value: str, order: str, queue: str = "queue") -> DataFrame:

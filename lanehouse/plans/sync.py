@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lanehouse.functions import columns as fn
+from lanehouse.operators.aggregates import max_or_zero
 from lanehouse.operators.filters import above_watermark
 from lanehouse.operators.joins import update_tracked
 
@@ -92,10 +93,11 @@ def incremental_sync(
     """The target after the load and the refresh.
 
     A loaded row holds the tracked value of the source already, so only the former target is
-    joined for the refresh.
+    joined for the refresh, and only with source rows up to the watermark.
     """
     loaded = new_rows(source, target, key, columns, timestamps)
-    refreshed = update_tracked(target.select(*columns), source, key, tracked)
+    known = source.where(F.col(key) <= max_or_zero(target, key).scalar())
+    refreshed = update_tracked(target.select(*columns), known, key, tracked)
     return refreshed.unionByName(loaded)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lanehouse.functions import columns as fn
+from lanehouse.operators.aggregates import active_count
 
 # Documents and files read by the jobs
 JOB_DUMP = "Jobs map<string, struct<Job_Name: string, job_state: string>>"
@@ -86,12 +87,11 @@ def job_dump(documents: DataFrame, column: str = "value") -> DataFrame:
 
 def worker_list(documents: DataFrame, column: str = "value") -> DataFrame:
     """``(worker_id, active_jobs, queues)`` rows of worker replies held as JSON text."""
-    return documents.select(
+    workers = documents.select(
         F.explode(F.from_json(column, WORKER_REPLY)).alias("worker_id", "worker")
-    ).select(
-        "worker_id",
-        F.coalesce(F.size("worker.active"), F.lit(0)).cast("long").alias("active_jobs"),
-        fn.names("worker.active_queues").alias("queues"),
+    )
+    return active_count(workers, "worker.active").select(
+        "worker_id", "active_jobs", fn.names("worker.active_queues").alias("queues")
     )
 
 

@@ -43,7 +43,7 @@ steps AS (
 plan AS (SELECT cluster, queue, new_tasks FROM steps WHERE admitted)"""
 CONF_SQL = """conf AS (
   SELECT 'hpc_' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS queue,
-         'select=1:ncpus=' || (n_regionkey + 1) AS pbs_resource, lower(n_name) AS airflow_queue
+         'select=1:ncpus=' || (n_regionkey + 1) AS pbs_resource, lower(n_name) AS worker_queue
   FROM nation WHERE n_regionkey <> 4)"""
 
 
@@ -91,7 +91,7 @@ def queue_conf(spark: SparkSession, folder: str) -> DataFrame:
             F.concat(
                 F.lit("select=1:ncpus="), (F.col("n_regionkey") + 1).cast("string")
             ).alias("pbs_resource"),
-            F.lower("n_name").alias("airflow_queue"),
+            F.lower("n_name").alias("worker_queue"),
         )
     )
 
@@ -153,7 +153,7 @@ def capacity_plan(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     f"""
     WITH RECURSIVE {PLAN_SQL}, {CONF_SQL}
-    SELECT cluster, queue, new_tasks, pbs_resource, airflow_queue, unnest(range(1, new_tasks + 1)) AS task
+    SELECT cluster, queue, new_tasks, pbs_resource, worker_queue, unnest(range(1, new_tasks + 1)) AS task
     FROM plan JOIN conf USING (queue)
     """
 )
@@ -164,7 +164,7 @@ def task_expansion(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     f"""
     WITH RECURSIVE {PLAN_SQL}, {CONF_SQL}
-    SELECT cluster, queue, new_tasks, pbs_resource, airflow_queue, CAST(1 AS BIGINT) AS task
+    SELECT cluster, queue, new_tasks, pbs_resource, worker_queue, CAST(1 AS BIGINT) AS task
     FROM plan JOIN conf USING (queue)
     """
 )

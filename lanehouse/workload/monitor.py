@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lanehouse.operators import aggregates
 from lanehouse.plans import monitor
 from lanehouse.sources.readers import scan
 from lanehouse.workload.registry import query
@@ -127,9 +128,7 @@ def failing_servers(spark: SparkSession, folder: str) -> DataFrame:
     """
 )
 def run_counts(spark: SparkSession, folder: str) -> DataFrame:
-    from lanehouse.operators.aggregates import run_counts as counts
-
-    return counts(scan(spark, folder, "orders"), "o_orderdate", "o_orderpriority")
+    return aggregates.run_counts(scan(spark, folder, "orders"), "o_orderdate", "o_orderpriority")
 
 
 @query(

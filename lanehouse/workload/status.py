@@ -78,16 +78,16 @@ def known_anti(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     """
-    SELECT c_custkey, c_name FROM customer
-    WHERE c_nationkey NOT IN (SELECT s_nationkey FROM supplier WHERE s_acctbal < 3000)
+    SELECT c_custkey, c_name, nullif(c_nationkey, 3) AS nation FROM customer
+    WHERE nullif(c_nationkey, 3) NOT IN (SELECT s_nationkey FROM supplier WHERE s_acctbal < -800)
     """
 )
 def not_in_rule(spark: SparkSession, folder: str) -> DataFrame:
-    values = scan(spark, folder, "supplier").where("s_acctbal < 3000")
-    customer = scan(spark, folder, "customer")
-    return joins.anti_not_in(customer, "c_nationkey", values, "s_nationkey").select(
-        "c_custkey", "c_name"
+    values = scan(spark, folder, "supplier").where("s_acctbal < -800")
+    customer = scan(spark, folder, "customer").select(
+        "c_custkey", "c_name", F.nullif(F.col("c_nationkey"), F.lit(3)).alias("nation")
     )
+    return joins.anti_not_in(customer, "nation", values, "s_nationkey")
 
 
 @query(

@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lanehouse.functions import columns as fn
+from lanehouse.operators.aggregates import max_or_zero
 from lanehouse.operators.joins import update_tracked
 from lanehouse.plans import sync
+from lanehouse.session import fresh_path
 from lanehouse.sources import writers
 from lanehouse.sources.readers import scan
-from lanehouse.session import fresh_path
 from lanehouse.workload.registry import query
 
 COLUMNS = ("order_id", "customer_id", "status", "ordered", "priority")
@@ -107,15 +108,13 @@ def sync_full(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"WITH {TARGET_SQL} SELECT coalesce(max(order_id), 0) AS order_id FROM target")
 def watermark(spark: SparkSession, folder: str) -> DataFrame:
-    from lanehouse.operators.aggregates import max_or_zero
-
     return max_or_zero(target_orders(spark, folder), "order_id")
 
 
 def as_project(orders: DataFrame, status) -> DataFrame:
     return orders.select(
         F.col("o_orderkey").alias("project_id"),
-        F.format_string("IGF%06d", "o_orderkey").alias("project_igf_id"),
+        F.format_string("P%06d", "o_orderkey").alias("project_igf_id"),
         F.format_string("project_%d", "o_custkey").alias("project_name"),
         F.concat(
             F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"), F.lit(".000000Z")
@@ -129,7 +128,7 @@ def as_project(orders: DataFrame, status) -> DataFrame:
 @query(
     """
     WITH source AS (
-      SELECT o_orderkey AS project_id, printf('IGF%06d', o_orderkey) AS project_igf_id,
+      SELECT o_orderkey AS project_id, printf('P%06d', o_orderkey) AS project_igf_id,
              'project_' || o_custkey AS project_name, o_orderdate AS start_timestamp,
              CAST(NULL AS VARCHAR) AS description, o_orderstatus AS status,
              o_orderpriority AS deliverable
@@ -191,7 +190,7 @@ def sync_pipelines(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     """
     WITH source AS (
-      SELECT c_custkey AS user_id, 'IGFU' || c_custkey AS user_igf_id, c_name AS name,
+      SELECT c_custkey AS user_id, 'U' || c_custkey AS user_igf_id, c_name AS name,
              lower(replace(c_name, '#', '.')) || '@' || lower(c_mktsegment) AS email_id,
              CASE WHEN c_acctbal < 0 THEN 'BLOCKED' ELSE 'ACTIVE' END AS status
       FROM customer),
@@ -210,7 +209,7 @@ def sync_users(spark: SparkSession, folder: str) -> DataFrame:
     )
     source = customer.select(
         F.col("c_custkey").alias("user_id"),
-        F.concat(F.lit("IGFU"), F.col("c_custkey").cast("string")).alias("user_igf_id"),
+        F.concat(F.lit("U"), F.col("c_custkey").cast("string")).alias("user_igf_id"),
         F.col("c_name").alias("name"),
         address.alias("email_id"),
         F.when(F.col("c_acctbal") < 0, "BLOCKED").otherwise("ACTIVE").alias("status"),

@@ -294,6 +294,7 @@ def scalar_pack(spark: SparkSession, folder: str) -> DataFrame:
     """
     SELECT event_id, regexp_extract_all(props, '[0-9]+')[1] AS first_number,
            1 + CAST(event_type = 'click' AS BIGINT) AS shared,
+           event_type IN ('click', 'view') AS overlapping,
            event_type <> 'view' AS same,
            CASE WHEN event_type = 'view' THEN 'none' ELSE event_type END AS found,
            CAST(2 AS BIGINT) AS entries,
@@ -316,6 +317,9 @@ def array_and_map_functions(spark: SparkSession, folder: str) -> DataFrame:
         fn.overlap_size(F.array(kind, F.lit("hpc")), F.array(F.lit("hpc"), F.lit("click")))
         .cast("long")
         .alias("shared"),
+        fn.overlaps(F.array(kind, F.lit("x")), F.array(F.lit("click"), F.lit("view"))).alias(
+            "overlapping"
+        ),
         fn.same_set(
             F.array(kind, F.lit("x"), kind), F.array(F.lit("x"), F.nullif(kind, F.lit("view")))
         ).alias("same"),

@@ -154,3 +154,20 @@ def test_graph(spark):
         check([("a", "b")], "sideways")
     sets_ = {r.task: r.neighbours for r in aggregates.adjacency(edges).collect()}
     assert sets_ == {"a": ["b", "c"], "b": ["c"]}
+
+
+def test_prefix_filters(spark):
+    names = spark.createDataFrame([("hpc_a",), ("_x",), ("unacked",), ("a_hpc",)], "q string")
+    assert [r.q for r in filters.keep_prefix(names, "q", "hpc").collect()] == ["hpc_a"]
+    kept = filters.drop_prefixes(names, "q", ["_", "unacked"])
+    assert sorted(r.q for r in kept.collect()) == ["a_hpc", "hpc_a"]
+    assert filters.project(names, ["q"]).columns == ["q"]
+
+
+def test_unknown_group_keys_are_filled_like_any_other(spark):
+    rows = [(None, 0, "a"), (None, 1, None), (None, 5, None), ("f", 1, None), ("f", 6, "b")]
+    frame = spark.createDataFrame(rows, "file string, pos long, x string")
+    got = windows.carry_forward(frame, ["file"], "pos", ["x"], span=2).collect()
+    assert {(r.file, r.pos): r.x for r in got} == {
+        (None, 0): "a", (None, 1): "a", (None, 5): "a", ("f", 1): None, ("f", 6): "b",
+    }
