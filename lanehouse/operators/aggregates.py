@@ -194,15 +194,19 @@ def ordered_reports(
     )
 
 
-def nested_counts(sheets: DataFrame, keys: Sequence[str], n: str) -> DataFrame:
+def nested_counts(
+    sheets: DataFrame, keys: Sequence[str], n: str, entries_per_part: int = 100_000
+) -> DataFrame:
     """Counts summed by run, project, lane and index group, with the two inner levels as a map.
 
     ``keys`` are the outer keys followed by the lane and the index group. One row per outer key
-    holds ``lane -> index group -> count``; a map has one entry per index group of a lane.
+    holds ``lane -> index group -> count``; a map of more than ``entries_per_part`` counts is spread
+    over several rows, told apart by ``part``.
     """
     *outer, lane, group = keys
     finest = sheets.groupBy(*keys).agg(F.sum(n).cast("long").alias("_n"))
-    lanes = finest.groupBy(*outer, lane).agg(
+    parted = with_part(finest, outer, [lane, group], entries_per_part)
+    lanes = parted.groupBy(*outer, PART, lane).agg(
         F.map_from_entries(F.sort_array(F.collect_list(F.struct(group, "_n")))).alias("_groups")
     )
     entry = F.struct(F.col(lane).alias("key"), F.col("_groups").alias("value"))
@@ -210,7 +214,7 @@ def nested_counts(sheets: DataFrame, keys: Sequence[str], n: str) -> DataFrame:
         F.collect_list(entry),
         lambda a, b: F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0),
     )
-    return lanes.groupBy(*outer).agg(F.map_from_entries(ordered).alias("lanes"))
+    return lanes.groupBy(*outer, PART).agg(F.map_from_entries(ordered).alias("lanes"))
 
 
 def distinct_edges(edges: DataFrame, flow: str = "downstream") -> DataFrame:

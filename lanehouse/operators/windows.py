@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -91,6 +91,35 @@ def context_of_text(text: Column, word: str, n: int = 1) -> Column:
     return F.flatten(F.transform(F.array(fn.text_lines(text)), spots))
 
 
+def sections_of_text(text: Column, is_head: Callable[[Column], Column]) -> Column:
+    """One text cut at its head lines: an array of (start, head, lines).
+
+    A section runs from a head line to the line before the next; lines before the first head are a
+    section with a NULL head. It carries the head to its lines within the cell, without a shuffle.
+    """
+
+    def sections(lines: Column) -> Column:
+        marks = F.filter(
+            F.transform(lines, lambda line, pos: F.when(is_head(line), pos)), lambda pos: pos > 0
+        )
+        spans = F.arrays_zip(
+            F.concat(F.array(F.lit(0)), marks).alias("start"),
+            F.concat(marks, F.array(F.size(lines))).alias("stop"),
+        )
+
+        def section(span: Column) -> Column:
+            first = F.get(lines, span["start"])
+            return F.struct(
+                span["start"].alias("start"),
+                F.when(is_head(first), first).alias("head"),
+                F.slice(lines, span["start"] + 1, span["stop"] - span["start"]).alias("lines"),
+            )
+
+        return F.transform(spans, section)
+
+    return F.flatten(F.transform(F.array(fn.text_lines(text)), sections))
+
+
 def index_within(df: DataFrame, parents: Sequence[str], column: str, as_column: str) -> DataFrame:
     """Ours: number the distinct values of ``column`` within its parents, from 1 in their order.
 

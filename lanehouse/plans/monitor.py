@@ -17,12 +17,16 @@ from lanehouse.operators.aggregates import (
 )
 from lanehouse.operators.sets import union_all
 from lanehouse.operators.windows import context_of_text
+from lanehouse.session import settle
 
 # Fields of a disk line (used, available, mount) and of a quota line (used, limit)
 DISK_FIELDS = (3, 4, 6)
 QUOTA_FIELDS = (13, 15)
 QUOTA_LINE = "Live"
 
+# Rows one summary document may hold
+SUMMARY_ROWS = 10_000
+
 
 def disk_usage(lines: DataFrame, volume: str, host: str = "host") -> DataFrame:
     """``(host, used, avail)`` from the disk lines that name a volume."""
@@ -64,10 +68,18 @@ def failing_servers(status: DataFrame, server: Sequence[str], state: str) -> Dat
     return replication_health(status, server, state).where(~F.col("healthy")).select(*server)
 
 
-def as_document(rows: DataFrame) -> DataFrame:
-    """Summary rows as one JSON list; for frames that are already aggregated to a few rows."""
+def as_document(rows: DataFrame, most: int = SUMMARY_ROWS) -> DataFrame:
+    """Summary rows as one JSON list.
+
+    The rows are written first and counted: more than ``most`` of them are no summary and fail the
+    job before they are gathered.
+    """
+    rows = settle(rows, "summary")
+    too_many = F.raise_error(F.lit(f"more than {most} summary rows"))
+    counted = rows.agg(F.count(F.lit(1)).alias("n"))
+    few = counted.select(F.when(F.col("n") > most, too_many).otherwise(F.lit(True))).scalar()
     body = F.concat_ws(",", F.sort_array(F.collect_list(F.to_json(F.struct("*")))))
-    return rows.agg(F.concat(F.lit("["), body, F.lit("]")).alias("document"))
+    return rows.where(few).agg(F.concat(F.lit("["), body, F.lit("]")).alias("document"))
 
 
 def admin_summary(

@@ -60,7 +60,7 @@ def sheet_index(spark: SparkSession, folder: str) -> DataFrame:
              '{{' || string_agg('"' || index_group_index || '":' || sample_counts, ','
                               ORDER BY index_group_index) || '}}' AS g
       FROM sheets GROUP BY ALL)
-    SELECT run, project_index,
+    SELECT run, project_index, CAST(0 AS BIGINT) AS part,
            '{{' || string_agg('"' || lane_index || '":' || g, ',' ORDER BY lane_index) || '}}' AS lanes
     FROM lanes GROUP BY ALL
     """
@@ -91,7 +91,7 @@ def sheet_tasks(spark: SparkSession, folder: str) -> DataFrame:
 )
 def nested_rows(spark: SparkSession, folder: str) -> DataFrame:
     groups = sheets.sample_groups(sheet_index(spark, folder))
-    rows = sets.expand_nested(groups, "lanes", ["lane_index", "index_group_index"], "n")
+    rows = sets.expand_nested(groups.drop("part"), "lanes", ["lane_index", "index_group_index"], "n")
     return filters.route(rows, project_index=2)
 
 

@@ -117,8 +117,7 @@ def job_dump_counts(spark: SparkSession, folder: str) -> DataFrame:
 # --- lines of documents -----------------------------------------------------------------------
 
 
-@query(
-    f"""
+HEADS_SQL = f"""
     WITH {LINES_SQL},
     marked AS (
       SELECT doc_id, pos, line,
@@ -128,7 +127,22 @@ def job_dump_counts(spark: SparkSession, folder: str) -> DataFrame:
              OVER (PARTITION BY doc_id ORDER BY pos) AS head
     FROM marked
     """
-)
+
+
+@query(HEADS_SQL)
+def text_sections(spark: SparkSession, folder: str) -> DataFrame:
+    sections = windows.sections_of_text(
+        F.col("text"), lambda line: fn.has_any(line, ["License", ":"])
+    )
+    return (
+        scan(spark, folder, "documents")
+        .select("doc_id", F.inline(sections))
+        .select("doc_id", "start", "head", F.posexplode("lines").alias("nth", "line"))
+        .select("doc_id", (F.col("start") + F.col("nth")).alias("pos"), "line", "head")
+    )
+
+
+@query(HEADS_SQL)
 def carried_heads(spark: SparkSession, folder: str) -> DataFrame:
     head = F.when(fn.has_any("line", ["License", ":"]), F.col("line"))
     lines = document_lines(spark, folder).withColumn("head", head)

@@ -81,6 +81,10 @@ def test_context_within_a_text_does_not_shuffle(spark, sf_dir):
     assert "Exchange" not in plan(spots)
 
 
+def test_sections_of_texts_do_not_shuffle(spark, sf_dir):
+    assert "Exchange" not in plan(QUERIES["text_sections"](spark, sf_dir))
+
+
 def test_violations_are_one_pass(spark, sf_dir):
     documents = readers.scan(spark, sf_dir, "documents")
     rules = {"a": F.col("n_chars") > 10, "b": filters.required("lang")}

@@ -43,6 +43,15 @@ def test_sample_groups(spark):
     }
 
 
+def test_large_maps_are_spread(spark):
+    rows = [("r", 1, lane, group, lane * 100 + group) for lane in range(7) for group in range(9)]
+    frame = spark.createDataFrame(rows, "run string, p int, lane int, grp int, n int")
+    parts = aggregates.nested_counts(frame, ["run", "p", "lane", "grp"], "n", entries_per_part=10).collect()
+    assert len(parts) > 3
+    got = [(lane, grp, n) for r in parts for lane, groups in r.lanes.items() for grp, n in groups.items()]
+    assert sorted(got) == [(lane, grp, n) for _, _, lane, grp, n in rows]
+
+
 def test_sheet_tasks(spark):
     tasks = sheets.sheet_tasks(formatted(spark)).collect()
     counts = Counter((r.project_index, r.lane_index) for r in tasks)

@@ -137,6 +137,23 @@ def test_after_context_ends_with_the_file(spark):
     assert [r.pos for r in spots] == [1, 2, 4, 5, 6]
 
 
+def test_sections(spark):
+    def sections(text):
+        cut = windows.sections_of_text(F.col("t"), lambda line: line.startswith("#"))
+        return [tuple(s) for s in value(spark, cut, t=text)]
+
+    assert sections("a\n#b\nc\n#d") == [(0, None, ["a"]), (1, "#b", ["#b", "c"]), (3, "#d", ["#d"])]
+    assert sections("#b\nc") == [(0, "#b", ["#b", "c"])]
+    assert sections("") == [(0, None, [""])]
+
+
+def test_summary_that_is_none_fails(spark, tmp_path):
+    rows = spark.range(5)
+    assert monitor.as_document(rows).first().document.startswith('[{"id":0}')
+    with pytest.raises(Exception, match="more than 4 summary rows"):
+        monitor.as_document(rows, most=4).collect()
+
+
 def test_storage_lines(spark):
     lines = spark.createDataFrame(
         [
