@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lanehouse.functions import columns as fn
+from lanehouse.session import settle
 
 
 def update_tracked(target: DataFrame, source: DataFrame, key: str, tracked: str) -> DataFrame:
@@ -40,7 +41,7 @@ def anti_not_in(df: DataFrame, column: str, values: DataFrame, value: str) -> Da
     The facts about NULL are scalar subqueries, which leaves a plain anti join that can be shuffled
     and split; the null-aware join of the planner would broadcast the values whatever their number.
     """
-    known = values.select(F.col(value).alias("_value")).distinct()
+    known = settle(values.select(F.col(value).alias("_value")).distinct(), "values")
     unknown = F.count_if(F.col("_value").isNull())
     facts = known.agg(
         F.struct((F.count(F.lit(1)) == 0).alias("none"), (unknown == 0).alias("all_known"))

@@ -149,12 +149,12 @@ def capacity_plan(
         return F.when(total < total_cap, taken).otherwise(state)
 
     none_adding = F.array().cast("array<struct<queue: string, new_tasks: bigint>>")
-    state = base.join(adding, cluster, "left").select(
-        *cluster,
-        "_base",
-        F.aggregate(
-            F.coalesce("_adding", none_adding), start, step, lambda state: state["steps"]
-        ).alias("_steps"),
+    folded = F.aggregate(
+        F.coalesce("_adding", none_adding), start, step, lambda state: state["steps"]
+    )
+    state = settle(
+        base.join(adding, cluster, "left").select(*cluster, "_base", folded.alias("_steps")),
+        "clusters",
     )
 
     here = F.col(queue)
@@ -178,7 +178,7 @@ def idle_workers(
     number of either, and the workers are read once.
     """
     free = workers.where((F.col("active_jobs") == 0) & ~fn.contains("queues", F.lit(base_queue)))
-    wanted = needed.select("queue").distinct().withColumn("_wanted", F.lit(True))
+    wanted = settle(needed.select("queue").distinct(), "needed").withColumn("_wanted", F.lit(True))
     return (
         free.select("worker_id", F.explode_outer("queues").alias("queue"))
         .join(wanted, "queue", "left")

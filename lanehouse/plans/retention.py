@@ -13,6 +13,7 @@ from lanehouse.functions import columns as fn
 from lanehouse.operators.aggregates import last_per_group
 from lanehouse.operators.filters import older_or_equal
 from lanehouse.operators.joins import anti_not_in
+from lanehouse.session import settle
 
 
 @dataclass(frozen=True)
@@ -62,7 +63,7 @@ def survivors(
     aged = F.coalesce(F.col(age) <= cutoff, F.lit(False))
     if kept is None:
         return df.where(~aged)
-    instants = kept.select(F.col("last").alias("_last")).distinct()
+    instants = settle(kept.select(F.col("last").alias("_last")).distinct(), "instants")
     none_unknown = instants.agg(F.count_if(F.col("_last").isNull()) == 0).scalar()
     marked = df.join(instants, F.col(age) == F.col("_last"), "left")
     return marked.where(~(aged & F.col("_last").isNull() & none_unknown)).select(*df.columns)

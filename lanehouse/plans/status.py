@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lanehouse.operators.filters import complete_runs
 from lanehouse.operators.joins import split_new
+from lanehouse.session import settle
 
 
 @dataclass(frozen=True)
@@ -33,7 +34,7 @@ def status_transition(
 
     A row without a status is not blocked.
     """
-    listed = ids.select(key).distinct().withColumn("_listed", F.lit(True))
+    listed = settle(ids.select(key).distinct(), "ids").withColumn("_listed", F.lit(True))
     blocked = F.coalesce(F.col(status).isin(list(no_change)), F.lit(False))
     changed = F.col("_listed").isNotNull() & ~blocked
     columns = [

@@ -49,6 +49,8 @@ def settle(df: DataFrame, label: str) -> DataFrame:
 
     Cuts the lineage so that values which depend on the placement of rows stay as they are when an
     executor is lost, and gives the planner the true size, so that its own broadcast threshold decides.
+    A join side that was grouped before is settled for one more reason: AQE splits a hot key of the
+    other side only where both sides come straight from a shuffle.
     """
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
