@@ -27,6 +27,9 @@ CLEANUP_BRANCH = "cleanup_celery_workers"
 BASE_QUEUE = "generic"
 ARRAY_MODE = "ARRAY"
 
+REQUESTS = "array<struct<queue: string, new_tasks: bigint>>"
+STEPS = "array<struct<queue: string, total: bigint>>"
+
 
 def job_records(
     lines: DataFrame,
@@ -85,87 +88,81 @@ def queue_states(waiting: DataFrame, active: DataFrame, on: Sequence[str]) -> Da
     )
 
 
-def capacity_plan(
-    waiting: DataFrame,
-    active: DataFrame,
-    cluster: Sequence[str] = ("cluster",),
-    queue: str = "queue",
-    per_queue_cap: int = MAX_WORKERS_PER_QUEUE,
-    total_cap: int = MAX_TOTAL_WORKERS,
-) -> DataFrame:
-    """New workers per queue of each cluster, queues admitted in the order of their names.
-
-    ``waiting`` has one row per queue, ``active`` rows of (queue, state, n). A queue with a queued
-    job gets none. A queue without jobs asks for its waiting number, a queue with running jobs for
-    what waits beyond them; a request is admitted while the total stays below the cap, and only
-    requests of queues with running jobs add to the total.
-
-    Such a request of w workers can be admitted only among the first ``total_cap / w`` of its size:
-    either those fill the cap, or one of them was refused, after which the total never falls again.
-    So a bounded list per cluster is folded to the steps of the total, and every queue, however
-    many there are, is then decided on its own against these steps. What is known per queue is
-    written once, as three parts of the plan read it and the inputs may be costly to derive.
-    """
-    cluster = list(cluster)
-    on = [*cluster, queue]
-    known = settle(queue_states(waiting, active, on), "queues")
-    base = known.groupBy(*cluster).agg(F.sum("active").cast("long").alias("_base"))
-
+def requests(states: DataFrame, on: Sequence[str], per_queue_cap: int) -> DataFrame:
+    """The workers each waiting queue without queued jobs asks for, and whether they add to the total."""
     capped = fn.capped("waiting", per_queue_cap).cast("long")
     beyond = (F.col("active") > 0) & (capped > F.col("active"))
-    asked = known.where(F.col("waiting").isNotNull() & (F.col("queued") < 1)).select(
+    return states.where(F.col("waiting").isNotNull() & (F.col("queued") < 1)).select(
         *on,
         F.when(beyond, capped - F.col("active")).otherwise(capped).alias("new_tasks"),
         ((F.col("active") > 0) & (capped > 0)).alias("_adds"),
     )
 
+
+def total_steps(
+    states: DataFrame, asked: DataFrame, cluster: Sequence[str], queue: str, total_cap: int
+) -> DataFrame:
+    """Per cluster the total to begin with, and the queues that raise it with the total after each.
+
+    A request of w workers can be admitted only among the first ``total_cap / w`` of its size: either
+    those fill the cap, or one of them was refused, after which the total never falls again. So the
+    list that is folded is bounded, whatever the number of queues.
+    """
+    base = states.groupBy(*cluster).agg(F.sum("active").cast("long").alias("_base"))
     of_size = Window.partitionBy(*cluster, "new_tasks").orderBy(queue)
+    request = F.struct(F.col(queue).alias("queue"), "new_tasks")
     adding = (
         asked.where(F.col("_adds"))
         .withColumn("_nth", F.row_number().over(of_size))
         .where(F.col("_nth") <= total_cap)
         .where((F.col("_nth") - 1) * F.col("new_tasks") < total_cap)
         .groupBy(*cluster)
-        .agg(
-            F.sort_array(F.collect_list(F.struct(F.col(queue).alias("queue"), "new_tasks"))).alias(
-                "_adding"
-            )
-        )
-    )
-    start = F.struct(
-        F.col("_base").alias("total"),
-        F.array().cast("array<struct<queue: string, total: bigint>>").alias("steps"),
+        .agg(F.sort_array(F.collect_list(request)).alias("_adding"))
     )
+    start = F.struct(F.col("_base").alias("total"), F.array().cast(STEPS).alias("steps"))
 
     def step(state: Column, entry: Column) -> Column:
         total = state["total"] + entry["new_tasks"]
-        taken = F.struct(
-            total.alias("total"),
-            F.concat(
-                state["steps"],
-                F.array(F.struct(entry["queue"].alias("queue"), total.alias("total"))),
-            ).alias("steps"),
-        )
-        return F.when(total < total_cap, taken).otherwise(state)
+        taken = F.array(F.struct(entry["queue"].alias("queue"), total.alias("total")))
+        raised = F.struct(total.alias("total"), F.concat(state["steps"], taken).alias("steps"))
+        return F.when(total < total_cap, raised).otherwise(state)
 
-    none_adding = F.array().cast("array<struct<queue: string, new_tasks: bigint>>")
-    folded = F.aggregate(
-        F.coalesce("_adding", none_adding), start, step, lambda state: state["steps"]
-    )
-    state = settle(
-        base.join(adding, cluster, "left").select(*cluster, "_base", folded.alias("_steps")),
-        "clusters",
-    )
+    in_order = F.coalesce("_adding", F.array().cast(REQUESTS))
+    steps = F.aggregate(in_order, start, step, lambda state: state["steps"])
+    return base.join(adding, cluster, "left").select(*cluster, "_base", steps.alias("_steps"))
+
+
+def capacity_plan(
+    waiting: DataFrame,
+    active: DataFrame,
+    cluster: Sequence[str] = ("cluster",),
+    queue: str = "queue",
+    per_queue_cap: int = MAX_WORKERS_PER_QUEUE,
+    total_cap: int = MAX_TOTAL_WORKERS,
+) -> DataFrame:
+    """New workers per queue of each cluster, queues admitted in the order of their names.
+
+    ``waiting`` has one row per queue, ``active`` rows of (queue, state, n). A queue with a queued
+    job gets none. A queue without jobs asks for its waiting number, a queue with running jobs for
+    what waits beyond them; a request is admitted while the total stays below the cap, and only
+    requests of queues with running jobs add to the total.
 
-    here = F.col(queue)
-    size = F.col("new_tasks")
-    total = F.coalesce(F.col("_base"), F.lit(0).cast("long"))
-    no_steps = F.array().cast("array<struct<queue: string, total: bigint>>")
-    steps = F.coalesce(F.col("_steps"), no_steps)
-    is_step = F.exists(steps, lambda s: s["queue"] == here)
-    full = F.exists(steps, lambda s: (s["queue"] < here) & (s["total"] + size >= total_cap))
-    admitted = F.when(F.col("_adds"), is_step).otherwise((total + size < total_cap) & ~full)
-    return asked.join(state, cluster, "left").where(admitted).select(*on, "new_tasks")
+    The steps of the total are worked out per cluster, then every queue is decided on its own
+    against them. What is known per queue is written once, as several parts of the plan read it and
+    the inputs may be costly to derive.
+    """
+    cluster = list(cluster)
+    on = [*cluster, queue]
+    states = settle(queue_states(waiting, active, on), "queues")
+    asked = requests(states, on, per_queue_cap)
+    steps = settle(total_steps(states, asked, cluster, queue, total_cap), "clusters")
+
+    here, size = F.col(queue), F.col("new_tasks")
+    before = F.col("_base") + size < total_cap
+    is_step = F.exists("_steps", lambda s: s["queue"] == here)
+    full = F.exists("_steps", lambda s: (s["queue"] < here) & (s["total"] + size >= total_cap))
+    admitted = F.when(F.col("_adds"), is_step).otherwise(before & ~full)
+    return asked.join(steps, cluster).where(admitted).select(*on, "new_tasks")
 
 
 def idle_workers(

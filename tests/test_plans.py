@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lanehouse.operators import filters, windows
+from lanehouse.plans import capacity
 from lanehouse.sources import readers
 
 QUERIES = entry.queries()
@@ -66,8 +67,10 @@ def test_groups_are_limited_before_the_shuffle(spark, sf_dir):
     assert text.index("Final") < text.index("Exchange") < text.index("Partial")
 
 
-def test_capacity_limits_the_fold_before_the_shuffle(spark, sf_dir):
-    assert "WindowGroupLimit" in plan(QUERIES["capacity_plan"](spark, sf_dir))
+def test_capacity_limits_the_fold_before_the_shuffle(spark):
+    states = spark.createDataFrame([], "cluster string, queue string, waiting long, active long, queued long")
+    asked = capacity.requests(states, ["cluster", "queue"], 10)
+    assert plan(capacity.total_steps(states, asked, ["cluster"], "queue", 70)).count("WindowGroupLimit") >= 2
 
 
 def test_scan_of_files_without_content(spark, sf_dir):
