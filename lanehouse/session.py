@@ -26,6 +26,22 @@ def local_session(cores: str = "*", partitions: int = 8, **conf: str) -> SparkSe
     return spark
 
 
+def size_shuffles(spark: SparkSession, shuffled_bytes: int, partition_bytes: int = 128 << 20) -> int:
+    """Set the number of shuffle partitions so that one holds about ``partition_bytes``.
+
+    Meant for jobs much larger than the default of the session; it never lowers the number, as AQE
+    merges partitions that turn out small and splits those that a hot key makes large.
+    """
+    key = "spark.sql.shuffle.partitions"
+    wanted = max(int(spark.conf.get(key)), -(-shuffled_bytes // partition_bytes))
+    spark.conf.set(key, str(wanted))
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(partition_bytes))
+    return wanted
+
+
 def work_folder(spark: SparkSession) -> str:
     """The shared folder of the cluster; a temporary one only for local sessions without it."""
     folder = spark.conf.get("spark.checkpoint.dir", None)

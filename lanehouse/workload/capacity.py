@@ -259,7 +259,7 @@ def unique_queues(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     f"""
     WITH {QUEUES_SQL},
-    j AS (SELECT queue, count(*) AS n FROM queued WHERE event_type = 'purchase' AND user_id % 2 = 0
+    j AS (SELECT queue, count(*) AS n FROM queued WHERE event_type = 'purchase' AND value > 50
           GROUP BY 1),
     w AS (SELECT queue, count(*) AS n FROM queued WHERE event_type = 'view' AND hour(ts) < 12 GROUP BY 1),
     m AS (SELECT queue, count(*) AS n FROM queued WHERE event_type = 'error' AND hour(ts) > 6 GROUP BY 1)
@@ -274,7 +274,7 @@ def fanin_three(spark: SparkSession, folder: str) -> DataFrame:
         return events.where(condition).groupBy("queue").agg(F.count(F.lit(1)).alias("n"))
 
     return joins.by_queue(
-        jobs=counted("event_type = 'purchase' AND user_id % 2 = 0"),
+        jobs=counted("event_type = 'purchase' AND value > 50"),
         workers=counted("event_type = 'view' AND hour(ts) < 12"),
         waiting=counted("event_type = 'error' AND hour(ts) > 6"),
     )

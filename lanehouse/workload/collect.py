@@ -16,7 +16,7 @@ from lanehouse.workload.registry import query
 
 INPUTS_SQL = """inputs AS (
   SELECT l_orderkey AS sample, 'part' || l_partkey || '.' || l_linenumber || '.bam' AS bam
-  FROM lineitem WHERE l_partkey % 10 <> 0 AND l_returnflag <> 'N')"""
+  FROM lineitem WHERE l_quantity >= 5 AND l_returnflag <> 'N')"""
 
 
 def inputs(spark: SparkSession, folder: str) -> DataFrame:
@@ -24,7 +24,7 @@ def inputs(spark: SparkSession, folder: str) -> DataFrame:
     bam = F.concat_ws(".", F.concat(F.lit("part"), "l_partkey"), "l_linenumber", F.lit("bam"))
     return scan(spark, folder, "lineitem").select(
         F.when(F.col("l_returnflag") != "N", F.col("l_orderkey")).alias("sample"),
-        F.when(F.col("l_partkey") % 10 != 0, bam).alias("bam"),
+        F.when(F.col("l_quantity") >= 5, bam).alias("bam"),
     )
 
 
@@ -160,12 +160,12 @@ def mapped_groups(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     """
-    SELECT user_id, unnest([event_type, 'x' || user_id]) AS slide FROM events WHERE value > 20
+    SELECT user_id, unnest([event_type, 'x' || user_id]) AS slide FROM events
     """
 )
 def flat_slides(spark: SparkSession, folder: str) -> DataFrame:
     other = F.concat(F.lit("x"), F.col("user_id").cast("string"))
-    runs = scan(spark, folder, "events").where("value > 20").select(
+    runs = scan(spark, folder, "events").select(
         "user_id", F.array("event_type", other).alias("slides")
     )
     return sets.flatten_groups(runs, "slides", "slide")

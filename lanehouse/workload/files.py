@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lanehouse.functions import columns as fn
 from lanehouse.operators import joins, windows
 from lanehouse.plans import manifest
 from lanehouse.session import fresh_path
@@ -15,11 +16,11 @@ from lanehouse.workload.registry import query
 
 MANIFEST_SQL = """manifest AS (
   SELECT md5(text) AS md5, 'results/' || source || '/' || doc_id || '.txt' AS path,
-         CAST(strlen(text) AS BIGINT) AS size, doc_id FROM documents),
+         CAST(strlen(text) AS BIGINT) AS size FROM documents),
 other AS (
-  SELECT CASE WHEN doc_id % 7 = 0 THEN md5('x' || doc_id) ELSE md5 END AS md5,
-         CASE WHEN doc_id % 11 = 0 THEN path || '.new' ELSE path END AS path, size
-  FROM manifest WHERE doc_id % 13 <> 0)"""
+  SELECT CASE WHEN path LIKE 'results/src5/%' THEN md5('x' || path) ELSE md5 END AS md5,
+         CASE WHEN path LIKE 'results/src11/%' THEN path || '.new' ELSE path END AS path, size
+  FROM manifest WHERE path NOT LIKE 'results/src13/%')"""
 
 
 def documents_manifest(spark: SparkSession, folder: str) -> DataFrame:
@@ -30,17 +31,15 @@ def documents_manifest(spark: SparkSession, folder: str) -> DataFrame:
 
 def other_manifest(spark: SparkSession, folder: str) -> DataFrame:
     """A copy with changed, renamed and missing files."""
-    doc_id = F.regexp_extract("path", r"/(\d+)\.txt$", 1).cast("long")
-    changed = F.md5(F.concat(F.lit("x"), F.col("doc_id").cast("string")).cast("binary"))
+    path = F.col("path")
+    changed = fn.content_md5(F.concat(F.lit("x"), path))
+    renamed = F.concat(path, F.lit(".new"))
     return (
         documents_manifest(spark, folder)
-        .withColumn("doc_id", doc_id)
-        .where(F.col("doc_id") % 13 != 0)
+        .where(~path.startswith("results/src13/"))
         .select(
-            F.when(F.col("doc_id") % 7 == 0, changed).otherwise(F.col("md5")).alias("md5"),
-            F.when(F.col("doc_id") % 11 == 0, F.concat("path", F.lit(".new")))
-            .otherwise(F.col("path"))
-            .alias("path"),
+            F.when(path.startswith("results/src5/"), changed).otherwise(F.col("md5")).alias("md5"),
+            F.when(path.startswith("results/src11/"), renamed).otherwise(path).alias("path"),
             "size",
         )
     )

@@ -77,6 +77,17 @@ def test_work_folder_is_the_one_of_the_session(spark):
     assert session.fresh_path(spark, "x") != session.fresh_path(spark, "x")
 
 
+def test_shuffles_are_sized_by_the_data(spark):
+    keys = ["spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes"]
+    before = {key: spark.conf.get(key) for key in keys}
+    try:
+        assert session.size_shuffles(spark, 10 << 40) == 81920
+        assert session.size_shuffles(spark, 1) == 81920
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def test_worker_list(spark):
     reply = {"w1": {"active": [{"id": "1", "name": "t"}], "active_queues": [{"name": "generic"}]}, "w2": {"active_queues": []}}
     documents = spark.createDataFrame([(json.dumps(reply),)], "value string")
