@@ -24,7 +24,7 @@ DISK_FIELDS = (3, 4, 6)
 QUOTA_FIELDS = (13, 15)
 QUOTA_LINE = "Live"
 
-# Rows one summary document may hold
+# Rows the lists of one summary document may hold together
 SUMMARY_ROWS = 10_000
 
 
@@ -68,18 +68,27 @@ def failing_servers(status: DataFrame, server: Sequence[str], state: str) -> Dat
     return replication_health(status, server, state).where(~F.col("healthy")).select(*server)
 
 
-def as_document(rows: DataFrame, most: int = SUMMARY_ROWS) -> DataFrame:
-    """Summary rows as one JSON list.
+def summary_lists(most: int = SUMMARY_ROWS, **summaries: DataFrame) -> dict[str, DataFrame]:
+    """Each summary as a one-row frame with its rows as a JSON list in ``document``.
 
-    The rows are written first and counted: more than ``most`` of them are no summary and fail the
-    job before they are gathered.
+    The rows of all summaries are written and counted first: more than ``most`` rows are no summary
+    and fail the job before any are gathered.
     """
-    rows = settle(rows, "summary")
+    rows = settle(
+        union_all(
+            *(
+                df.select(F.lit(name).alias("name"), F.to_json(F.struct("*")).alias("row"))
+                for name, df in summaries.items()
+            )
+        ),
+        "summary",
+    )
     too_many = F.raise_error(F.lit(f"more than {most} summary rows"))
     counted = rows.agg(F.count(F.lit(1)).alias("n"))
     few = counted.select(F.when(F.col("n") > most, too_many).otherwise(F.lit(True))).scalar()
-    body = F.concat_ws(",", F.sort_array(F.collect_list(F.to_json(F.struct("*")))))
-    return rows.where(few).agg(F.concat(F.lit("["), body, F.lit("]")).alias("document"))
+    body = F.concat_ws(",", F.sort_array(F.collect_list("row")))
+    document = F.concat(F.lit("["), body, F.lit("]")).alias("document")
+    return {name: rows.where(few & (F.col("name") == name)).agg(document) for name in summaries}
 
 
 def admin_summary(
@@ -92,8 +101,9 @@ def admin_summary(
     status: str,
 ) -> DataFrame:
     """One document of run counts, storage totals and pipeline status counts."""
-    return merge_json(
-        pipelines=as_document(status_counts(pipelines, pipeline, status)),
-        seqruns=as_document(run_counts(runs, ts, kind)),
-        storage=as_document(storage_totals(usage).drop("used_share")),
+    lists = summary_lists(
+        pipelines=status_counts(pipelines, pipeline, status),
+        seqruns=run_counts(runs, ts, kind),
+        storage=storage_totals(usage).drop("used_share"),
     )
+    return merge_json(**lists)

@@ -14,6 +14,8 @@ WORKER_REPLY = (
     "map<string, struct<active: array<struct<id: string, name: string>>,"
     " active_queues: array<struct<name: string>>>>"
 )
+ACTIVE_COUNTS = "map<string, map<string, bigint>>"
+WAITING_LIST = "array<map<string, bigint>>"
 WORKFLOW_METADATA = (
     "inputs struct<sample_and_unmapped_bams: struct<sample_name: string>>,"
     " outputs map<string, variant>"
@@ -95,6 +97,24 @@ def worker_list(documents: DataFrame, column: str = "value") -> DataFrame:
     )
 
 
+def active_counts(documents: DataFrame, column: str = "value") -> DataFrame:
+    """``(queue, state, n)`` rows of documents ``{queue: {state: n}}`` held as base64 of JSON."""
+    counts = fn.parse_json(fn.from_b64(column), ACTIVE_COUNTS)
+    others = [c for c in documents.columns if c != column]
+    return documents.select(*others, F.explode(counts).alias("queue", "states")).select(
+        *others, "queue", F.explode("states").alias("state", "n")
+    )
+
+
+def waiting_list(documents: DataFrame, column: str = "value") -> DataFrame:
+    """``(queue, waiting)`` rows of documents ``[{queue: waiting}, ...]`` held as JSON."""
+    others = [c for c in documents.columns if c != column]
+    entries = F.explode(fn.parse_json(column, WAITING_LIST)).alias("entry")
+    return documents.select(*others, entries).select(
+        *others, F.explode("entry").alias("queue", "waiting")
+    )
+
+
 def file_scan(spark: SparkSession, folder: str, manifest: str = MANIFEST_NAME) -> DataFrame:
     """All files below ``folder`` except its manifest; content is read only where it is used."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)

@@ -145,6 +145,30 @@ def waiting_with_active(spark: SparkSession, folder: str) -> DataFrame:
     return joins.with_active(waiting_queues(spark, folder), busy, keys)
 
 
+@query(
+    f"""
+    WITH {QUEUES_SQL}
+    SELECT cluster, queue, CASE event_type WHEN 'purchase' THEN 'R' WHEN 'error' THEN 'Q' ELSE 'F' END
+             AS state, count(*) AS n
+    FROM queued GROUP BY ALL
+    """
+)
+def active_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts handed over as base64 of JSON, one document per cluster and queue, and read back."""
+    counts = F.create_map("queue", F.create_map("state", "n"))
+    documents = active_jobs(spark, folder).select(
+        "cluster", F.base64(F.to_json(counts).cast("binary")).alias("value")
+    )
+    return readers.active_counts(documents)
+
+
+@query(f"WITH {PLAN_SQL} SELECT cluster, queue, waiting FROM waits")
+def waiting_documents(spark: SparkSession, folder: str) -> DataFrame:
+    entries = F.array(F.create_map("queue", "waiting"))
+    documents = waiting_queues(spark, folder).select("cluster", F.to_json(entries).alias("value"))
+    return readers.waiting_list(documents)
+
+
 @query(f"WITH RECURSIVE {PLAN_SQL} SELECT * FROM plan")
 def capacity_plan(spark: SparkSession, folder: str) -> DataFrame:
     return capacity.capacity_plan(waiting_queues(spark, folder), active_jobs(spark, folder))

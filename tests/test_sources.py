@@ -1,3 +1,4 @@
+import base64
 import hashlib
 import json
 
@@ -88,6 +89,14 @@ def test_shuffles_are_sized_by_the_data(spark):
             spark.conf.set(key, value)
 
 
+def test_queue_documents(spark):
+    counts = base64.b64encode(b' {"hpc_a": {"Q": 1, "R": 2}, "hpc_b": {}}\n').decode()
+    got = readers.active_counts(spark.createDataFrame([(counts,)], "value string")).collect()
+    assert sorted(tuple(r) for r in got) == [("hpc_a", "Q", 1), ("hpc_a", "R", 2)]
+    waiting = spark.createDataFrame([('[{"a": 3}, {"b": 0}]',)], "value string")
+    assert [tuple(r) for r in readers.waiting_list(waiting).collect()] == [("a", 3), ("b", 0)]
+
+
 def test_worker_list(spark):
     reply = {"w1": {"active": [{"id": "1", "name": "t"}], "active_queues": [{"name": "generic"}]}, "w2": {"active_queues": []}}
     documents = spark.createDataFrame([(json.dumps(reply),)], "value string")

@@ -147,11 +147,13 @@ def test_sections(spark):
     assert sections("") == [(0, None, [""])]
 
 
-def test_summary_that_is_none_fails(spark, tmp_path):
-    rows = spark.range(5)
-    assert monitor.as_document(rows).first().document.startswith('[{"id":0}')
+def test_summary_that_is_none_fails(spark):
+    rows, none = spark.range(5), spark.range(0)
+    lists = monitor.summary_lists(a=rows, b=none)
+    assert lists["a"].first().document.startswith('[{"id":0},{"id":1}')
+    assert lists["b"].first().document == "[]"
     with pytest.raises(Exception, match="more than 4 summary rows"):
-        monitor.as_document(rows, most=4).collect()
+        monitor.summary_lists(most=4, a=rows)["a"].collect()
 
 
 def test_storage_lines(spark):
