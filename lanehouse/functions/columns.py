@@ -93,7 +93,7 @@ def cutoff(now: ColumnOrName, days: ColumnOrName) -> Column:
 
 
 def date_tag(value: ColumnOrName) -> Column:
-    return F.date_format(as_column(value), "yyyyMMdd")
+    return F.date_format(as_column(value).cast("date"), "yyyyMMdd")
 
 
 # --- lines of text ----------------------------------------------------------------------------

@@ -115,7 +115,7 @@ def unique_queues(df: DataFrame, value: str, order: str, queue: str = "queue") -
 def run_counts(runs: DataFrame, ts: str, kind: str) -> DataFrame:
     """Ours: runs per calendar month and kind."""
     return runs.groupBy(
-        F.date_format(F.date_trunc("month", F.col(ts)), "yyyy-MM").alias("month"), kind
+        F.date_format(F.col(ts).cast("date"), "yyyy-MM").alias("month"), kind
     ).agg(F.count(F.lit(1)).alias("runs"))
 
 

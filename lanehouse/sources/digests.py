@@ -6,6 +6,7 @@ import hashlib
 from collections.abc import Iterator
 
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,23 +18,21 @@ CELL_BYTES = 1 << 28
 PIECE_BYTES = 1 << 24
 
 
-def _hash_pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    from pyarrow import fs
-
-    for batch in batches:
-        digests = []
-        for path in batch["path"]:
-            filesystem, name = fs.FileSystem.from_uri(path)
-            digest = hashlib.md5()
-            with filesystem.open_input_stream(name) as stream:
-                while piece := stream.read(PIECE_BYTES):
-                    digest.update(piece)
-            digests.append(digest.hexdigest())
-        yield batch.assign(md5=digests)
-
-
 def file_md5(spark: SparkSession, folder: str, cell_bytes: int = CELL_BYTES) -> DataFrame:
     """``(md5, path, length)`` of every file below ``folder``; paths begin with its own name."""
+
+    def hash_pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            digests = []
+            for path in batch["path"]:
+                filesystem, name = fs.FileSystem.from_uri(path)
+                digest = hashlib.md5()
+                with filesystem.open_input_stream(name) as stream:
+                    while piece := stream.read(PIECE_BYTES):
+                        digest.update(piece)
+                digests.append(digest.hexdigest())
+            yield batch.assign(md5=digests)
+
     files = file_scan(spark, folder)
     small = files.where(F.col("length") <= cell_bytes).select(
         "path", "length", fn.content_md5("content").alias("md5")
@@ -42,7 +41,7 @@ def file_md5(spark: SparkSession, folder: str, cell_bytes: int = CELL_BYTES) ->
         files.where(F.col("length") > cell_bytes)
         .select("path", "length")
         .repartition("path")
-        .mapInPandas(_hash_pieces, "path string, length long, md5 string")
+        .mapInPandas(hash_pieces, "path string, length long, md5 string")
     )
     above = folder.rstrip("/").rpartition("/")[0] + "/"
     relative = F.substr(F.col("path"), F.locate(above, F.col("path")) + len(above))

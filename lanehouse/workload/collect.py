@@ -125,17 +125,6 @@ def cohort_tsv(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema("sample string, gvcf string").csv(path, sep="\t")
 
 
-def count_long(frame: pd.DataFrame, limit: int) -> pd.DataFrame:
-    """One summary row of the documents of a source."""
-    return pd.DataFrame(
-        {
-            "source": [frame["source"].iloc[0]],
-            "documents": [len(frame)],
-            "long_documents": [int((frame["n_chars"] > limit).sum())],
-        }
-    )
-
-
 @query(
     """
     SELECT source, count(*) AS documents,
@@ -144,6 +133,11 @@ def count_long(frame: pd.DataFrame, limit: int) -> pd.DataFrame:
     """
 )
 def mapped_groups(spark: SparkSession, folder: str) -> DataFrame:
+    def count_long(frame: pd.DataFrame, limit: int) -> pd.DataFrame:
+        long_ones = int((frame["n_chars"] > limit).sum())
+        row = {"source": frame["source"].iloc[0], "documents": len(frame), "long_documents": long_ones}
+        return pd.DataFrame([row])
+
     documents = scan(spark, folder, "documents").select("doc_id", "source", "n_chars")
     summaries = sets.map_groups(
         documents,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lanehouse.functions import columns as fn
@@ -17,9 +17,14 @@ from lanehouse.workload.registry import query
 COLUMNS = ("order_id", "customer_id", "status", "ordered", "priority")
 
 
+def iso(column: str) -> Column:
+    """A zone-less timestamp as ISO text, whatever the time zone of the session."""
+    return F.replace(F.col(column).cast("string"), F.lit(" "), F.lit("T"))
+
+
 def source_orders(spark: SparkSession, folder: str) -> DataFrame:
     """Orders as they arrive, the date as text."""
-    text = F.concat(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"), F.lit(".000000Z"))
+    text = F.concat(iso("o_orderdate"), F.lit(".000000Z"))
     return scan(spark, folder, "orders").select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
@@ -116,9 +121,7 @@ def as_project(orders: DataFrame, status) -> DataFrame:
         F.col("o_orderkey").alias("project_id"),
         F.format_string("P%06d", "o_orderkey").alias("project_igf_id"),
         F.format_string("project_%d", "o_custkey").alias("project_name"),
-        F.concat(
-            F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"), F.lit(".000000Z")
-        ).alias("start_timestamp"),
+        F.concat(iso("o_orderdate"), F.lit(".000000Z")).alias("start_timestamp"),
         F.lit(None).cast("string").alias("description"),
         status.alias("status"),
         F.col("o_orderpriority").alias("deliverable"),
@@ -228,11 +231,11 @@ def sync_users(spark: SparkSession, folder: str) -> DataFrame:
     """
 )
 def ts_normalise(spark: SparkSession, folder: str) -> DataFrame:
-    iso = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")
+    plain = iso("o_orderdate")
     text = (
-        F.when(F.col("o_orderkey") % 13 == 0, F.concat(F.lit("about "), iso))
-        .when(F.col("o_orderkey") % 3 == 0, iso)
-        .otherwise(F.concat(iso, F.lit(".000000Z")))
+        F.when(F.col("o_orderkey") % 13 == 0, F.concat(F.lit("about "), plain))
+        .when(F.col("o_orderkey") % 3 == 0, plain)
+        .otherwise(F.concat(plain, F.lit(".000000Z")))
     )
     return scan(spark, folder, "orders").select(
         "o_orderkey", fn.normalise_ts(text).alias("ordered")

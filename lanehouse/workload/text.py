@@ -297,7 +297,7 @@ def scalar_pack(spark: SparkSession, folder: str) -> DataFrame:
         "o_orderkey",
         fn.date_tag("o_orderdate").alias("tag"),
         days.alias("days"),
-        F.date_format(fn.cutoff(now, days.cast("int")), "yyyy-MM-dd HH:mm:ss").alias("cutoff"),
+        fn.cutoff(now, days.cast("int")).cast("string").alias("cutoff"),
         capped.alias("capped"),
         (F.col("o_custkey") - capped).alias("rest"),
         F.coalesce(fn.is_false(flag), F.lit(False)).alias("is_false_flag"),

@@ -33,6 +33,22 @@ def test_cut_spaces(spark, line, expected):
     assert value(spark, fn.cut_spaces("line", [2, 3]), line=line) == expected
 
 
+def test_random_lines_against_plain_splits(spark):
+    rng = random.Random(5)
+    lines = ["".join(rng.choice("ab \t") for _ in range(rng.randrange(30))) for _ in range(400)]
+    lines += ["  ", "a", " a b", "a\tb c"]
+    rows = spark.createDataFrame([(n, line) for n, line in enumerate(lines)], "n int, line string")
+    got = rows.select(
+        "n", fn.tokens("line", [1, 3, 4], "|").alias("t"), fn.cut_spaces("line", [2, 4]).alias("c")
+    )
+    for row in got.collect():
+        words = lines[row.n].split()
+        assert row.t == "|".join(words[i] if i < len(words) else "" for i in (0, 2, 3))
+        parts = lines[row.n].split(" ")
+        cut = " ".join(parts[i] for i in (1, 3) if i < len(parts))
+        assert row.c == (cut if len(parts) > 1 else lines[row.n])
+
+
 def test_words_stand_alone(spark):
     word = fn.has_word("line", "a-2019")
     assert value(spark, word, line="x a-2019 y")
