@@ -101,7 +101,9 @@ def date_tag(value: ColumnOrName) -> Column:
 
 def text_lines(text: ColumnOrName) -> Column:
     """The lines of a text in order; a final line break ends the last line and adds none."""
-    return F.split(F.regexp_replace(as_column(text), r"\n\z", ""), "\n")
+    value = as_column(text)
+    body = F.when(value.endswith("\n"), F.left(value, F.length(value) - 1)).otherwise(value)
+    return F.split(body, "\n")
 
 
 def field(line: ColumnOrName, position: int) -> Column:

@@ -171,7 +171,7 @@ def sync_projects(spark: SparkSession, folder: str) -> DataFrame:
     SELECT * FROM source WHERE pipeline_id > (SELECT coalesce(max(pipeline_id), 0) FROM target)
     """
 )
-def sync_pipelines(spark: SparkSession, folder: str) -> DataFrame:
+def sync_active_flags(spark: SparkSession, folder: str) -> DataFrame:
     part = scan(spark, folder, "part")
     stamp = F.date_add(F.lit("2024-01-01").cast("date"), F.col("p_size"))
     source = part.select(
