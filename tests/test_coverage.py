@@ -2,7 +2,7 @@ import importlib
 import re
 from pathlib import Path
 
-import __spark_entry__ as entry
+from lanehouse.workload import QUERIES
 
 ROOT = Path(__file__).resolve().parents[1]
 
@@ -20,7 +20,7 @@ def test_every_listed_operator_is_covered():
 
 
 def test_named_functions_and_queries_exist():
-    queries = set(entry.queries())
+    queries = set(QUERIES)
     named = set()
     for _, functions, runs in table():
         home = None

@@ -2,15 +2,14 @@
 
 import re
 
-import __spark_entry__ as entry
 import pytest
 from pyspark.sql import functions as F
 
 from lanehouse.operators import filters, windows
 from lanehouse.plans import capacity
 from lanehouse.sources import readers
+from lanehouse.workload import QUERIES
 
-QUERIES = entry.queries()
 # their broadcast side has one row per shuffle partition
 POSITIONS = {"chunks_exact", "checksum_chunks"}
 
