@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lanehouse.llm import packing, token_counts
+from lanehouse.llm import languages, line_dedup, packing, quality, secrets, token_counts
 from lanehouse.sources.readers import scan
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,12 +34,58 @@ def tokenizer(name: str) -> str:
     return path(name)
 
 
+@query(
+    """
+    WITH pages AS (SELECT doc_id, source, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+    on_page AS (
+        SELECT source, unnest(list_distinct(list_filter(
+            list_transform(lines, lambda x: trim(x)), lambda x: x <> ''))) AS line
+        FROM pages WHERE source IS NOT NULL),
+    counted AS (SELECT source, line, count(*) AS n FROM on_page GROUP BY ALL),
+    totals AS (SELECT source, count(*) AS n_pages FROM documents GROUP BY ALL),
+    gone AS (
+        SELECT source, list(line) AS drop_lines FROM counted JOIN totals USING (source)
+        WHERE n >= 5 AND n > 0.1 * n_pages GROUP BY ALL),
+    kept AS (
+        SELECT doc_id, lines, CASE WHEN drop_lines IS NULL THEN lines ELSE list_filter(
+            lines, lambda x: NOT list_contains(drop_lines, trim(x))) END AS left_lines
+        FROM pages LEFT JOIN gone USING (source))
+    SELECT doc_id, CAST(len(lines) AS INTEGER) AS n_lines,
+        CAST(len(lines) - len(left_lines) AS INTEGER) AS n_dropped, array_to_string(left_lines, chr(10)) AS text
+    FROM kept
+    """
+)
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.drop_boilerplate(scan(spark, sf_dir, "documents"), "source")
+    return cleaned.select("doc_id", "n_lines", "n_dropped", "text")
+
+
+@query()
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan_secrets(scan(spark, sf_dir, "documents"))
+    base, spans = secrets.spans_text(F.col("base_spans")), secrets.spans_text(F.col("spans"))
+    return found.select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2(base, 256).alias("base_sha256"), spans.alias("spans")
+    )
+
+
+@query()
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = scan(spark, sf_dir, "documents")
+    return quality.score(docs, quality.learn(docs, scan(spark, sf_dir, "labels")))
+
+
 @query()
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = scan(spark, sf_dir, "documents")
     return packing.pack_documents(docs, tokenizer("byte_bpe_50k.tiktoken"), SEQUENCE_TOKENS)
 
 
+@query()
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages.language_id(scan(spark, sf_dir, "documents"))
+
+
 @query()
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = scan(spark, sf_dir, "documents")
