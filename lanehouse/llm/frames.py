@@ -86,3 +86,21 @@ def utf8(array: pa.Array):
     if data is None or bounds[-1] == bounds[0]:
         return np.zeros(0, dtype=np.uint8), bounds - bounds[0]
     return np.frombuffer(data, dtype=np.uint8)[bounds[0] : bounds[-1]], bounds - bounds[0]
+
+
+def packed(values) -> bytes:
+    """32-bit ``values`` as compressed bytes: first all low bytes, then the next ones."""
+    import numpy as np
+    import zstandard
+
+    planes = np.ascontiguousarray(values, dtype="<u4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.compress(planes.tobytes(), 1)
+
+
+def unpacked(data: bytes):
+    """The values given to ``packed``, as 32-bit numbers without sign."""
+    import numpy as np
+    import zstandard
+
+    planes = np.frombuffer(zstandard.decompress(data), dtype=np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel()

@@ -7,6 +7,7 @@ times how many pieces it has. No token id is kept anywhere.
 
 from __future__ import annotations
 
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -20,11 +21,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
 from lanehouse.llm.exchange import ANSWER, ask, bucket_bits, bucket_edges
-from lanehouse.llm.frames import gathered, keep, texts, utf8
+from lanehouse.llm.frames import gathered, keep, packed, texts, unpacked, utf8
 from lanehouse.llm.words import span_hashes
 
-CHUNK_BYTES = 8 << 20
-BUCKET_WORDS = 250_000
+CHUNK_BYTES = 4 << 20
+BUCKET_WORDS = 150_000
 #: texts above this many characters are cut one pre-token at a time
 LONG_TEXT = 8 << 20
 
@@ -106,7 +107,7 @@ def _encode(path: str):
         cutter, part = Cutter(path), TaskContext.get().partitionId()
         for number, batch in enumerate(gathered(batches, size=CHUNK_BYTES)):
             local: dict[str, int] = {}
-            places, counts, sizes, specials = [], [], [], []
+            places, counts, sizes, specials = array("i"), array("i"), [], []
             for value in batch.column("text"):
                 found, special = cutter.counted(value.as_py())
                 places.extend([local.setdefault(word, len(local)) for word in found])
@@ -115,18 +116,27 @@ def _encode(path: str):
                 specials.append(special)
             words = pa.array(list(local), pa.string())
             data, bounds = utf8(words)
-            order = np.argsort(span_hashes(data, bounds[:-1], bounds[1:]), kind="stable")
-            rank = np.empty(len(order), dtype=np.int32)
-            rank[order] = np.arange(len(order), dtype=np.int32)
+            by_hash = np.argsort(span_hashes(data, bounds[:-1], bounds[1:]), kind="stable")
+            rank = np.empty(len(local), dtype=np.int64)
+            rank[by_hash] = np.arange(len(local))
+            # each document's places in rising order, as steps, which pack well
+            place = rank[np.frombuffer(places, dtype=np.int32)]
+            counts = np.frombuffer(counts, dtype=np.int32)
+            order = np.argsort(np.repeat(np.arange(len(sizes)), sizes) * len(local) + place)
+            place = place[order]
+            rise = np.diff(place, prepend=0)
+            first = np.cumsum([0, *sizes])[:-1]
+            first = first[np.array(sizes) > 0]
+            rise[first] = place[first]
             row = {
                 "chunk": (part << 32) + number,
                 "doc_ids": batch.column("doc_id").to_pylist(),
                 "n_bytes": np.diff(utf8(batch.column("text"))[1]),
                 "specials": specials,
                 "sizes": sizes,
-                "places": rank[np.array(places, dtype=np.int64)].tobytes(),
-                "counts": np.array(counts, dtype=np.int32).tobytes(),
-                "words": words.take(pa.array(order)),
+                "places": packed(rise),
+                "counts": packed(counts[order]),
+                "words": words.take(pa.array(by_hash)),
                 "n_words": len(local),
             }
             yield pa.RecordBatch.from_arrays(
@@ -192,11 +202,12 @@ def _sums(limit: int):
             for row in batch.to_pylist():
                 answer = b"".join(row["answer"] or ())
                 each = np.frombuffer(answer, dtype=np.int32).astype(np.int64)
-                places = np.frombuffer(row["places"], dtype=np.int32)
-                times = np.frombuffer(row["counts"], dtype=np.int32)
-                total = np.concatenate([[0], np.cumsum(each[places] * times)])
+                rise = unpacked(row["places"]).astype(np.int64)
                 ends = np.cumsum(np.array(row["sizes"], dtype=np.int64))
                 first = np.concatenate([[0], ends[:-1]])
+                place = np.concatenate([[0], np.cumsum(rise)])
+                place = place[1:] - np.repeat(place[first], row["sizes"])
+                total = np.concatenate([[0], np.cumsum(each[place] * unpacked(row["counts"]))])
                 tokens = total[ends] - total[first] + np.array(row["specials"], dtype=np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
