@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanehouse.llm import languages, line_dedup, packing, quality, secrets, token_counts
+from lanehouse.llm import (
+    fingerprints,
+    languages,
+    line_dedup,
+    packing,
+    quality,
+    secrets,
+    token_counts,
+)
 from lanehouse.sources.readers import scan
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +42,14 @@ def tokenizer(name: str) -> str:
     return path(name)
 
 
+@query()
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprints.fingerprints(scan(spark, sf_dir, "documents"))
+    return found.withColumns(
+        {"n_removed": F.size("edited_removed"), "n_added": F.size("edited_added")}
+    ).drop("edited_removed", "edited_added")
+
+
 @query(
     """
     WITH pages AS (SELECT doc_id, source, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
