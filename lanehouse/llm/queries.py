@@ -11,6 +11,7 @@ from lanehouse.llm import (
     fingerprints,
     languages,
     line_dedup,
+    near_dedup,
     packing,
     quality,
     secrets,
@@ -50,6 +51,11 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("edited_removed", "edited_added")
 
 
+@query()
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(scan(spark, sf_dir, "documents"))
+
+
 @query(
     """
     WITH pages AS (SELECT doc_id, source, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
