@@ -17,9 +17,6 @@ from pyspark.sql.pandas.types import from_arrow_schema
 #: keys that one bucket gets in all
 BUCKET_KEYS = 1_000_000
 
-ANSWER = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("answer", pa.binary())])
-
-
 def bucket_bits(keys: int, per_bucket: int = BUCKET_KEYS) -> int:
     """Leading bits of the hash that name the bucket: as many buckets as ``keys`` need."""
     return max(2, (max(keys, 1) // per_bucket).bit_length())
@@ -36,13 +33,14 @@ def bucket_edges(hashes, bits: int):
 def ask(
     chunks: DataFrame,
     requests: Callable[[pa.RecordBatch], Iterator[tuple]],
-    schema: pa.Schema,
+    asked: pa.Schema,
     answers: Callable[[pa.Table], pa.Table],
+    answered: pa.Schema,
 ) -> DataFrame:
-    """``chunks`` with ``answer``: what its buckets answered, in their order.
+    """The answers of all buckets, rows of ``answered``.
 
-    ``requests`` turns a batch of one chunk into rows of ``schema`` (``chunk``, ``bucket`` and what is
-    asked), ``answers`` all requests to one bucket into rows of ``ANSWER``.
+    ``requests`` turns a batch of one chunk into rows of ``asked``, and ``answers`` all requests to one
+    bucket into rows of ``answered``. Both schemas begin with ``chunk`` (long) and ``bucket`` (int).
     """
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -52,15 +50,15 @@ def ask(
                 if found:
                     columns = zip(*found, strict=True)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)],
-                        schema=schema,
+                        [pa.array(c, f.type) for c, f in zip(columns, asked, strict=True)], schema=asked
                     )
 
-    sent = chunks.mapInArrow(send, from_arrow_schema(schema))
-    replies = sent.groupBy("bucket").applyInArrow(answers, from_arrow_schema(ANSWER))
-    together = replies.groupBy("chunk").agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("bucket", "answer"))), lambda reply: reply["answer"]
-        ).alias("answer")
-    )
+    sent = chunks.mapInArrow(send, from_arrow_schema(asked))
+    return sent.groupBy("bucket").applyInArrow(answers, from_arrow_schema(answered))
+
+
+def with_answers(chunks: DataFrame, replies: DataFrame) -> DataFrame:
+    """``chunks`` with ``answers``: an array of what its buckets answered, in their order."""
+    parts = F.struct("bucket", *(c for c in replies.columns if c not in ("chunk", "bucket")))
+    together = replies.groupBy("chunk").agg(F.array_sort(F.collect_list(parts)).alias("answers"))
     return chunks.join(together, "chunk", "left")

@@ -88,19 +88,20 @@ def utf8(array: pa.Array):
     return np.frombuffer(data, dtype=np.uint8)[bounds[0] : bounds[-1]], bounds - bounds[0]
 
 
-def packed(values) -> bytes:
-    """32-bit ``values`` as compressed bytes: first all low bytes, then the next ones."""
+def packed(values, kind: str = "<u4") -> bytes:
+    """Numbers of ``kind`` as compressed bytes: first all lowest bytes, then the next ones."""
     import numpy as np
     import zstandard
 
-    planes = np.ascontiguousarray(values, dtype="<u4").view(np.uint8).reshape(-1, 4).T
+    size = np.dtype(kind).itemsize
+    planes = np.ascontiguousarray(values, dtype=kind).view(np.uint8).reshape(-1, size).T
     return zstandard.compress(planes.tobytes(), 1)
 
 
-def unpacked(data: bytes):
-    """The values given to ``packed``, as 32-bit numbers without sign."""
+def unpacked(data: bytes, kind: str = "<u4"):
+    """The values given to ``packed``."""
     import numpy as np
     import zstandard
 
     planes = np.frombuffer(zstandard.decompress(data), dtype=np.uint8)
-    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel()
+    return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()

@@ -11,6 +11,7 @@ from lanehouse.llm import (
     fingerprints,
     languages,
     line_dedup,
+    lm_scores,
     near_dedup,
     packing,
     quality,
@@ -82,6 +83,11 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_dropped", "text")
 
 
+@query()
+def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores.score_texts(scan(spark, sf_dir, "documents"))
+
+
 @query()
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_secrets(scan(spark, sf_dir, "documents"))

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from lanehouse.llm.exchange import ANSWER, ask, bucket_bits, bucket_edges
+from lanehouse.llm.exchange import ask, bucket_bits, bucket_edges, with_answers
 from lanehouse.llm.frames import gathered, keep, packed, texts, unpacked, utf8
 from lanehouse.llm.words import span_hashes
 
@@ -52,6 +52,7 @@ CHUNKS = pa.schema(
 REQUESTS = pa.schema(
     [("chunk", pa.int64()), ("bucket", pa.int32()), ("words", pa.list_(pa.string()))]
 )
+ANSWERS = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("pieces", pa.binary())])
 
 
 @lru_cache(maxsize=4)
@@ -181,7 +182,7 @@ def _answers(path: str):
         replies = [part.tobytes() for part in np.split(found, ends[:-1])]
         return pa.Table.from_arrays(
             [table.column("chunk"), table.column("bucket"), pa.array(replies, pa.binary())],
-            schema=ANSWER,
+            schema=ANSWERS,
         )
 
     return answers
@@ -200,8 +201,8 @@ def _sums(limit: int):
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                answer = b"".join(row["answer"] or ())
-                each = np.frombuffer(answer, dtype=np.int32).astype(np.int64)
+                pieces = b"".join(answer["pieces"] for answer in row["answers"] or ())
+                each = np.frombuffer(pieces, dtype=np.int32).astype(np.int64)
                 rise = unpacked(row["places"]).astype(np.int64)
                 ends = np.cumsum(np.array(row["sizes"], dtype=np.int64))
                 first = np.concatenate([[0], ends[:-1]])
@@ -237,8 +238,10 @@ def token_counts(docs: DataFrame, path: str, limit: int = 1024) -> DataFrame:
     )
     asked = chunks.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
     bits = bucket_bits(asked, BUCKET_WORDS)
-    known = ask(chunks, _requests(bits), REQUESTS, _answers(path))
+    replies = ask(chunks, _requests(bits), REQUESTS, _answers(path), ANSWERS)
     sums, schema = _sums(limit)
-    return known.select(
-        "doc_ids", "n_bytes", "specials", "sizes", "places", "counts", "answer"
-    ).mapInArrow(sums, schema)
+    return (
+        with_answers(chunks, replies)
+        .select("doc_ids", "n_bytes", "specials", "sizes", "places", "counts", "answers")
+        .mapInArrow(sums, schema)
+    )
