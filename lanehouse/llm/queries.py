@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lanehouse.llm import (
+    decontamination,
     fingerprints,
     languages,
     line_dedup,
@@ -114,6 +115,11 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages.language_id(scan(spark, sf_dir, "documents"))
 
 
+@query()
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(scan(spark, sf_dir, "documents"), scan(spark, sf_dir, "benchmark"))
+
+
 @query()
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = scan(spark, sf_dir, "documents")
