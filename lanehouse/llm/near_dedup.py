@@ -34,6 +34,9 @@ BANDS, ROWS = 40, 6
 #: members of one bucket that are compared in one task; larger ones are cut and compared part by part
 BLOCK = 1000
 
+#: bytes of text that are worked on at a time; a text of some words has as many darts as a long one
+SLICE_BYTES = 1 << 18
+
 HASHES = pa.list_(pa.int64())
 
 
@@ -149,7 +152,7 @@ def _with_keys(bands: int, rows: int, counted: bool):
     schema = pa.schema([("doc_id", pa.int64()), ("hash", pa.binary()), ("keys", HASHES)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in cut(batches):
+        for batch in cut(batches, size=SLICE_BYTES):
             n = batch.num_rows
             element, owner, times = shingles(*utf8(batch.column("text")))
             weight = times.astype(float) if counted else np.ones(len(element))
@@ -167,7 +170,7 @@ def _with_sets(counted: bool):
     schema = pa.schema([("id", pa.int64()), ("shingles", HASHES)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in cut(batches):
+        for batch in cut(batches, size=SLICE_BYTES):
             element, owner, times = shingles(*utf8(batch.column("text")))
             if counted:
                 # each occurrence is an element, which makes weighted and plain similarity the same
