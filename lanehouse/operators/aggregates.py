@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lanehouse.functions import columns as fn
-from lanehouse.operators.skew import PART, with_part
+from lanehouse.operators.numbering import position_within
 
 # Fixed values
 ACTIVE_STATES = ["Q", "R"]
@@ -83,23 +83,12 @@ def active_total(counts: DataFrame) -> DataFrame:
 
 
 def collect_values(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    rows_per_part: int = 100_000,
-    spread: Sequence[str] | None = None,
-    order: Sequence[str] = (),
+    df: DataFrame, keys: Sequence[str], value: str, order: Sequence[str] = ()
 ) -> DataFrame:
-    """The values of each key as a list ordered by ``order``, then value.
-
-    A key with more than ``rows_per_part`` rows has several records, told apart by ``part``, which
-    together hold all its values.
-    """
-    parted = with_part(df, keys, spread or [value, *order], rows_per_part)
-    entries = F.sort_array(F.collect_list(F.struct(*order, F.col(value).alias("_value"))))
-    return parted.groupBy(*keys, PART).agg(
-        F.transform(entries, lambda entry: entry["_value"]).alias(f"{value}s")
-    )
+    """The values of each key as rows with their position from 1, ordered by ``order``, then value."""
+    entries = df.select(*keys, *(c for c in order if c not in keys), value)
+    numbered = position_within(entries, keys, [*order, value])
+    return numbered.select(*keys, "position", value)
 
 
 def active_count(workers: DataFrame, active: str, as_column: str = "active_jobs") -> DataFrame:
@@ -184,37 +173,16 @@ def ordered_reports(
     tool: str,
     path: str,
     order: Sequence[str] = tuple(REPORT_TOOLS),
-    rows_per_part: int = 100_000,
 ) -> DataFrame:
-    """Ours: the report paths of each group in the order of a list of tools, others left out."""
-    position = F.array_position(F.array(*(F.lit(name) for name in order)), F.col(tool))
-    listed = reports.withColumn("_position", position).where(F.col("_position") > 0)
-    return collect_values(
-        listed, keys, path, rows_per_part, spread=[tool, path], order=["_position"]
-    )
+    """Ours: the report paths of each group, numbered in the order of a list of tools, others left out."""
+    place = F.array_position(F.array(*(F.lit(name) for name in order)), F.col(tool))
+    listed = reports.withColumn("_tool", place).where(F.col("_tool") > 0)
+    return collect_values(listed, keys, path, order=["_tool"])
 
 
-def nested_counts(
-    sheets: DataFrame, keys: Sequence[str], n: str, entries_per_part: int = 100_000
-) -> DataFrame:
-    """Counts summed by run, project, lane and index group, with the two inner levels as a map.
-
-    ``keys`` are the outer keys followed by the lane and the index group. One row per outer key
-    holds ``lane -> index group -> count``; a map of more than ``entries_per_part`` counts is spread
-    over several rows, told apart by ``part``.
-    """
-    *outer, lane, group = keys
-    finest = sheets.groupBy(*keys).agg(F.sum(n).cast("long").alias("_n"))
-    parted = with_part(finest, outer, [lane, group], entries_per_part)
-    lanes = parted.groupBy(*outer, PART, lane).agg(
-        F.map_from_entries(F.sort_array(F.collect_list(F.struct(group, "_n")))).alias("_groups")
-    )
-    entry = F.struct(F.col(lane).alias("key"), F.col("_groups").alias("value"))
-    ordered = F.array_sort(
-        F.collect_list(entry),
-        lambda a, b: F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0),
-    )
-    return lanes.groupBy(*outer, PART).agg(F.map_from_entries(ordered).alias("lanes"))
+def nested_counts(sheets: DataFrame, keys: Sequence[str], n: str) -> DataFrame:
+    """Counts summed by run, project, lane and index group, a row for each of the innermost."""
+    return sheets.groupBy(*keys).agg(F.sum(n).cast("long").alias("n"))
 
 
 def distinct_edges(edges: DataFrame, flow: str = "downstream") -> DataFrame:
@@ -228,8 +196,6 @@ def distinct_edges(edges: DataFrame, flow: str = "downstream") -> DataFrame:
     ).distinct()
 
 
-def adjacency(
-    edges: DataFrame, flow: str = "downstream", rows_per_part: int = 100_000
-) -> DataFrame:
-    """The ordered set of neighbours of each task, in parts when it is very large."""
-    return collect_values(distinct_edges(edges, flow), ["task"], "neighbour", rows_per_part)
+def adjacency(edges: DataFrame, flow: str = "downstream") -> DataFrame:
+    """The set of neighbours of each task, a row for each."""
+    return distinct_edges(edges, flow)

@@ -59,6 +59,15 @@ def require_rows(df: DataFrame, message: str) -> DataFrame:
     return df.where(checked.scalar())
 
 
+def require_unique(df: DataFrame, key: str, message: str) -> DataFrame:
+    """The frame itself; running it fails with ``message`` and a key that has more than one row."""
+    repeated = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    some = repeated.agg(F.min(F.col(key).cast("string")).alias("key"), F.count(F.lit(1)).alias("n"))
+    text = F.concat(F.lit(f"{message}: "), F.coalesce("key", F.lit("NULL")))
+    checked = some.select(F.when(F.col("n") > 0, F.raise_error(text)).otherwise(F.lit(True)))
+    return df.where(checked.scalar())
+
+
 def complete_runs(
     listing: DataFrame, run: str, path: str, member: str = RUN_MARKER
 ) -> DataFrame:

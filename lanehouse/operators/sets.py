@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lanehouse.operators.skew import PART, with_part
-
 # Rows one input row may become within a task before they are spread
 EXPANSION_BLOCK = 1 << 16
 
@@ -31,19 +29,12 @@ def flatten_groups(df: DataFrame, values: str, as_column: str) -> DataFrame:
     return df.select(*others, F.explode(values).alias(as_column))
 
 
-def expand_by_count(
-    df: DataFrame, n: str, as_column: str = "item", bound: int | None = None
-) -> DataFrame:
+def expand_by_count(df: DataFrame, n: str, as_column: str = "item") -> DataFrame:
     """One row per whole number 1..n; none for n below 1.
 
-    Unless the caller knows a ``bound`` for n, a row is first cut into blocks of numbers, which are
-    spread over the tasks and then expanded.
+    A row is first cut into blocks of numbers, which are spread over the tasks and then expanded.
     """
     count = F.col(n).cast("long")
-    if bound is not None and bound <= EXPANSION_BLOCK:
-        return df.where(count >= 1).withColumn(
-            as_column, F.explode(F.sequence(F.lit(1).cast("long"), count))
-        )
     last_block = F.floor((count - 1) / EXPANSION_BLOCK)
     first = F.col("_block") * EXPANSION_BLOCK + 1
     blocks = df.where(count >= 1).withColumn(
@@ -74,17 +65,19 @@ def map_groups(
     keys: Sequence[str],
     fn: Callable[..., pd.DataFrame],
     schema: str,
-    spread: Sequence[str],
-    rows_per_part: int = 100_000,
+    merge: Sequence[Column],
     **fixed,
 ) -> DataFrame:
-    """Call ``fn(frame, **fixed)`` for each group and collect what it returns.
+    """Call ``fn(frame, **fixed)`` for batches of each group and merge what it returns per group.
 
-    A group of more than ``rows_per_part`` rows is passed in several frames, told apart by the
-    column ``part``; the caller merges their results with an aggregate.
+    Every group comes in batches, whatever its size, and a batch holds rows of one group only. ``fn``
+    returns rows of ``schema``, which has the keys; ``merge`` are the aggregates that make one row of
+    all rows of a group. Only what ``fn`` returns is shuffled.
     """
-    def call(frame: pd.DataFrame) -> pd.DataFrame:
-        return fn(frame, **fixed)
 
-    parted = with_part(df, keys, spread, rows_per_part)
-    return parted.groupBy(*keys, PART).applyInPandas(call, schema)
+    def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for _, frame in batch.groupby(list(keys), dropna=False, sort=False):
+                yield fn(frame.reset_index(drop=True), **fixed)
+
+    return df.mapInPandas(call, schema).groupBy(*keys).agg(*merge)

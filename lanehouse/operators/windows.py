@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lanehouse.functions import columns as fn
 from lanehouse.operators.keys import join_null_safe
+from lanehouse.operators.numbering import position_within
 from lanehouse.session import settle
 
 
@@ -123,10 +124,12 @@ def sections_of_text(text: Column, is_head: Callable[[Column], Column]) -> Colum
 def index_within(df: DataFrame, parents: Sequence[str], column: str, as_column: str) -> DataFrame:
     """Ours: number the distinct values of ``column`` within its parents, from 1 in their order.
 
-    Meant for frames that are already grouped to one row per item.
+    The distinct values are numbered by ``position_within`` and joined back, so a parent with many
+    values or rows needs no task of its own.
     """
-    place = Window.partitionBy(*parents).orderBy(column)
-    return df.withColumn(as_column, F.dense_rank().over(place).cast("long"))
+    values = df.select(*parents, column).distinct()
+    numbered = settle(position_within(values, parents, [column], as_column), "indexes")
+    return join_null_safe(df, numbered, [*parents, column])
 
 
 def slots(

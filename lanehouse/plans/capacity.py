@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -186,23 +187,44 @@ def idle_workers(
     )
 
 
+class Cleanup(NamedTuple):
+    """``idle``: workers to stop, ``branches``: what to follow, ``plan``: workers to start, with settings."""
+
+    idle: DataFrame
+    branches: DataFrame
+    plan: DataFrame
+
+
 def worker_cleanup(
-    workers: DataFrame, plan: DataFrame, base_queue: str = BASE_QUEUE
-) -> tuple[DataFrame, DataFrame]:
-    """The idle workers, and the branches to follow: planned queues and, if needed, the clean-up."""
+    workers: DataFrame,
+    waiting: DataFrame,
+    active: DataFrame,
+    conf: DataFrame,
+    cluster: Sequence[str] = ("cluster",),
+    base_queue: str = BASE_QUEUE,
+    per_queue_cap: int = MAX_WORKERS_PER_QUEUE,
+    total_cap: int = MAX_TOTAL_WORKERS,
+) -> Cleanup:
+    """The capacity plan and, from it, the idle workers and the branches to follow.
+
+    Needed are the planned queues whose name has the prefix; each is a branch, and the clean-up is one
+    more when a worker is idle. Plan rows are kept for configured queues only.
+    """
+    capped = capacity_plan(
+        waiting, active, cluster, per_queue_cap=per_queue_cap, total_cap=total_cap
+    )
+    plan = settle(capped, "plan")
     needed = keep_prefix(plan, "queue", QUEUE_PREFIX).select("queue").distinct()
     idle = idle_workers(workers, needed, base_queue)
     branches = append_when(
         needed.withColumnRenamed("queue", "branch"), {"branch": F.lit(CLEANUP_BRANCH)}, idle
     )
-    return idle, branches
+    return Cleanup(idle, branches, with_config(plan, conf))
 
 
-def task_expansion(
-    plan: DataFrame, conf: DataFrame, mode: str = "", bound: int = MAX_WORKERS_PER_QUEUE
-) -> DataFrame:
+def task_expansion(plan: DataFrame, conf: DataFrame, mode: str = "") -> DataFrame:
     """One row per submission for planned queues with settings; in array mode one per queue."""
     rows = with_config(plan, conf)
     if mode == ARRAY_MODE:
         return rows.withColumn("task", F.lit(1).cast("long"))
-    return expand_by_count(rows, "new_tasks", "task", bound)
+    return expand_by_count(rows, "new_tasks", "task")

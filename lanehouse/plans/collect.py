@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lanehouse.functions import columns as fn
 from lanehouse.operators.aggregates import collect_values
-from lanehouse.operators.filters import drop_null, require_rows
+from lanehouse.operators.filters import drop_null, require_unique
 
 # Fixed values
 REQUIRED_OUTPUTS = [
@@ -42,20 +42,40 @@ REQUIRED_OUTPUTS = [
 GVCF_OUTPUT = "ExomeGermlineSingleSample.output_vcf"
 
 
-def collect_inputs(
-    rows: DataFrame, key: str, value: str, rows_per_part: int = 100_000
+def collect_inputs(rows: DataFrame, key: str, value: str) -> DataFrame:
+    """The files of each sample, numbered from 1; entries without a sample or a file are left out."""
+    return collect_values(drop_null(rows, [key, value]), [key], value)
+
+
+def required_outputs(required: Sequence[str]) -> Column:
+    """The required text outputs of a document as a map; empty where it has no outputs at all."""
+    none = F.create_map().cast("map<string, variant>")
+    return F.coalesce(fn.keep_entries("metadata.outputs", required), none)
+
+
+def outputs_per_document(
+    metadata: DataFrame, keep: Sequence[str], required: Sequence[str] = tuple(REQUIRED_OUTPUTS)
 ) -> DataFrame:
-    """The files of each sample, entries without a sample or a file left out."""
-    return collect_values(drop_null(rows, [key, value]), [key], value, rows_per_part)
+    """How many required outputs each document has, 0 included."""
+    return metadata.select(*keep, F.size(required_outputs(required)).cast("long").alias("outputs"))
 
 
-def selected_outputs(
+def select_outputs(
     metadata: DataFrame, keep: Sequence[str], required: Sequence[str] = tuple(REQUIRED_OUTPUTS)
 ) -> DataFrame:
-    """Required text outputs of workflow metadata as rows with the sample and the base name."""
+    """Required text outputs of workflow metadata as rows with the sample and the base name.
+
+    Running it fails at a document without any, with the values of ``keep`` in the message. The check
+    is part of the same pass.
+    """
     sample = F.col("metadata.inputs.sample_and_unmapped_bams.sample_name").alias("sample_name")
-    outputs = fn.keep_entries("metadata.outputs", required)
-    return metadata.select(*keep, sample, F.explode(outputs).alias("output", "_value")).select(
+    which = F.concat_ws(",", *(F.col(c).cast("string") for c in keep))
+    nothing = F.raise_error(F.concat(F.lit("no required file found in document "), which))
+    outputs = required_outputs(required)
+    checked = F.transform(
+        F.array(outputs), lambda found: F.when(F.size(found) > 0, found).otherwise(nothing)
+    )[0]
+    return metadata.select(*keep, sample, F.explode(checked).alias("output", "_value")).select(
         *keep,
         "sample_name",
         "output",
@@ -63,22 +83,16 @@ def selected_outputs(
     )
 
 
-def select_outputs(
-    metadata: DataFrame, keep: Sequence[str], required: Sequence[str] = tuple(REQUIRED_OUTPUTS)
-) -> DataFrame:
-    """The same; running it fails when nothing was found."""
-    return require_rows(selected_outputs(metadata, keep, required), "no required file found")
-
-
 def build_cohort_list(entries: DataFrame, folder: str) -> DataFrame:
-    """``(sample, gvcf)`` with the file's place below a common folder.
+    """``(sample, gvcf)`` with the file's place below a common folder; a repeated sample fails the job.
 
     ``entries`` has the variant ``document``: a sample's outputs, or a list that starts with them.
     """
     first = fn.first_or_self("document")
     sample = F.try_variant_get(first, "$.sample_name", "string")
     gvcf = F.try_variant_get(first, f'$["{GVCF_OUTPUT}"]', "string")
-    return entries.select(
+    listed = entries.select(
         sample.alias("sample"),
         fn.join_path(F.lit(folder), sample, fn.base_name(gvcf)).alias("gvcf"),
     )
+    return require_unique(listed, "sample", "more than one entry for a sample")

@@ -11,7 +11,6 @@ from lanehouse.sources.digests import file_md5
 
 # Fixed values
 CHECKSUM_CHUNKS = 50
-COPY_CHUNKS = 10
 MANIFEST_LINE = r"^([0-9a-f]{32})  (.+)$"
 
 

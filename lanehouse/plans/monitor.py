@@ -15,18 +15,15 @@ from lanehouse.operators.aggregates import (
     status_counts,
     storage_totals,
 )
+from lanehouse.operators.numbering import position_within
 from lanehouse.operators.sets import union_all
 from lanehouse.operators.windows import context_of_text
-from lanehouse.session import settle
 
 # Fields of a disk line (used, available, mount) and of a quota line (used, limit)
 DISK_FIELDS = (3, 4, 6)
 QUOTA_FIELDS = (13, 15)
 QUOTA_LINE = "Live"
 
-# Rows the lists of one summary document may hold together
-SUMMARY_ROWS = 10_000
-
 
 def disk_usage(lines: DataFrame, volume: str, host: str = "host") -> DataFrame:
     """``(host, used, avail)`` from the disk lines that name a volume."""
@@ -68,27 +65,15 @@ def failing_servers(status: DataFrame, server: Sequence[str], state: str) -> Dat
     return replication_health(status, server, state).where(~F.col("healthy")).select(*server)
 
 
-def summary_lists(most: int = SUMMARY_ROWS, **summaries: DataFrame) -> dict[str, DataFrame]:
-    """Each summary as a one-row frame with its rows as a JSON list in ``document``.
-
-    The rows of all summaries are written and counted first: more than ``most`` rows are no summary
-    and fail the job before any are gathered.
-    """
-    rows = settle(
-        union_all(
-            *(
-                df.select(F.lit(name).alias("name"), F.to_json(F.struct("*")).alias("row"))
-                for name, df in summaries.items()
-            )
-        ),
-        "summary",
+def summary_rows(**summaries: DataFrame) -> DataFrame:
+    """The rows of several summaries as JSON: ``section``, ``position`` from 1 in the section, ``row``."""
+    rows = union_all(
+        *(
+            df.select(F.lit(name).alias("section"), F.to_json(F.struct("*")).alias("row"))
+            for name, df in summaries.items()
+        )
     )
-    too_many = F.raise_error(F.lit(f"more than {most} summary rows"))
-    counted = rows.agg(F.count(F.lit(1)).alias("n"))
-    few = counted.select(F.when(F.col("n") > most, too_many).otherwise(F.lit(True))).scalar()
-    body = F.concat_ws(",", F.sort_array(F.collect_list("row")))
-    document = F.concat(F.lit("["), body, F.lit("]")).alias("document")
-    return {name: rows.where(few & (F.col("name") == name)).agg(document) for name in summaries}
+    return position_within(rows, ["section"], ["row"]).select("section", "position", "row")
 
 
 def admin_summary(
@@ -100,10 +85,26 @@ def admin_summary(
     pipeline: str,
     status: str,
 ) -> DataFrame:
-    """One document of run counts, storage totals and pipeline status counts."""
-    lists = summary_lists(
+    """Run counts, storage totals and pipeline status counts as rows of three sections."""
+    return summary_rows(
         pipelines=status_counts(pipelines, pipeline, status),
         seqruns=run_counts(runs, ts, kind),
-        storage=storage_totals(usage).drop("used_share"),
+        storage=storage_totals(usage),
+    )
+
+
+def summary_totals(**summaries: tuple[DataFrame, Sequence[str]]) -> DataFrame:
+    """One document with the number of rows and the sums of the named columns of each summary."""
+    return merge_json(
+        **{
+            name: df.agg(
+                F.to_json(
+                    F.struct(
+                        F.count(F.lit(1)).alias("rows"),
+                        *(F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in columns),
+                    )
+                ).alias("document")
+            )
+            for name, (df, columns) in summaries.items()
+        }
     )
-    return merge_json(**lists)

@@ -18,15 +18,35 @@ from lanehouse.session import settle
 
 @dataclass(frozen=True)
 class AgedTable:
+    """A table to clean. With ``keep_last`` the last run of each group stays, see ``KeepLast``."""
+
     table: str
     age: str
-    keep_last: bool = False
+    keep_last: KeepLast | None = None
+
+
+@dataclass(frozen=True)
+class KeepLast:
+    """Which instants stay: the last of ``age`` in ``table`` among the rows where ``only`` is false, by group.
+
+    ``only`` names flag columns, all of which must be false and known.
+    """
+
+    table: str
+    age: str
+    only: tuple[str, ...] = ()
+    group_by: tuple[str, ...] = ()
 
 
 # The tables that are cleaned, their age column, and the run table's filter and group
+RUN_TABLE = "DagRun"
+RUN_AGE = "execution_date"
+RUN_GROUP = ("dag_id",)
+RUN_FLAG = "external_trigger"
+LAST_RUNS = KeepLast(RUN_TABLE, RUN_AGE, (RUN_FLAG,), RUN_GROUP)
 AGED_TABLES = (
     AgedTable("BaseJob", "latest_heartbeat"),
-    AgedTable("DagRun", "execution_date", keep_last=True),
+    AgedTable("DagRun", "execution_date", LAST_RUNS),
     AgedTable("Log", "dttm"),
     AgedTable("XCom", "execution_date"),
     AgedTable("SlaMiss", "execution_date"),
@@ -36,10 +56,6 @@ AGED_TABLES = (
     AgedTable("Task", "date_done"),
     AgedTable("TaskSet", "date_done"),
 )
-RUN_TABLE = "DagRun"
-RUN_AGE = "execution_date"
-RUN_GROUP = ("dag_id",)
-RUN_FLAG = "external_trigger"
 
 # Ours: the stages of a project on its way out
 STAGES = ("active", "candidate", "notified", "deleted")
@@ -92,23 +108,45 @@ def delete_counts(**removed: DataFrame) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class Cleaning:
+    """One table's part of a clean-up; each frame is made when it is asked for."""
+
+    rows: DataFrame
+    age: str
+    cutoff: Column
+    kept: DataFrame | None
+
+    def candidates(self) -> DataFrame:
+        return candidates(self.rows, self.age, self.cutoff, self.kept)
+
+    def survivors(self) -> DataFrame:
+        return survivors(self.rows, self.age, self.cutoff, self.kept)
+
+
 def retention_cleanup(
     tables: dict[str, DataFrame],
     now: Column,
     max_age_days: int | None = None,
     specs: Sequence[AgedTable] = AGED_TABLES,
-) -> dict[str, tuple[DataFrame, DataFrame]]:
-    """Candidates and survivors per table; a listed table that is not there is skipped."""
+) -> dict[str, Cleaning]:
+    """What goes and what stays per table; a listed table that is not there is skipped.
+
+    The instants that a rule keeps are worked out and written once, for all tables under that rule.
+    """
     cutoff = fn.cutoff(now, fn.age_or_default(F.lit(max_age_days).cast("int")))
+    instants: dict[KeepLast, DataFrame] = {}
     result = {}
     for spec in specs:
         if spec.table not in tables:
             continue
-        df = tables[spec.table]
-        kept = kept_instants(tables[RUN_TABLE]) if spec.keep_last else None
-        result[spec.table] = (
-            candidates(df, spec.age, cutoff, kept),
-            survivors(df, spec.age, cutoff, kept),
+        rule = spec.keep_last
+        if rule is not None and rule not in instants:
+            flags = [fn.is_false(flag) for flag in rule.only]
+            kept = kept_instants(tables[rule.table], rule.age, flags, rule.group_by)
+            instants[rule] = settle(kept.select("last").distinct(), "kept")
+        result[spec.table] = Cleaning(
+            tables[spec.table], spec.age, cutoff, None if rule is None else instants[rule]
         )
     return result
 

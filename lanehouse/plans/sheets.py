@@ -45,7 +45,7 @@ def formatted_sheets(samples: DataFrame, run: str = "run") -> DataFrame:
 
 
 def sample_groups(sheets: DataFrame, run: str = "run") -> DataFrame:
-    """Per run and project index a map lane index -> index group index -> number of samples."""
+    """The number of samples per run, project index, lane index and index group index."""
     return nested_counts(sheets, [run, *LEVELS], "sample_counts")
 
 

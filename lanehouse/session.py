@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folders: dict[str, str] = {}
+_jobs: list[str] = []
 
 
 def local_session(cores: str = "*", partitions: int = 8, **conf: str) -> SparkSession:
@@ -26,38 +29,61 @@ def local_session(cores: str = "*", partitions: int = 8, **conf: str) -> SparkSe
     return spark
 
 
-def size_shuffles(spark: SparkSession, shuffled_bytes: int, partition_bytes: int = 128 << 20) -> int:
-    """Set the number of shuffle partitions so that one holds about ``partition_bytes``.
+def is_local(spark: SparkSession) -> bool:
+    return spark.sparkContext.master.startswith("local")
 
-    Meant for jobs much larger than the default of the session; it never lowers the number, as AQE
-    merges partitions that turn out small and splits those that a hot key makes large.
-    """
-    key = "spark.sql.shuffle.partitions"
-    wanted = max(int(spark.conf.get(key)), -(-shuffled_bytes // partition_bytes))
-    spark.conf.set(key, str(wanted))
-    spark.conf.set("spark.sql.adaptive.enabled", "true")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(partition_bytes))
-    return wanted
+
+def on_local_disk(folder: str, default: str) -> bool:
+    """Whether ``folder`` lies on a local disk, where ``default`` is the file system of bare paths."""
+    scheme = folder.partition(":")[0] if ":" in folder.partition("/")[0] else default.partition(":")[0]
+    return scheme == "file"
 
 
 def work_folder(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a temporary one only for local sessions without it."""
+    """The shared folder of the cluster; a temporary one only for local sessions without it.
+
+    A folder of one machine's disk is refused on a cluster: other executors would not see the files.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
+        default = spark._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+        if not is_local(spark) and on_local_disk(folder, default):
+            raise RuntimeError(f"spark.checkpoint.dir is on a local disk: {folder}")
         return folder
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not is_local(spark):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    if context.applicationId not in _local_folders:
-        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="lanehouse-")
-    return _local_folders[context.applicationId]
+    application = spark.sparkContext.applicationId
+    if application not in _local_folders:
+        _local_folders[application] = tempfile.mkdtemp(prefix="lanehouse-")
+    return _local_folders[application]
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder with all files in it, on whatever file system it is."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def job(spark: SparkSession) -> Iterator[str]:
+    """A folder for the intermediate tables of one job, removed at its end.
+
+    Frames made inside read from it, so their results have to be used before the ``with`` ends. What is
+    written outside of any job stays in the work folder.
+    """
+    folder = f"{work_folder(spark)}/job-{uuid.uuid4().hex}"
+    _jobs.append(folder)
+    try:
+        yield folder
+    finally:
+        _jobs.remove(folder)
+        remove_folder(spark, folder)
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A path below the work folder that nothing has been written to."""
-    return f"{work_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path below the folder of the running job, or the work folder, that nothing has been written to."""
+    folder = _jobs[-1] if _jobs else work_folder(spark)
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
 
 
 def settle(df: DataFrame, label: str) -> DataFrame:

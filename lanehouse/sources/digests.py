@@ -10,16 +10,16 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanehouse.functions import columns as fn
 from lanehouse.sources.readers import file_scan
 
-# A file up to this size is hashed from one cell; larger ones are read piece by piece
-CELL_BYTES = 1 << 28
 PIECE_BYTES = 1 << 24
 
 
-def file_md5(spark: SparkSession, folder: str, cell_bytes: int = CELL_BYTES) -> DataFrame:
-    """``(md5, path, length)`` of every file below ``folder``; paths begin with its own name."""
+def file_md5(spark: SparkSession, folder: str, piece_bytes: int = PIECE_BYTES) -> DataFrame:
+    """``(md5, path, length)`` of every file below ``folder``; paths begin with its own name.
+
+    Every file is read as a stream of pieces, so a task holds one piece whatever the file's size.
+    """
 
     def hash_pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -28,21 +28,13 @@ def file_md5(spark: SparkSession, folder: str, cell_bytes: int = CELL_BYTES) ->
                 filesystem, name = fs.FileSystem.from_uri(path)
                 digest = hashlib.md5()
                 with filesystem.open_input_stream(name) as stream:
-                    while piece := stream.read(PIECE_BYTES):
+                    while piece := stream.read(piece_bytes):
                         digest.update(piece)
                 digests.append(digest.hexdigest())
             yield batch.assign(md5=digests)
 
-    files = file_scan(spark, folder)
-    small = files.where(F.col("length") <= cell_bytes).select(
-        "path", "length", fn.content_md5("content").alias("md5")
-    )
-    large = (
-        files.where(F.col("length") > cell_bytes)
-        .select("path", "length")
-        .repartition("path")
-        .mapInPandas(hash_pieces, "path string, length long, md5 string")
-    )
+    files = file_scan(spark, folder).select("path", "length").repartition("path")
+    hashed = files.mapInPandas(hash_pieces, "path string, length long, md5 string")
     above = folder.rstrip("/").rpartition("/")[0] + "/"
     relative = F.substr(F.col("path"), F.locate(above, F.col("path")) + len(above))
-    return small.unionByName(large).select("md5", relative.alias("path"), "length")
+    return hashed.select("md5", relative.alias("path"), "length")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lanehouse.functions import columns as fn
 from lanehouse.operators.aggregates import active_count
@@ -49,7 +50,11 @@ def jdbc_scan(
     return reader.options(**options).load()
 
 
-def json_scan(spark: SparkSession, path: str, schema: str, multiline: bool = True) -> DataFrame:
+def json_scan(spark: SparkSession, path: str, schema: str | StructType, multiline: bool = False) -> DataFrame:
+    """JSON lines, read in splits; with ``multiline`` each file is one document and one task.
+
+    Dumps that a program writes as one indented document need ``multiline``.
+    """
     return spark.read.schema(schema).json(path, multiLine=multiline)
 
 
@@ -116,6 +121,9 @@ def waiting_list(documents: DataFrame, column: str = "value") -> DataFrame:
 
 
 def file_scan(spark: SparkSession, folder: str, manifest: str = MANIFEST_NAME) -> DataFrame:
-    """All files below ``folder`` except its manifest; content is read only where it is used."""
+    """All files below ``folder`` except its manifest; content is read only where it is used.
+
+    Spark's scan passes over files of length 0, so these are not listed.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
     return files.where(fn.base_name("path") != manifest)

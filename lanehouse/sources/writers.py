@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lanehouse.session import remove_folder
+
 
 def snapshot_replace(df: DataFrame, path: str) -> None:
     """Replace the whole table at ``path``."""
@@ -70,6 +72,25 @@ def newest_snapshots(backups: DataFrame, keep: int) -> DataFrame:
     return backups.where(F.col("snapshot_date") >= oldest_kept.scalar())
 
 
+def prune_snapshots(spark: SparkSession, path: str, keep: int) -> list[str]:
+    """Ours: remove all but the newest ``keep`` dated copies below ``path``; gives the removed dates.
+
+    Only whole folders of a date are removed, never files within one.
+    """
+    if keep < 1:
+        raise ValueError("at least one copy has to stay")
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    dated = sorted(
+        status.getPath().getName()
+        for status in files.listStatus(where)
+        if status.isDirectory() and status.getPath().getName().startswith("snapshot_date=")
+    )
+    for name in dated[:-keep]:
+        remove_folder(spark, f"{path}/{name}")
+    return [name.removeprefix("snapshot_date=") for name in dated[:-keep]]
+
+
 def metadata_dump(**tables: DataFrame) -> DataFrame:
     """Ours: every row of several tables as one JSON line with the name of its table."""
     return reduce(

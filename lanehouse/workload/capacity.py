@@ -252,17 +252,46 @@ def idle_workers(spark: SparkSession, folder: str) -> DataFrame:
     return capacity.idle_workers(workers, needed_queues(spark, folder))
 
 
+# The plan of the first twelve queues: later ones come after them and don't change it
+CLEANUP_SQL = f"""{PLAN_SQL}, {CONF_SQL},
+half AS (SELECT * FROM plan WHERE queue < 'hpc_12'),
+idle AS (
+  SELECT 'w' || event_id AS worker_id FROM queued
+  WHERE user_id % 3 = 0 AND event_type <> 'signup' AND queue NOT IN (SELECT queue FROM half))"""
+
+
+def cleanup(spark: SparkSession, folder: str) -> capacity.Cleanup:
+    workers = readers.worker_list(worker_replies(spark, folder))
+    waiting = waiting_queues(spark, folder).where("queue < 'hpc_12'")
+    return capacity.worker_cleanup(
+        workers, waiting, active_jobs(spark, folder), queue_conf(spark, folder)
+    )
+
+
 @query(
     f"""
-    WITH {WORKERS_SQL}
-    SELECT queue AS branch FROM needed
+    WITH RECURSIVE {CLEANUP_SQL}
+    SELECT DISTINCT queue AS branch FROM half
     UNION ALL SELECT 'cleanup_celery_workers' WHERE EXISTS (SELECT 1 FROM idle)
     """
 )
 def worker_branches(spark: SparkSession, folder: str) -> DataFrame:
-    workers = readers.worker_list(worker_replies(spark, folder))
-    _, branches = capacity.worker_cleanup(workers, needed_queues(spark, folder))
-    return branches
+    return cleanup(spark, folder).branches
+
+
+@query(f"WITH RECURSIVE {CLEANUP_SQL} SELECT * FROM idle")
+def cleanup_idle(spark: SparkSession, folder: str) -> DataFrame:
+    return cleanup(spark, folder).idle
+
+
+@query(
+    f"""
+    WITH RECURSIVE {CLEANUP_SQL}
+    SELECT cluster, queue, new_tasks, pbs_resource, worker_queue FROM half JOIN conf USING (queue)
+    """
+)
+def cleanup_plan(spark: SparkSession, folder: str) -> DataFrame:
+    return cleanup(spark, folder).plan
 
 
 @query(

@@ -31,27 +31,25 @@ def inputs(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     f"""
     WITH {INPUTS_SQL}
-    SELECT sample, CAST(0 AS BIGINT) AS part, string_agg(bam, ',' ORDER BY bam) AS bams
-    FROM inputs GROUP BY sample
+    SELECT sample, row_number() OVER (PARTITION BY sample ORDER BY bam) AS position, bam FROM inputs
     """
 )
 def collect_inputs(spark: SparkSession, folder: str) -> DataFrame:
-    collected = collect.collect_inputs(inputs(spark, folder), "sample", "bam")
-    return collected.withColumn("bams", F.concat_ws(",", "bams"))
+    return collect.collect_inputs(inputs(spark, folder), "sample", "bam")
 
 
 @query(
-    f"""
-    WITH {INPUTS_SQL}
-    SELECT '{{"sample_name":"s' || sample || '","unmapped_bams":['
-           || string_agg('"' || bam || '"', ',' ORDER BY bam) || ']}}' AS document
-    FROM inputs GROUP BY sample
+    """
+    SELECT '{"sample_name":"s' || doc_id || '","unmapped_bams":'
+           || CAST(to_json(string_split(text, chr(10))) AS VARCHAR) || '}' AS document
+    FROM documents
     """
 )
 def input_documents(spark: SparkSession, folder: str) -> DataFrame:
-    collected = collect.collect_inputs(inputs(spark, folder), "sample", "bam")
-    name = F.concat(F.lit("s"), F.col("sample").cast("string"))
-    return collected.select(fn.input_json(name, "bams").alias("document"))
+    """Lists that arrive in one row: the lines of a document."""
+    name = F.concat(F.lit("s"), F.col("doc_id").cast("string"))
+    documents = scan(spark, folder, "documents")
+    return documents.select(fn.input_json(name, fn.text_lines("text")).alias("document"))
 
 
 OUTPUT_VCF = "ExomeGermlineSingleSample.output_vcf"
@@ -96,6 +94,13 @@ def select_outputs(spark: SparkSession, folder: str) -> DataFrame:
     return collect.select_outputs(workflow_documents(spark, folder), ["event_id"])
 
 
+@query("SELECT event_id, CASE WHEN event_type = 'view' THEN 0 ELSE 1 END::BIGINT AS outputs FROM events")
+def outputs_per_document(spark: SparkSession, folder: str) -> DataFrame:
+    return collect.outputs_per_document(
+        workflow_documents(spark, folder), ["event_id"], [OUTPUT_VCF, OUTPUT_MD5]
+    )
+
+
 COHORT_SQL = """SELECT 's' || event_id AS sample,
        '/cohort/s' || event_id || '/' || event_id || '.g.vcf' AS gvcf FROM events"""
 
@@ -138,18 +143,15 @@ def mapped_groups(spark: SparkSession, folder: str) -> DataFrame:
         row = {"source": frame["source"].iloc[0], "documents": len(frame), "long_documents": long_ones}
         return pd.DataFrame([row])
 
-    documents = scan(spark, folder, "documents").select("doc_id", "source", "n_chars")
-    summaries = sets.map_groups(
+    documents = scan(spark, folder, "documents").select("source", "n_chars")
+    return sets.map_groups(
         documents,
         ["source"],
         count_long,
         "source string, documents long, long_documents long",
-        spread=["doc_id"],
+        merge=[F.sum(c).alias(c) for c in ("documents", "long_documents")],
         limit=1000,
     )
-    return summaries.groupBy("source").agg(
-        F.sum("documents").alias("documents"), F.sum("long_documents").alias("long_documents")
-    )
 
 
 @query(

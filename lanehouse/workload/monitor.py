@@ -131,18 +131,24 @@ def run_counts(spark: SparkSession, folder: str) -> DataFrame:
     return aggregates.run_counts(scan(spark, folder, "orders"), "o_orderdate", "o_orderpriority")
 
 
+SUMMARY_SQL = f"""{DISK_SQL},
+p AS (SELECT '{{"o_orderpriority":"' || o_orderpriority || '","o_orderstatus":"' || o_orderstatus
+             || '","runs":' || count(*) || '}}' AS j FROM orders GROUP BY o_orderpriority, o_orderstatus),
+r AS (SELECT '{{"month":"' || strftime(ts, '%Y-%m') || '","event_type":"' || event_type
+             || '","runs":' || count(*) || '}}' AS j FROM events GROUP BY strftime(ts, '%Y-%m'), event_type),
+totals AS (SELECT host, CAST(sum(used) AS BIGINT) AS used, CAST(sum(avail) AS BIGINT) AS avail
+           FROM disk GROUP BY host),
+s AS (SELECT '{{"host":"' || host || '","used":' || used || ',"avail":' || avail || ',"used_share":'
+             || CASE WHEN used + avail > 0 THEN round(CAST(used AS DOUBLE) / CAST(used + avail AS DOUBLE), 6)
+                     ELSE 0.0 END || '}}' AS j FROM totals),
+sections AS (SELECT 'pipelines' AS section, j AS "row" FROM p UNION ALL SELECT 'seqruns', j FROM r
+             UNION ALL SELECT 'storage', j FROM s)"""
+
+
 @query(
     f"""
-    WITH {DISK_SQL},
-    p AS (SELECT '{{"o_orderpriority":"' || o_orderpriority || '","o_orderstatus":"' || o_orderstatus
-                 || '","runs":' || count(*) || '}}' AS j FROM orders GROUP BY o_orderpriority, o_orderstatus),
-    r AS (SELECT '{{"month":"' || strftime(ts, '%Y-%m') || '","event_type":"' || event_type
-                 || '","runs":' || count(*) || '}}' AS j FROM events GROUP BY strftime(ts, '%Y-%m'), event_type),
-    s AS (SELECT '{{"host":"' || host || '","used":' || sum(used) || ',"avail":' || sum(avail) || '}}' AS j
-          FROM disk GROUP BY host)
-    SELECT '{{"pipelines":[' || (SELECT string_agg(j, ',' ORDER BY j) FROM p)
-           || '],"seqruns":[' || (SELECT string_agg(j, ',' ORDER BY j) FROM r)
-           || '],"storage":[' || (SELECT string_agg(j, ',' ORDER BY j) FROM s) || ']}}' AS document
+    WITH {SUMMARY_SQL}
+    SELECT section, row_number() OVER (PARTITION BY section ORDER BY "row") AS position, "row" FROM sections
     """
 )
 def admin_summary(spark: SparkSession, folder: str) -> DataFrame:
@@ -156,3 +162,19 @@ def admin_summary(spark: SparkSession, folder: str) -> DataFrame:
         pipeline="o_orderpriority",
         status="o_orderstatus",
     )
+
+
+@query(
+    f"""
+    WITH {DISK_SQL}
+    SELECT '{{"orders":{{"rows":' || (SELECT count(*) FROM orders) || '}},"storage":{{"rows":' || count(*)
+           || ',"used":' || CAST(sum(used) AS BIGINT) || ',"avail":' || CAST(sum(avail) AS BIGINT) || '}}}}'
+           AS document
+    FROM disk
+    """
+)
+def summary_totals(spark: SparkSession, folder: str) -> DataFrame:
+    usage = monitor.disk_usage(disk_lines(spark, folder), "datavol")
+    return monitor.summary_totals(
+        orders=(scan(spark, folder, "orders"), ()), storage=(usage, ("used", "avail"))
+    )

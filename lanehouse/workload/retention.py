@@ -78,15 +78,21 @@ def retention_counts(spark: SparkSession, folder: str) -> DataFrame:
     """
     WITH r AS (SELECT o_custkey AS dag_id, o_orderdate AS execution_date,
                       o_orderstatus = 'F' AS external_trigger FROM orders),
-    t AS (SELECT event_id, ts AS execution_date FROM events)
+    t AS (SELECT event_id, ts AS execution_date FROM events),
+    l AS (SELECT l_partkey, l_shipdate, l_linestatus = 'O' AS still_open FROM lineitem)
     SELECT 'DagRun' AS "table", count(*) AS n FROM r
     WHERE execution_date <= TIMESTAMP '2000-12-01 00:00:00' AND execution_date NOT IN (
       SELECT max(execution_date) FROM r WHERE external_trigger IS FALSE GROUP BY dag_id)
     UNION ALL
     SELECT 'XCom', count(*) FROM t WHERE execution_date <= TIMESTAMP '2000-12-01 00:00:00'
+    UNION ALL
+    SELECT 'Delivery', count(*) FROM l
+    WHERE l_shipdate <= TIMESTAMP '2000-12-01 00:00:00' AND l_shipdate NOT IN (
+      SELECT max(l_shipdate) FROM l WHERE still_open IS FALSE GROUP BY l_partkey)
     """
 )
 def retention_plan(spark: SparkSession, folder: str) -> DataFrame:
+    """The usual tables, and one with a rule of its own."""
     tables = {
         "DagRun": scan(spark, folder, "orders").select(
             F.col("o_custkey").alias("dag_id"),
@@ -96,10 +102,15 @@ def retention_plan(spark: SparkSession, folder: str) -> DataFrame:
         "XCom": scan(spark, folder, "events").select(
             "event_id", F.col("ts").alias("execution_date")
         ),
+        "Delivery": scan(spark, folder, "lineitem").select(
+            "l_partkey", "l_shipdate", (F.col("l_linestatus") == "O").alias("still_open")
+        ),
     }
+    rule = retention.KeepLast("Delivery", "l_shipdate", ("still_open",), ("l_partkey",))
+    specs = (*retention.AGED_TABLES, retention.AgedTable("Delivery", "l_shipdate", rule))
     now = F.lit("2000-12-31 00:00:00").cast("timestamp_ntz")
-    plan = retention.retention_cleanup(tables, now)
-    return retention.delete_counts(**{name: gone for name, (gone, _) in plan.items()})
+    plan = retention.retention_cleanup(tables, now, specs=specs)
+    return retention.delete_counts(**{name: part.candidates() for name, part in plan.items()})
 
 
 @query(

@@ -54,20 +54,13 @@ def sheet_index(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     f"""
-    WITH {SHEETS_SQL},
-    lanes AS (
-      SELECT run, project_index, lane_index,
-             '{{' || string_agg('"' || index_group_index || '":' || sample_counts, ','
-                              ORDER BY index_group_index) || '}}' AS g
-      FROM sheets GROUP BY ALL)
-    SELECT run, project_index, CAST(0 AS BIGINT) AS part,
-           '{{' || string_agg('"' || lane_index || '":' || g, ',' ORDER BY lane_index) || '}}' AS lanes
-    FROM lanes GROUP BY ALL
+    WITH {SHEETS_SQL}
+    SELECT run, project_index, lane_index, index_group_index, CAST(sum(sample_counts) AS BIGINT) AS n
+    FROM sheets GROUP BY ALL
     """
 )
 def sheet_groups_map(spark: SparkSession, folder: str) -> DataFrame:
-    groups = sheets.sample_groups(sheet_index(spark, folder))
-    return groups.withColumn("lanes", F.to_json("lanes"))
+    return sheets.sample_groups(sheet_index(spark, folder))
 
 
 @query(
@@ -83,15 +76,19 @@ def sheet_tasks(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    f"""
-    WITH {SHEETS_SQL}
-    SELECT run, project_index, lane_index, index_group_index, sample_counts AS n
-    FROM sheets WHERE project_index = 2
+    """
+    SELECT event_id, user_id % 3 AS project_index, event_type AS lane, unnest([1, 2]) AS index_group,
+           unnest([user_id, event_id % 7]) AS n
+    FROM events WHERE user_id % 3 = 2
     """
 )
 def nested_rows(spark: SparkSession, folder: str) -> DataFrame:
-    groups = sheets.sample_groups(sheet_index(spark, folder))
-    rows = sets.expand_nested(groups.drop("part"), "lanes", ["lane_index", "index_group_index"], "n")
+    """Counts that arrive as a map of maps in one row."""
+    groups = F.create_map(F.lit(1), "user_id", F.lit(2), F.col("event_id") % 7)
+    events = scan(spark, folder, "events").select(
+        "event_id", F.create_map(F.col("user_id") % 3, F.create_map("event_type", groups)).alias("counts")
+    )
+    rows = sets.expand_nested(events, "counts", ["project_index", "lane", "index_group"], "n")
     return filters.route(rows, project_index=2)
 
 
@@ -131,11 +128,11 @@ def sample_read_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     """
-    SELECT CAST(0 AS BIGINT) AS part, l_orderkey,
-           string_agg(l_returnflag || ':' || l_suppkey || ':' || l_linenumber, ','
+    SELECT l_orderkey, l_returnflag || ':' || l_suppkey || ':' || l_linenumber AS path,
+           row_number() OVER (PARTITION BY l_orderkey
              ORDER BY CASE l_returnflag WHEN 'R' THEN 1 ELSE 2 END,
-                      l_returnflag || ':' || l_suppkey || ':' || l_linenumber) AS paths
-    FROM lineitem WHERE l_returnflag IN ('R', 'N') GROUP BY l_orderkey
+                      l_returnflag || ':' || l_suppkey || ':' || l_linenumber) AS position
+    FROM lineitem WHERE l_returnflag IN ('R', 'N')
     """
 )
 def tool_order(spark: SparkSession, folder: str) -> DataFrame:
@@ -144,10 +141,9 @@ def tool_order(spark: SparkSession, folder: str) -> DataFrame:
         "l_returnflag",
         F.concat_ws(":", "l_returnflag", "l_suppkey", "l_linenumber").alias("path"),
     )
-    ordered = aggregates.ordered_reports(
+    return aggregates.ordered_reports(
         reports, ["l_orderkey"], "l_returnflag", "path", order=["R", "N"]
     )
-    return ordered.withColumn("paths", F.concat_ws(",", "paths"))
 
 
 @query(
@@ -223,10 +219,27 @@ def first_designs(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     """
-    SELECT page_id, url, coalesce(nullif(regexp_extract(url, '/(en|fr|de|es)/', 1), ''), 'additional') AS lane
+    SELECT page_id, url, coalesce(nullif(regexp_extract(url, '/(en|fr|de)/', 1), ''), 'additional') AS lane
     FROM pages
     """
 )
 def lane_split(spark: SparkSession, folder: str) -> DataFrame:
     files = scan(spark, folder, "pages").select("page_id", "url")
-    return windows.lane_or_rest(files, "url", "/(en|fr|de|es)/")
+    return windows.lane_or_rest(files, "url", "/(en|fr|de)/")
+
+
+@query(
+    """
+    SELECT '/run/' || l_orderkey || '/L00' || l_linenumber + l_suppkey % 4 || '/r1.fq' AS path,
+           CASE WHEN l_linenumber + l_suppkey % 4 <= 8
+                THEN CAST(l_linenumber + l_suppkey % 4 AS VARCHAR) ELSE 'additional' END AS lane
+    FROM lineitem
+    """
+)
+def lane_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Files of lanes 1 to 8 by the usual pattern; lanes above are none."""
+    lane = (F.col("l_linenumber") + F.col("l_suppkey") % 4).cast("string")
+    order = F.col("l_orderkey").cast("string")
+    path = F.concat(F.lit("/run/"), order, F.lit("/L00"), lane, F.lit("/r1.fq"))
+    files = scan(spark, folder, "lineitem").select(path.alias("path"))
+    return windows.lane_or_rest(files, "path")

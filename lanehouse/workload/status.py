@@ -262,15 +262,13 @@ def graph_check(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     f"""
     WITH {EDGES_SQL}
-    SELECT dst AS task, CAST(0 AS BIGINT) AS part, string_agg(src, ',' ORDER BY src) AS neighbours
-    FROM edges GROUP BY dst
+    SELECT DISTINCT dst AS task, src AS neighbour FROM edges
     UNION ALL
-    SELECT src, 0, string_agg(dst, ',' ORDER BY dst) FROM edges GROUP BY src
+    SELECT DISTINCT src, dst FROM edges
     """
 )
 def adjacency_sets(spark: SparkSession, folder: str) -> DataFrame:
     edges = order_edges(spark, folder)
-    both = aggregates.adjacency(edges, "upstream").unionByName(
+    return aggregates.adjacency(edges, "upstream").unionByName(
         aggregates.adjacency(edges, "downstream")
     )
-    return both.withColumn("neighbours", F.concat_ws(",", "neighbours"))

@@ -269,15 +269,10 @@ def snapshot_backup(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     """
-    SELECT 'nation' AS "table", '{"n_nationkey":' || n_nationkey || ',"n_name":"' || n_name
-           || '","n_regionkey":' || n_regionkey || '}' AS "row" FROM nation
+    SELECT 'nation' AS "table", CAST(to_json(nation) AS VARCHAR) AS "row" FROM nation
     UNION ALL
-    SELECT 'part', '{"p_partkey":' || p_partkey || ',"p_name":"' || p_name || '","p_size":'
-           || p_size || '}' FROM part
+    SELECT 'part', CAST(to_json(part) AS VARCHAR) FROM part
     """
 )
 def metadata_dump(spark: SparkSession, folder: str) -> DataFrame:
-    return writers.metadata_dump(
-        nation=scan(spark, folder, "nation"),
-        part=scan(spark, folder, "part").select("p_partkey", "p_name", "p_size"),
-    )
+    return writers.metadata_dump(nation=scan(spark, folder, "nation"), part=scan(spark, folder, "part"))

@@ -87,6 +87,12 @@ def job_records(spark: SparkSession, folder: str) -> DataFrame:
     return capacity.job_records(job_report(spark, folder), ["file"])
 
 
+@query(f"WITH {RECORDS_SQL} SELECT * FROM records")
+def job_records_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with blocks so short that ids and names are handed on from one to the next."""
+    return capacity.job_records(job_report(spark, folder), ["file"], span=64)
+
+
 @query(
     f"""
     WITH {RECORDS_SQL}

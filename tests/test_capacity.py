@@ -95,12 +95,25 @@ def test_idle_workers_and_branches(spark):
         ],
         "worker_id string, active_jobs long, queues array<string>",
     )
-    plan = spark.createDataFrame([("hpc_a", 3), ("local", 2)], "queue string, new_tasks long")
-    idle, branches = capacity.worker_cleanup(workers, plan)
+    waiting = spark.createDataFrame(
+        [("c", "hpc_a", 3), ("c", "local", 2), ("c", "hpc_z", 99), ("d", "hpc_a", 1)],
+        "cluster string, queue string, waiting long",
+    )
+    active = spark.createDataFrame(
+        [("c", "hpc_z", "Q", 1), ("c", "hpc_y", "R", 2)], "cluster string, queue string, state string, n long"
+    )
+    conf = spark.createDataFrame([("hpc_a", "r1"), ("hpc_z", "r2")], "queue string, pbs_resource string")
+    idle, branches, plan = capacity.worker_cleanup(workers, waiting, active, conf)
     assert sorted(r.worker_id for r in idle.collect()) == ["free", "none"]
     assert sorted(r.branch for r in branches.collect()) == ["cleanup_celery_workers", "hpc_a"]
-    _, quiet = capacity.worker_cleanup(workers.where("worker_id = 'busy'"), plan)
-    assert [r.branch for r in quiet.collect()] == ["hpc_a"]
+    assert sorted((r.cluster, r.queue, r.new_tasks, r.pbs_resource) for r in plan.collect()) == [
+        ("c", "hpc_a", 3, "r1"), ("d", "hpc_a", 1, "r1"),
+    ]
+    quiet = capacity.worker_cleanup(workers.where("worker_id = 'busy'"), waiting, active, conf)
+    assert [r.branch for r in quiet.branches.collect()] == ["hpc_a"]
+    full = capacity.worker_cleanup(workers, waiting, active, conf, total_cap=1)
+    assert [r.branch for r in full.branches.collect()] == ["cleanup_celery_workers"]
+    assert full.plan.isEmpty()
 
 
 def test_task_expansion(spark):

@@ -1,5 +1,6 @@
 """Groups and tables that are cut into parts, against whole-group results by hand."""
 
+import json
 import random
 from collections import Counter, defaultdict
 
@@ -9,8 +10,10 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from lanehouse.operators import aggregates, filters, joins, numbering, sets, skew, windows
-from lanehouse.plans import graph, status
+from lanehouse.functions import columns as fn
+from lanehouse.operators import aggregates, filters, joins, numbering, sets, windows
+from lanehouse.plans import collect, graph, status
+from lanehouse.sources import readers
 
 
 def hot_rows(n=500):
@@ -24,37 +27,48 @@ def hot_frame(spark):
     return spark.createDataFrame(hot_rows(), "key string, value string, id long").repartition(5)
 
 
-def test_parts_are_bounded_and_complete(spark):
-    parted = skew.with_part(hot_frame(spark), ["key"], ["id"], 20)
-    sizes = Counter((r.key, r.part) for r in parted.collect())
-    assert sum(sizes.values()) == len(hot_rows())
-    assert max(sizes.values()) <= 45
-    small = {key for key, n in Counter(k for k, _, _ in hot_rows()).items() if n <= 20}
-    assert all(part == 0 for key, part in sizes if key in small)
-
-
-def test_collected_values_are_whole(spark):
+def test_values_are_numbered_within_their_key(spark):
     expected = defaultdict(list)
     for key, value, _ in hot_rows():
         expected[key].append(value)
-    got = defaultdict(list)
-    for row in aggregates.collect_values(hot_frame(spark), ["key"], "value", 20).collect():
-        assert row["values"] == sorted(row["values"])
-        got[row.key] += row["values"]
-    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in expected.items()}
-    whole = aggregates.collect_values(hot_frame(spark), ["key"], "value").collect()
-    assert {r.key: r["values"] for r in whole} == {k: sorted(v) for k, v in expected.items()}
+    got = aggregates.collect_values(hot_frame(spark), ["key"], "value").collect()
+    assert {(r.key, r.position): r["value"] for r in got} == {
+        (key, k): value for key, values in expected.items() for k, value in enumerate(sorted(values), 1)
+    }
+    assert len(got) == len(hot_rows())
+
+
+def test_a_key_of_many_rows_is_numbered_like_any_other(spark):
+    key = F.when(F.col("id") < 200_000, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id") % 7))
+    frame = spark.range(0, 200_700, 1, 6).select(key.alias("key"), F.sha1(F.col("id").cast("string")).alias("v"))
+    numbered = aggregates.collect_values(frame, ["key"], "v").cache()
+    sizes = {r.key: (r.n, r.low, r.high) for r in numbered.groupBy("key").agg(
+        F.count_distinct("position").alias("n"), F.min("position").alias("low"), F.max("position").alias("high")
+    ).collect()}
+    assert sizes == {"hot": (200_000, 1, 200_000)} | {f"k{k}": (100, 1, 100) for k in range(7)}
+    hot = [r.v for r in numbered.where("key = 'hot'").orderBy("position").collect()]
+    assert hot == sorted(hot)
 
 
 def test_mapped_groups_merge_to_whole_groups(spark):
-    def count(frame: pd.DataFrame, add: int) -> pd.DataFrame:
-        return pd.DataFrame({"key": [frame["key"].iloc[0]], "n": [len(frame) + add]})
+    seen = "key string, n long, keys long"
 
-    mapped = sets.map_groups(
-        hot_frame(spark), ["key"], count, "key string, n long", ["id"], rows_per_part=30, add=0
-    )
-    got = {r.key: r.n for r in mapped.groupBy("key").agg(F.sum("n").alias("n")).collect()}
-    assert got == Counter(k for k, _, _ in hot_rows())
+    def count(frame: pd.DataFrame, add: int) -> pd.DataFrame:
+        row = {"key": [frame["key"].iloc[0]], "n": [len(frame) + add], "keys": [frame["key"].nunique(dropna=False)]}
+        return pd.DataFrame(row)
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    for batch in ("10000", "7"):
+        spark.conf.set(key, batch)
+        try:
+            mapped = sets.map_groups(
+                hot_frame(spark), ["key"], count, seen, [F.sum("n").alias("n"), F.max("keys").alias("keys")], add=0
+            ).collect()
+        finally:
+            spark.conf.set(key, before)
+        assert {r.key: r.n for r in mapped} == Counter(k for k, _, _ in hot_rows())
+        assert {r.keys for r in mapped} == {1}
 
 
 @pytest.mark.parametrize("n, chunks", [(0, 3), (1, 3), (7, 3), (50, 50), (101, 10), (40, 50)])
@@ -79,11 +93,11 @@ def test_positions_with_a_hot_leading_column(spark):
     assert {r.total for r in got} == {250}
 
 
-@pytest.mark.parametrize("bound", [None, 100])
-def test_expansion(spark, bound, monkeypatch):
-    monkeypatch.setattr(sets, "EXPANSION_BLOCK", 7 if bound is None else 1000)
+@pytest.mark.parametrize("block", [7, 1000])
+def test_expansion(spark, block, monkeypatch):
+    monkeypatch.setattr(sets, "EXPANSION_BLOCK", block)
     frame = spark.createDataFrame([("a", 20), ("b", 1), ("c", 0), ("d", 7), ("e", None)], "k string, n int")
-    got = sorted((r.k, r.item) for r in sets.expand_by_count(frame, "n", bound=bound).collect())
+    got = sorted((r.k, r.item) for r in sets.expand_by_count(frame, "n").collect())
     assert got == [("a", i) for i in range(1, 21)] + [("b", 1)] + [("d", i) for i in range(1, 8)]
 
 
@@ -99,8 +113,64 @@ def test_reports_attach_to_every_group(spark):
 def test_ordered_reports(spark):
     rows = [("g", "fastqscreen", "c"), ("g", "bclconvert", "b"), ("g", "bclconvert", "a"), ("g", "other", "x")]
     reports = spark.createDataFrame(rows, "grp string, tool string, path string")
-    got = aggregates.ordered_reports(reports, ["grp"], "tool", "path").first()
-    assert got.paths == ["a", "b", "c"]
+    got = aggregates.ordered_reports(reports, ["grp"], "tool", "path").collect()
+    assert sorted((r.position, r.path) for r in got) == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_report_order_of_a_large_group(spark):
+    rows = [("g", tool, f"{tool}{k}") for tool in ("fastqc", "bclconvert") for k in range(6)]
+    reports = spark.createDataFrame(rows, "grp string, tool string, path string").repartition(5)
+    got = aggregates.ordered_reports(reports, ["grp"], "tool", "path").orderBy("position").collect()
+    assert [r.path for r in got] == [f"{tool}{k}" for tool in ("bclconvert", "fastqc") for k in range(6)]
+
+
+def test_indexes_within_parents(spark):
+    rows = [("r", None, "x"), ("r", "p", "b"), ("r", "p", "a"), ("r", "p", "a"), ("s", "p", "z"), (None, "p", "y")]
+    frame = spark.createDataFrame(rows, "run string, project string, lane string").repartition(3)
+    got = windows.index_within(frame, ["run", "project"], "lane", "n").collect()
+    assert sorted((str(r.run), str(r.project), r.lane, r.n) for r in got) == [
+        ("None", "p", "y", 1), ("r", "None", "x", 1), ("r", "p", "a", 1), ("r", "p", "a", 1), ("r", "p", "b", 2),
+        ("s", "p", "z", 1),
+    ]
+
+
+def test_lanes_by_the_usual_pattern(spark):
+    paths = ["/x/L001/a", "/x/L008/a", "/x/L009/a", "/x/L0011/a", "/x/a", "/L002/L003/a"]
+    frame = spark.createDataFrame([(p,) for p in paths], "path string")
+    got = {r.path: r.lane for r in windows.lane_or_rest(frame, "path").collect()}
+    rest = "additional"
+    assert [got[p] for p in paths] == ["1", "8", rest, rest, rest, "2"]
+
+
+def workflow(spark, *outputs):
+    rows = [json.dumps({"inputs": {"sample_and_unmapped_bams": {"sample_name": f"s{k}"}}, "outputs": o}) for k, o in enumerate(outputs)]
+    frame = spark.createDataFrame(list(enumerate(rows)), "id long, document string")
+    return frame.select("id", fn.parse_json("document", readers.WORKFLOW_METADATA).alias("metadata"))
+
+
+def test_a_document_without_outputs_fails_by_name(spark):
+    full, other = {"wanted": "/a/b.txt", "more": "/c"}, {"wanted": None, "more": "/d"}
+    good = collect.select_outputs(workflow(spark, full, full), ["id"], ["wanted"]).collect()
+    assert sorted((r.id, r.sample_name, r.output, r.file) for r in good) == [
+        (0, "s0", "wanted", "b.txt"), (1, "s1", "wanted", "b.txt"),
+    ]
+    for nothing in (other, {}, None):
+        with pytest.raises((PySparkException, Py4JJavaError), match="no required file found in document 1"):
+            collect.select_outputs(workflow(spark, full, nothing), ["id"], ["wanted"]).collect()
+    counts = collect.outputs_per_document(workflow(spark, full, other, None), ["id"], ["wanted", "more"])
+    assert sorted(tuple(r) for r in counts.collect()) == [(0, 2), (1, 1), (2, 0)]
+
+
+def test_a_repeated_sample_fails(spark, tmp_path):
+    def entries(*samples):
+        rows = [(json.dumps({"sample_name": s, collect.GVCF_OUTPUT: f"/x/{s}.vcf"}),) for s in samples]
+        spark.createDataFrame(rows, "d string").write.mode("overwrite").parquet(str(tmp_path))
+        table = spark.read.parquet(str(tmp_path))
+        return collect.build_cohort_list(table.select(F.parse_json("d").alias("document")), "/f")
+
+    assert sorted(r.gvcf for r in entries("a", "b").collect()) == ["/f/a/a.vcf", "/f/b/b.vcf"]
+    with pytest.raises((PySparkException, Py4JJavaError), match="more than one entry for a sample: b"):
+        entries("a", "b", "b").collect()
 
 
 def test_slots_limit_each_group(spark):
@@ -152,8 +222,8 @@ def test_graph(spark):
     assert check([("c", "a"), ("b", "a"), ("a", None)], "upstream") == {"a": True, "b": True, "c": False}
     with pytest.raises(ValueError):
         check([("a", "b")], "sideways")
-    sets_ = {r.task: r.neighbours for r in aggregates.adjacency(edges).collect()}
-    assert sets_ == {"a": ["b", "c"], "b": ["c"]}
+    pairs = sorted(tuple(r) for r in aggregates.adjacency(edges).collect())
+    assert pairs == [("a", "b"), ("a", "c"), ("b", "c")]
 
 
 def test_prefix_filters(spark):

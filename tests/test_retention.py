@@ -77,8 +77,32 @@ def test_cleanup_skips_missing_tables_and_defaults_the_age(spark):
     now = F.lit(dt.datetime(2024, 2, 10)).cast("timestamp_ntz")
     plan = retention.retention_cleanup({"DagRun": table}, now, 0)
     assert list(plan) == ["DagRun"]
-    gone, left = plan["DagRun"]
-    assert days(gone) == [("a", 1)] and days(left) == [("a", 2), ("b", 28)]
+    part = plan["DagRun"]
+    assert days(part.candidates()) == [("a", 1)]
+    assert days(part.survivors()) == [("a", 2), ("b", 28)]
+
+
+def test_each_table_has_its_own_rule_and_instants_are_written_once(spark, monkeypatch):
+    table = runs(spark, ("a", 1, False), ("a", 2, True), ("b", 3, False), ("b", 4, False))
+    flat = retention.KeepLast("Log", "execution_date")
+    specs = [
+        retention.AgedTable("DagRun", "execution_date", retention.LAST_RUNS),
+        retention.AgedTable("XCom", "execution_date", retention.LAST_RUNS),
+        retention.AgedTable("Log", "execution_date", flat),
+        retention.AgedTable("Task", "execution_date"),
+    ]
+    written = []
+    settle = retention.settle
+    monkeypatch.setattr(retention, "settle", lambda df, label: written.append(label) or settle(df, label))
+    now = F.lit(dt.datetime(2024, 3, 10)).cast("timestamp_ntz")
+    plan = retention.retention_cleanup(dict.fromkeys(("DagRun", "XCom", "Log", "Task"), table), now, 30, specs)
+    assert written == ["kept", "kept"]
+    gone = {name: days(part.candidates()) for name, part in plan.items()}
+    assert gone["DagRun"] == gone["XCom"] == [("a", 2), ("b", 3)]
+    assert gone["Log"] == [("a", 1), ("a", 2), ("b", 3)]
+    assert len(gone["Task"]) == 4
+    assert written == ["kept", "kept"]
+    assert days(plan["Log"].survivors()) == [("b", 4)]
 
 
 def test_project_stages_only_move_forward(spark):

@@ -4,23 +4,21 @@ from collections import Counter
 from lanehouse.operators import aggregates, sets
 from lanehouse.plans import sheets
 
-WIDE, NARROW = "Y150N1;I8N2;N2I8;Y150N1", "Y150N1;I8N2;N10;Y150N1"
-# project, project_index, lane, lane_index, mask, group, group_index, samples, file
-EXPECTED = [
-    ("P1", 1, 1, 1, WIDE, "16_NA", 1, 3, "SampleSheet_P1_1_16_NA.csv"),
-    ("P1", 1, 2, 2, WIDE, "16_NA", 1, 3, "SampleSheet_P1_2_16_NA.csv"),
-    ("P2", 2, 1, 1, NARROW, "8_10X", 1, 5, "SampleSheet_P2_1_8_10X.csv"),
-    ("P3", 3, 1, 1, NARROW, "8_NA", 1, 3, "SampleSheet_P3_1_8_NA.csv"),
-    ("P4", 4, 1, 1, WIDE, "16_NA", 1, 1, "SampleSheet_P4_1_16_NA.csv"),
+WIDE, NARROW = "Y150N1;I8N2;N2I8;Y150N1", "Y100N1;I6N2;N10;Y100N1"
+# run, project, lane, mask, tag, samples: two groups in a lane, one tag with two masks, a project in two runs
+SAMPLES = [
+    ("r1", "alpha", 3, WIDE, "NA", 2),
+    ("r1", "alpha", 3, NARROW, "NA", 4),
+    ("r1", "alpha", 5, NARROW, "10X", 1),
+    ("r1", "beta", 3, WIDE, "NA", 3),
+    ("r2", "beta", 8, NARROW, "NA", 5),
 ]
+# project_index, lane_index, group, group_index of each
+PLACES = [(1, 1, "16_NA", 1), (1, 1, "6_NA", 2), (1, 2, "6_10X", 1), (2, 1, "16_NA", 1), (1, 1, "6_NA", 1)]
 
 
 def formatted(spark):
-    rows = [
-        ("run1", project, lane, mask, group.split("_")[1])
-        for project, _, lane, _, mask, group, _, n, _ in EXPECTED
-        for _ in range(n)
-    ]
+    rows = [row[:5] for row in SAMPLES for _ in range(row[5])]
     samples = spark.createDataFrame(
         rows, "run string, project string, lane int, bases_mask string, tag string"
     )
@@ -28,43 +26,36 @@ def formatted(spark):
 
 
 def test_formatted_sheets(spark):
-    got = formatted(spark).drop("run").collect()
-    assert sorted(tuple(r) for r in got) == EXPECTED
+    got = formatted(spark).collect()
     assert tuple(formatted(spark).columns[1:]) == sheets.SHEET_COLUMNS
+    expected = [
+        (run, project, p, lane, k, mask, group, g, n, f"SampleSheet_{project}_{lane}_{group}.csv")
+        for (run, project, lane, mask, _, n), (p, k, group, g) in zip(SAMPLES, PLACES, strict=True)
+    ]
+    assert sorted(tuple(r) for r in got) == sorted(expected)
 
 
 def test_sample_groups(spark):
-    groups = sheets.sample_groups(formatted(spark)).collect()
-    assert {r.project_index: r.lanes for r in groups} == {
-        1: {1: {1: 3}, 2: {1: 3}},
-        2: {1: {1: 5}},
-        3: {1: {1: 3}},
-        4: {1: {1: 1}},
-    }
-
-
-def test_large_maps_are_spread(spark):
-    rows = [("r", 1, lane, group, lane * 100 + group) for lane in range(7) for group in range(9)]
-    frame = spark.createDataFrame(rows, "run string, p int, lane int, grp int, n int")
-    parts = aggregates.nested_counts(frame, ["run", "p", "lane", "grp"], "n", entries_per_part=10).collect()
-    assert len(parts) > 3
-    got = [(lane, grp, n) for r in parts for lane, groups in r.lanes.items() for grp, n in groups.items()]
-    assert sorted(got) == [(lane, grp, n) for _, _, lane, grp, n in rows]
+    got = [tuple(r) for r in sheets.sample_groups(formatted(spark)).collect()]
+    assert sorted(got) == sorted(
+        (row[0], p, k, g, row[5]) for row, (p, k, _, g) in zip(SAMPLES, PLACES, strict=True)
+    )
 
 
 def test_sheet_tasks(spark):
     tasks = sheets.sheet_tasks(formatted(spark)).collect()
-    counts = Counter((r.project_index, r.lane_index) for r in tasks)
-    assert counts == {(1, 1): 3, (1, 2): 3, (2, 1): 5, (3, 1): 3, (4, 1): 1}
-    assert sorted(r.sample for r in tasks if r.project_index == 2) == [1, 2, 3, 4, 5]
+    counts = Counter((r.run, r.project_index, r.lane_index, r.index_group_index) for r in tasks)
+    assert counts == {
+        (row[0], p, k, g): row[5] for row, (p, k, _, g) in zip(SAMPLES, PLACES, strict=True)
+    }
+    assert sorted(r.sample for r in tasks if r.run == "r2") == [1, 2, 3, 4, 5]
 
 
-def test_nested_round_trip(spark):
-    groups = sheets.sample_groups(formatted(spark))
-    rows = sets.expand_nested(groups, "lanes", ["lane_index", "index_group_index"], "n")
-    assert sorted((r.project_index, r.lane_index, r.n) for r in rows.collect()) == [
-        (1, 1, 3), (1, 2, 3), (2, 1, 5), (3, 1, 3), (4, 1, 1),
-    ]
+def test_nested_maps_become_rows(spark):
+    rows = [(1, {2: {3: 4, 5: 6}, 7: {}}), (2, {}), (3, None)]
+    frame = spark.createDataFrame(rows, "id int, lanes map<int, map<int, int>>")
+    got = sets.expand_nested(frame, "lanes", ["lane", "grp"], "n").collect()
+    assert sorted(tuple(r) for r in got) == [(1, 2, 3, 4), (1, 2, 5, 6)]
 
 
 def test_fan_in_levels(spark):

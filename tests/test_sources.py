@@ -1,12 +1,15 @@
 import base64
 import hashlib
 import json
+import os
+from pathlib import Path
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from lanehouse import session
+from lanehouse.operators import numbering
 from lanehouse.plans import manifest
 from lanehouse.sources import digests, readers, writers
 
@@ -34,8 +37,10 @@ def test_split_line_scan_orders_lines_over_splits(spark, tmp_path):
 
 def test_json_and_csv(spark, tmp_path):
     (tmp_path / "dump.json").write_text(json.dumps({"Jobs": {"7": {"Job_Name": "hpc", "job_state": "R"}}}, indent=1))
-    dump = readers.json_scan(spark, str(tmp_path / "dump.json"), readers.JOB_DUMP)
+    dump = readers.json_scan(spark, str(tmp_path / "dump.json"), readers.JOB_DUMP, multiline=True)
     assert dump.select(F.explode("Jobs")).first().value.Job_Name == "hpc"
+    (tmp_path / "lines.json").write_text('{"Jobs":{"1":{"Job_Name":"a"}}}\n{"Jobs":{"2":{"Job_Name":"b"}}}\n')
+    assert readers.json_scan(spark, str(tmp_path / "lines.json"), readers.JOB_DUMP).count() == 2
     (tmp_path / "pools.csv").write_text("pool_name,slots\ndefault_pool,50\n")
     assert tuple(readers.csv_scan(spark, str(tmp_path / "pools.csv"), readers.POOLS).first()) == ("default_pool", 50)
 
@@ -49,14 +54,14 @@ def test_second_write_fails(spark, tmp_path):
         writers.tsv_sink(rows, path)
 
 
-@pytest.mark.parametrize("cell_bytes", [1 << 28, 4])
-def test_digests_of_files(spark, tmp_path, cell_bytes):
+@pytest.mark.parametrize("piece_bytes", [1 << 24, 2])
+def test_digests_of_files(spark, tmp_path, piece_bytes):
     folder = tmp_path / "results"
     (folder / "deep").mkdir(parents=True)
     (folder / "a.txt").write_text("alpha")
     (folder / "deep" / "b.txt").write_text("b")
     (folder / readers.MANIFEST_NAME).write_text("old")
-    got = digests.file_md5(spark, str(folder), cell_bytes).collect()
+    got = digests.file_md5(spark, str(folder), piece_bytes).collect()
     assert sorted((r.path, r.md5, r.length) for r in got) == [
         ("results/a.txt", hashlib.md5(b"alpha").hexdigest(), 5),
         ("results/deep/b.txt", hashlib.md5(b"b").hexdigest(), 1),
@@ -78,15 +83,45 @@ def test_work_folder_is_the_one_of_the_session(spark):
     assert session.fresh_path(spark, "x") != session.fresh_path(spark, "x")
 
 
-def test_shuffles_are_sized_by_the_data(spark):
-    keys = ["spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes"]
-    before = {key: spark.conf.get(key) for key in keys}
-    try:
-        assert session.size_shuffles(spark, 10 << 40) == 81920
-        assert session.size_shuffles(spark, 1) == 81920
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
+def test_a_job_leaves_no_files(spark):
+    root = Path(session.work_folder(spark).removeprefix("file://"))
+    with session.job(spark) as folder:
+        with session.job(spark) as inner:
+            assert session.settle(spark.range(9), "x").count() == 9
+            assert os.listdir(inner.removeprefix("file://"))
+        assert not Path(inner.removeprefix("file://")).exists()
+        chunks = numbering.chunk(spark.range(100).toDF("id"), ["id"], 3)
+        assert chunks.count() == 100 and len(os.listdir(folder.removeprefix("file://"))) == 1
+    assert not [p for p in os.listdir(root) if p.startswith("job-")]
+    with pytest.raises(ZeroDivisionError), session.job(spark) as folder:
+        session.settle(spark.range(1), "x")
+        1 / 0
+    assert not Path(folder.removeprefix("file://")).exists()
+
+
+def test_a_local_folder_is_refused_on_a_cluster(spark, monkeypatch):
+    for folder in ("file:///tmp/x", "file:/tmp/x", "/tmp/x", "x"):
+        assert session.on_local_disk(folder, "file:///")
+    for folder in ("hdfs://host/x", "s3a://bucket/a:b"):
+        assert not session.on_local_disk(folder, "file:///")
+    assert not session.on_local_disk("/shared/a:b", "hdfs://host:8020")
+    monkeypatch.setattr(session, "is_local", lambda _: False)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.work_folder(spark)
+
+
+def test_old_snapshots_are_removed_whole(spark, tmp_path):
+    path = str(tmp_path / "backup")
+    for day in ("2024-01-03", "2024-01-01", "2024-01-02"):
+        writers.snapshot_backup(spark.range(3), path, day)
+    (tmp_path / "backup" / "notes").mkdir()
+    with pytest.raises(ValueError):
+        writers.prune_snapshots(spark, path, 0)
+    assert writers.prune_snapshots(spark, path, 2) == ["2024-01-01"]
+    assert writers.prune_snapshots(spark, path, 2) == []
+    left = sorted(p.name for p in (tmp_path / "backup").iterdir() if p.is_dir())
+    assert left == ["notes", "snapshot_date=2024-01-02", "snapshot_date=2024-01-03"]
+    assert spark.read.parquet(path).count() == 6
 
 
 def test_queue_documents(spark):

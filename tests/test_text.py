@@ -1,4 +1,6 @@
+import json
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -163,13 +165,18 @@ def test_sections(spark):
     assert sections("") == [(0, None, [""])]
 
 
-def test_summary_that_is_none_fails(spark):
-    rows, none = spark.range(5), spark.range(0)
-    lists = monitor.summary_lists(a=rows, b=none)
-    assert lists["a"].first().document.startswith('[{"id":0},{"id":1}')
-    assert lists["b"].first().document == "[]"
-    with pytest.raises(Exception, match="more than 4 summary rows"):
-        monitor.summary_lists(most=4, a=rows)["a"].collect()
+def test_summary_rows_of_any_number(spark):
+    rows, none = spark.range(30).selectExpr("id + 100 AS id"), spark.range(0)
+    got = monitor.summary_rows(b=none, a=rows, c=rows.limit(1)).collect()
+    in_a = sorted((r.position, r["row"]) for r in got if r.section == "a")
+    assert in_a == [(k + 1, f'{{"id":{100 + k}}}') for k in range(30)]
+    assert Counter(r.section for r in got) == {"a": 30, "c": 1}
+
+
+def test_summary_totals(spark):
+    rows = spark.createDataFrame([(1, 2), (3, None)], "x int, y int")
+    document = monitor.summary_totals(a=(rows, ("x", "y")), b=(rows.limit(0), ("x",))).first().document
+    assert json.loads(document) == {"a": {"rows": 2, "x": 4, "y": 2}, "b": {"rows": 0, "x": 0}}
 
 
 def test_storage_lines(spark):
