@@ -116,22 +116,29 @@ def watermark(spark: SparkSession, folder: str) -> DataFrame:
     return max_or_zero(target_orders(spark, folder), "order_id")
 
 
-def as_project(orders: DataFrame, status) -> DataFrame:
-    return orders.select(
-        F.col("o_orderkey").alias("project_id"),
-        F.format_string("P%06d", "o_orderkey").alias("project_igf_id"),
-        F.format_string("project_%d", "o_custkey").alias("project_name"),
-        F.concat(iso("o_orderdate"), F.lit(".000000Z")).alias("start_timestamp"),
-        F.lit(None).cast("string").alias("description"),
-        status.alias("status"),
-        F.col("o_orderpriority").alias("deliverable"),
+def as_table(df: DataFrame, table: sync.SyncedTable, *values: Column) -> DataFrame:
+    """``values`` under the names of the table's columns."""
+    return df.select(*(v.alias(name) for name, v in zip(table.columns, values, strict=True)))
+
+
+def as_project(orders: DataFrame, status: Column) -> DataFrame:
+    return as_table(
+        orders,
+        sync.PROJECT,
+        F.col("o_orderkey"),
+        F.format_string("P%06d", "o_orderkey"),
+        F.format_string("project_%d", "o_custkey"),
+        F.concat(iso("o_orderdate"), F.lit(".000000Z")),
+        F.lit(None).cast("string"),
+        status,
+        F.col("o_orderpriority"),
     )
 
 
 @query(
-    """
+    f"""
     WITH source AS (
-      SELECT o_orderkey AS project_id, printf('P%06d', o_orderkey) AS project_igf_id,
+      SELECT o_orderkey AS project_id, printf('P%06d', o_orderkey) AS {sync.PROJECT.columns[1]},
              'project_' || o_custkey AS project_name, o_orderdate AS start_timestamp,
              CAST(NULL AS VARCHAR) AS description, o_orderstatus AS status,
              o_orderpriority AS deliverable
@@ -191,9 +198,9 @@ def sync_active_flags(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    """
+    f"""
     WITH source AS (
-      SELECT c_custkey AS user_id, 'U' || c_custkey AS user_igf_id, c_name AS name,
+      SELECT c_custkey AS user_id, 'U' || c_custkey AS {sync.USER.columns[1]}, c_name AS name,
              lower(replace(c_name, '#', '.')) || '@' || lower(c_mktsegment) AS email_id,
              CASE WHEN c_acctbal < 0 THEN 'BLOCKED' ELSE 'ACTIVE' END AS status
       FROM customer),
@@ -210,12 +217,14 @@ def sync_users(spark: SparkSession, folder: str) -> DataFrame:
     address = F.concat(
         F.lower(F.replace("c_name", F.lit("#"), F.lit("."))), F.lit("@"), F.lower("c_mktsegment")
     )
-    source = customer.select(
-        F.col("c_custkey").alias("user_id"),
-        F.concat(F.lit("U"), F.col("c_custkey").cast("string")).alias("user_igf_id"),
-        F.col("c_name").alias("name"),
-        address.alias("email_id"),
-        F.when(F.col("c_acctbal") < 0, "BLOCKED").otherwise("ACTIVE").alias("status"),
+    source = as_table(
+        customer,
+        sync.USER,
+        F.col("c_custkey"),
+        F.concat(F.lit("U"), F.col("c_custkey").cast("string")),
+        F.col("c_name"),
+        address,
+        F.when(F.col("c_acctbal") < 0, "BLOCKED").otherwise("ACTIVE"),
     )
     target = source.where(F.col("user_id") < source.agg(F.avg("user_id")).scalar()).withColumn(
         "status", F.lit("ACTIVE")
