@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lanehouse.functions import masks
 from lanehouse.operators.aggregates import nested_counts
 from lanehouse.operators.sets import expand_by_count
-from lanehouse.operators.windows import index_within
+from lanehouse.operators.windows import indexes_within
 
 # Fixed values
 SHEET_COLUMNS = (
@@ -38,10 +38,8 @@ def formatted_sheets(samples: DataFrame, run: str = "run") -> DataFrame:
         .withColumn("index_group", group)
         .withColumn("samplesheet_file", masks.sheet_name("project", "lane", "index_group"))
     )
-    sheets = index_within(sheets, [run], "project", "project_index")
-    sheets = index_within(sheets, [run, "project"], "lane", "lane_index")
-    sheets = index_within(sheets, [run, "project", "lane"], "index_group", "index_group_index")
-    return sheets.select(run, *SHEET_COLUMNS)
+    levels = {"project": "project_index", "lane": "lane_index", "index_group": "index_group_index"}
+    return indexes_within(sheets, [run], levels).select(run, *SHEET_COLUMNS)
 
 
 def sample_groups(sheets: DataFrame, run: str = "run") -> DataFrame:
