@@ -25,7 +25,7 @@ from lanehouse.llm.exchange import ask, bucket_bits, bucket_edges, with_answers
 from lanehouse.llm.frames import cut, gathered, keep, packed, remainder, texts, unpacked, utf8
 from lanehouse.llm.words import mix, words_of
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 #: of ten parts of the documents: the one that is only scored, and the one the weights are learned on
 PARTS, HELD_OUT, TUNING = 10, 0, 1
 #: the added count of the plain estimate
@@ -228,27 +228,36 @@ def context_range(count: np.ndarray) -> np.ndarray:
     return np.minimum(np.frexp(count.astype(np.float64))[1], RANGES - 1)
 
 
-def _events(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How often each combination of counts occurs among the tokens of the tuning documents."""
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """The rows of the batches, one by one: a chunk takes a lot of memory when it is decoded."""
     for batch in batches:
-        for row in batch.to_pylist():
-            _, place, _, pair = _decoded(row)
-            words, pairs = _counts(row, "word_main"), _counts(row, "pair_main")
-            word, both = words[place], pairs[pair]
-            # the end stands before the first token, and is the last one
-            context = np.concatenate([word[-1:], word[:-1]])
-            of = context_range(context)
-            # a pair that was never seen has the estimate 0 whatever its context
-            context = np.where(both > 0, context, 0)
-            found = np.column_stack([of, both, context, word])
-            order = np.lexsort(found.T[::-1])
-            found = found[order]
-            new = np.ones(len(found), dtype=bool)
-            new[1:] = (found[1:] != found[:-1]).any(axis=1)
-            n = np.diff(np.append(np.flatnonzero(new), len(found)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip((*found[new].T, n), EVENTS, strict=True)], schema=EVENTS
-            )
+        for number in range(batch.num_rows):
+            yield from batch.slice(number, 1).to_pylist()
+
+
+def _events_of(row: dict) -> pa.RecordBatch:
+    """How often each combination of counts occurs among the tokens of a chunk of tuning documents."""
+    _, place, _, pair = _decoded(row)
+    word, both = _counts(row, "word_main")[place], _counts(row, "pair_main")[pair]
+    # the end stands before the first token, and is the last one
+    context = np.concatenate([word[-1:], word[:-1]])
+    of = context_range(context)
+    # a pair that was never seen has the estimate 0 whatever its context
+    context = np.where(both > 0, context, 0)
+    found = np.column_stack([of, both, context, word])
+    order = np.lexsort(found.T[::-1])
+    found = found[order]
+    new = np.ones(len(found), dtype=bool)
+    new[1:] = (found[1:] != found[:-1]).any(axis=1)
+    n = np.diff(np.append(np.flatnonzero(new), len(found)))
+    columns = (*found[new].T, n)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, f.type) for c, f in zip(columns, EVENTS, strict=True)], schema=EVENTS
+    )
+
+
+def _events(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return map(_events_of, _rows(batches))
 
 
 def learn_weights(events: DataFrame, tokens: int, vocabulary: int) -> np.ndarray:
@@ -285,35 +294,35 @@ def learn_weights(events: DataFrame, tokens: int, vocabulary: int) -> np.ndarray
     return weights
 
 
+def _scores_of(row: dict, weights: np.ndarray, tokens: int, vocabulary: int) -> pa.RecordBatch:
+    """The scores of the documents of a chunk."""
+    _, place, _, pair = _decoded(row)
+    words = _counts(row, "word_main") + _counts(row, "word_tuning")
+    both = (_counts(row, "pair_main") + _counts(row, "pair_tuning"))[pair]
+    word = words[place]
+    context = np.concatenate([word[-1:], word[:-1]])
+    weight = weights[context_range(context)]
+    mixed = (
+        weight[:, 0] / (vocabulary + 1)
+        + weight[:, 1] * word / max(tokens, 1)
+        + weight[:, 2] * both / np.maximum(context, 1)
+    )
+    base = (words + ADDED) / (tokens + ADDED * (vocabulary + 1))
+    sizes = np.array(row["sizes"])
+    first = np.cumsum(sizes) - sizes
+    known, plain, score = (
+        np.add.reduceat(v, first) for v in ((word > 0).astype(np.int64), np.log10(base)[place], np.log10(mixed))
+    )
+    held_out = np.array(row["parts"]) == HELD_OUT
+    columns = (row["doc_ids"], held_out, sizes, known, np.full(len(sizes), tokens), plain, score)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, f.type) for c, f in zip(columns, SCORES, strict=True)], schema=SCORES
+    )
+
+
 def _scores(weights: np.ndarray, tokens: int, vocabulary: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                _, place, _, pair = _decoded(row)
-                words = _counts(row, "word_main") + _counts(row, "word_tuning")
-                pairs = _counts(row, "pair_main") + _counts(row, "pair_tuning")
-                word, both = words[place], pairs[pair]
-                context = np.concatenate([word[-1:], word[:-1]])
-                weight = weights[context_range(context)]
-                mixed = (
-                    weight[:, 0] / (vocabulary + 1)
-                    + weight[:, 1] * word / max(tokens, 1)
-                    + weight[:, 2] * both / np.maximum(context, 1)
-                )
-                base = (words + ADDED) / (tokens + ADDED * (vocabulary + 1))
-                sizes = np.array(row["sizes"])
-                first = np.cumsum(sizes) - sizes
-                sums = [
-                    np.add.reduceat(v, first)
-                    for v in ((word > 0).astype(np.int64), np.log10(base)[place], np.log10(mixed))
-                ]
-                columns = (
-                    row["doc_ids"], np.array(row["parts"]) == HELD_OUT, sizes, sums[0],
-                    np.full(len(sizes), tokens), sums[1], sums[2],
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, f.type) for c, f in zip(columns, SCORES, strict=True)], schema=SCORES
-                )
+        return (_scores_of(row, weights, tokens, vocabulary) for row in _rows(batches))
 
     return run
 
