@@ -310,7 +310,7 @@ def blocks(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> Iterator[
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> DataFrame:
-    """A row per document and item that it contains: ``doc_id``, ``item_id``, ``word``, ``cosine``, ``common``, ``answered``.
+    """A row per document and item that it contains, with ``doc_id`` and ``item_id``.
 
     ``word`` is the number of the first word of the best place, ``cosine`` its window's to the nearest passage,
     ``common`` the share of the item's words that are there in order, ``answered`` that of its answer's. NULL

@@ -30,6 +30,10 @@ FALSE_SHARE = 0.05
 #: bins of p-values, so many to a power of ten
 BINS, PER_DECADE = 160, 8
 
+#: matches whose places are added up together
+BLOCK = 256
+SPAN_BLOCKS = "array<array<struct<start:int,end:int,token:string>>>"
+
 #: encodings in the order in which they are tried: pattern of the whole token, and the symbols
 ENCODINGS = (
     (r"^(?=.*[0-9])(?=.*[a-f])[0-9a-f]+$", "0123456789abcdef"),
@@ -47,14 +51,12 @@ ENCODINGS = (
 def matches(text: Column, pattern: str) -> Column:
     """Start, end and text of the leftmost non-overlapping matches, which are never empty.
 
-    What stands between the matches gives their places. The patterns are searched a second time only
-    in texts that have a match.
+    What stands between the matches gives their places. The pattern is searched a second time only in
+    texts that have a match. Places are added up in blocks of matches and then over the blocks, as an
+    array that grows match by match is copied each time.
     """
     found, between = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    begin = F.struct(
-        F.lit(0).alias("at"),
-        F.array().cast("array<struct<start:int,end:int,token:string>>").alias("spans"),
-    )
+    none = F.array().cast("array<struct<start:int,end:int,token:string>>")
 
     def add(so_far: Column, pair: Column) -> Column:
         start = so_far["at"] + F.length(pair["between"])
@@ -62,11 +64,33 @@ def matches(text: Column, pattern: str) -> Column:
         span = F.struct(start.alias("start"), end.alias("end"), pair["token"].alias("token"))
         return F.struct(end.alias("at"), F.concat(so_far["spans"], F.array(span)).alias("spans"))
 
+    def within(pairs: Column, first: Column) -> Column:
+        block = F.slice(pairs, first, F.lit(BLOCK))
+        return F.aggregate(block, F.struct(F.lit(0).alias("at"), none.alias("spans")), add)
+
+    def append(so_far: Column, block: Column) -> Column:
+        moved = F.transform(
+            block["spans"],
+            lambda s: F.struct(
+                (s["start"] + so_far["at"]).alias("start"), (s["end"] + so_far["at"]).alias("end"), s["token"].alias("token")
+            ),
+        )
+        return F.struct(
+            (so_far["at"] + block["at"]).alias("at"), F.concat(so_far["blocks"], F.array(moved)).alias("blocks")
+        )
+
+    def placed(pairs: Column) -> Column:
+        firsts = F.sequence(F.lit(1), F.size(pairs), F.lit(BLOCK))
+        blocks = F.transform(firsts, lambda first: within(pairs, first))
+        start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN_BLOCKS).alias("blocks"))
+        return F.aggregate(blocks, start, append, lambda state: F.flatten(state["blocks"]))
+
     pairs = F.arrays_zip(
         F.slice(between, F.lit(1), F.size(found)).alias("between"), found.alias("token")
     )
-    spans = F.aggregate(pairs, begin, add, lambda state: state["spans"])
-    return F.when(F.rlike(text, F.lit(pattern)), spans).otherwise(begin["spans"])
+    # bound to a name, so that the text is searched once
+    spans = F.transform(F.array(pairs), lambda bound: placed(bound))[0]
+    return F.when(F.rlike(text, F.lit(pattern)), spans).otherwise(none)
 
 
 def fixed_forms(text: Column) -> Column:

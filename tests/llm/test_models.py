@@ -173,6 +173,7 @@ TRICKY = [
     "é\U0001f600 token=deadbeefdeadbeefdeadbeefdeadbeef0 " + "ab" * 16 + "g" + "a" * 31,
     "password==abcdefgh password= password=",
     "passwordtoken:12345678901 \n token:\n12345678",
+    "ö token=12345678" * 1000 + "AKIA0123456789AB " * 256,
 ]
 
 
