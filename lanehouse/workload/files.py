@@ -10,7 +10,6 @@ from lanehouse.operators import joins, windows
 from lanehouse.plans import manifest
 from lanehouse.session import fresh_path
 from lanehouse.sources import readers, writers
-from lanehouse.sources.digests import file_md5
 from lanehouse.sources.readers import scan
 from lanehouse.workload.registry import query
 
@@ -101,7 +100,7 @@ def md5_files(spark: SparkSession, folder: str) -> DataFrame:
     documents = scan(spark, folder, "documents").select("doc_id", "text")
     documents.repartition("doc_id").write.partitionBy("doc_id").text(path)
     doc_id = F.regexp_extract("path", r"/doc_id=(\d+)/part-", 1)
-    files = file_md5(spark, path).withColumn("doc_id", F.nullif(doc_id, F.lit("")).cast("long"))
+    files = manifest.manifest_build(spark, path).withColumn("doc_id", F.nullif(doc_id, F.lit("")).cast("long"))
     return files.where(F.col("doc_id").isNotNull()).select("doc_id", "md5", "length")
 
 
