@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lanehouse.llm.frames import keep
+
 #: a line is boilerplate on more than this share of a host's pages, and on so many pages at least
 MAX_RATIO, MIN_PAGES = 0.1, 5
 
@@ -54,7 +56,8 @@ def drop_boilerplate(
     for earlier columns named ``n_lines`` and ``n_dropped``, which are replaced.
     """
     docs = docs.withColumn("text", F.coalesce(F.col("text").cast("string"), F.lit("")))
-    drop = boilerplate(docs, host, ratio, min_pages)
+    # written first: a short list is then seen to be one, and joined without a shuffle of the texts
+    drop = keep(boilerplate(docs, host, ratio, min_pages), "boilerplate")
     # only the join's own columns have these names
     drop = drop.select(F.col("host").alias("_drop_host"), F.col("drop").alias("_drop_lines"))
     found = docs.join(drop, docs[host] == drop["_drop_host"], "left")
