@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from lanehouse.operators import joins
+from lanehouse.operators import aggregates, joins
 from lanehouse.plans import capacity, retention, status
 
 SETTINGS = {
@@ -80,6 +80,10 @@ def test_retention(spark, skew_settings):
     check(retention.survivors(table, "at", cutoff, kept), stay)
 
 
+def test_positions_within_a_key(spark, skew_settings):
+    check(aggregates.collect_values(hot(spark), ["k"], "v"), ROWS)
+
+
 def test_capacity(spark, skew_settings):
     cluster = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("c"), F.col("id") % 900))
     queues = spark.range(0, ROWS, 1, 8).select(
