@@ -29,8 +29,8 @@ from lanehouse.llm.words import mix, words_of
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
-#: at the similarity of 0.8 a pair shares none of the bands with a probability of 5e-6
-BANDS, ROWS = 40, 6
+#: at the similarity of 0.8 a pair shares none of the bands with a probability of 3e-6
+BANDS, ROWS = 32, 5
 #: members of one bucket that are compared in one task; larger ones are cut and compared part by part
 BLOCK = 1000
 
