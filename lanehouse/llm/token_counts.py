@@ -14,7 +14,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -50,7 +50,7 @@ CHUNKS = pa.schema(
     ]
 )
 REQUESTS = pa.schema(
-    [("chunk", pa.int64()), ("bucket", pa.int32()), ("words", pa.list_(pa.string()))]
+    [("chunk", pa.int64()), ("bucket", pa.int32()), ("words", pa.binary()), ("sizes", pa.binary())]
 )
 ANSWERS = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("pieces", pa.binary())])
 
@@ -149,21 +149,24 @@ def _encode(path: str):
 
 def _requests(bits: int):
     def requests(batch: pa.RecordBatch) -> Iterator[tuple]:
-        words = batch.column("words").flatten()
-        data, bounds = utf8(words)
+        data, bounds = utf8(batch.column("words").flatten())
         edges = bucket_edges(span_hashes(data, bounds[:-1], bounds[1:]), bits)
         chunk = batch.column("chunk")[0].as_py()
         for bucket in np.flatnonzero(np.diff(edges)):
-            size = int(edges[bucket + 1] - edges[bucket])
-            yield chunk, int(bucket), words.slice(int(edges[bucket]), size).to_pylist()
+            own = bounds[edges[bucket] : edges[bucket + 1] + 1]
+            words = zstandard.compress(data[own[0] : own[-1]].tobytes(), 1)
+            yield chunk, int(bucket), words, packed(np.diff(own))
 
     return requests
 
 
 def _answers(path: str):
     def answers(table: pa.Table) -> pa.Table:
-        asked = table.column("words").combine_chunks()
-        coded = asked.flatten().dictionary_encode()
+        sizes = [unpacked(part) for part in table.column("sizes").to_pylist()]
+        bounds = np.concatenate([[0], np.cumsum(np.concatenate(sizes), dtype=np.int64)])
+        data = b"".join(map(zstandard.decompress, table.column("words").to_pylist()))
+        asked = pa.LargeStringArray.from_buffers(len(bounds) - 1, pa.py_buffer(bounds), pa.py_buffer(data))
+        coded = asked.dictionary_encode()
         distinct = coded.dictionary.to_pylist()
         tokenizer = load(path)[0]
         pieces = np.fromiter(
@@ -178,7 +181,7 @@ def _answers(path: str):
             count=len(distinct),
         )
         found = pieces[coded.indices.to_numpy()]
-        ends = np.cumsum(pc.list_value_length(asked).to_numpy())
+        ends = np.cumsum([len(part) for part in sizes])
         replies = [part.tobytes() for part in np.split(found, ends[:-1])]
         return pa.Table.from_arrays(
             [table.column("chunk"), table.column("bucket"), pa.array(replies, pa.binary())],
