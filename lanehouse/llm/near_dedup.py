@@ -257,14 +257,16 @@ def similar_across(
 
     Every such pair of a bucket is compared, inside tasks, and only links that connect components leave
     them. A bucket of more than ``block`` members is cut by a hash into parts, and each two parts meet.
+    Which buckets these are is written first: their rows then don't have to be dealt by bucket to be found.
     """
     label = F.coalesce("component", "id").alias("component")
     placed = members.where("n > 2").join(known, "id", "left").select("key", "n", "id", label)
-    mixed = (
+    mixed = keep(
         placed.groupBy("key")
         .agg(F.min("component").alias("low"), F.max("component").alias("high"))
         .where("low != high")
-        .select("key")
+        .select("key"),
+        "mixed",
     )
     parts = F.ceil(F.col("n") / block).cast("int")
     own = F.pmod(F.xxhash64("id"), parts).cast("int")
