@@ -6,8 +6,8 @@ the documents are folded into it and compared with the passages by cosine. What
 words: how much of the item is a common subsequence of the place in the document, and whether the item's
 answer, its last sentence, is there too.
 
-Most windows are not folded in at all: their cosine is bounded by the share of their weight that lies on words
-of the benchmark, which takes one number per word to find out.
+Every window with a word of the benchmark is folded in: words that no item has don't count in its length, so
+their weight says nothing about its cosine. Neighbouring windows share half of their words, which are summed once.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +30,8 @@ from lanehouse.llm.words import LOWER, SPACE, span_hashes, word_spans
 #: words of a passage by the least number of words of its items; the step is half of it
 WINDOWS = {12: 16, 3: 4}
 RANK = 128
-#: share of a window's weight on words of the benchmark, and cosine to a passage
-LEAST_SHARE, LEAST_COSINE = 0.4, 0.65
+#: share of a window's weight on words of the benchmark, which any such word reaches, and cosine to a passage
+LEAST_SHARE, LEAST_COSINE = 1e-9, 0.65
 #: an item is there if so much of its words is, or if so much is and so much of its answer
 VERBATIM, PARAPHRASE, ANSWER = 0.8, 0.5, 0.6
 #: items of fewer words must be there without a gap
@@ -39,6 +40,8 @@ SHORT_ITEM = 8
 BLOCK_BYTES = 2 << 20
 #: windows that are folded in at a time
 FOLDED = 4096
+#: words of an item that fit into one number, and numbers an item has for all words
+BITS, BUCKETS = 64, 512
 
 #: words are separated by whatever is not a letter or digit in ASCII
 BETWEEN = SPACE.copy()
@@ -119,6 +122,19 @@ class Items:
     passages: np.ndarray
     passage_item: np.ndarray
 
+    @cached_property
+    def lengths(self) -> np.ndarray:
+        return np.array([len(own) for own in self.words], dtype=np.int64)
+
+    @cached_property
+    def masks(self) -> np.ndarray:
+        """Per item and bucket of words, which of the item's first words are in the bucket; unknown words are last."""
+        table = np.zeros((len(self.words), BUCKETS + 1), dtype=np.uint64)
+        for row, own in zip(table, self.words, strict=True):
+            place = look_up(self.vocabulary, np.array(own[:BITS], dtype=np.uint64))
+            np.bitwise_or.at(row, place % BUCKETS, np.uint64(1) << np.arange(len(place), dtype=np.uint64))
+        return table
+
 
 def look_up(vocabulary: np.ndarray, word: np.ndarray) -> np.ndarray:
     """The place of each word in the vocabulary, -1 for others."""
@@ -219,8 +235,8 @@ def prepare(docs: DataFrame, block: DataFrame, window: int, rank: int = RANK) ->
     )
 
 
-def candidates(items: Items, word: np.ndarray, count: np.ndarray):
-    """Windows near a passage: start, end and text of the window, number of the item, and cosine."""
+def near_windows(items: Items, word: np.ndarray, count: np.ndarray):
+    """Arrays of the windows near a passage: start, end and text of the window, number of the item, and cosine."""
     place = look_up(items.vocabulary, word)
     known = place >= 0
     weight = np.where(known, items.weights[place], items.other)
@@ -229,19 +245,27 @@ def candidates(items: Items, word: np.ndarray, count: np.ndarray):
     start, end, text = windows(count, items.window)
     share = (inside[end] - inside[start]) / np.maximum(whole[end] - whole[start], 1e-9)
     chosen = np.flatnonzero(share >= LEAST_SHARE)
+    stride = items.window // 2
+    passages = np.ascontiguousarray(items.passages.T)
+    # one more row for words that no item has
+    rows = np.concatenate([items.latent, np.zeros((1, items.latent.shape[1]), dtype=np.float32)])
+    place = np.append(np.where(known, place, len(items.latent)), len(items.latent))
     for first in range(0, len(chosen), FOLDED):
         own = chosen[first : first + FOLDED]
-        latent = np.zeros((len(own), items.latent.shape[1]), dtype=np.float32)
-        for k in range(items.window):
-            at = start[own] + k
-            there = at < end[own]
-            at = at[there]
-            there[there] = known[at]
-            at = at[known[at]]
-            latent[there] += items.latent[place[at]]
+        # a window is its first half and the next; both are halves of other windows, too
+        two = start[own] + stride < end[own]
+        halves, first_half = np.unique(np.concatenate([start[own], start[own][two] + stride]), return_index=True)
+        ends = np.concatenate([np.minimum(end[own], start[own] + stride), end[own][two]])[first_half]
+        sums = np.zeros((len(halves), rows.shape[1]), dtype=np.float32)
+        for k in range(stride):
+            sums += rows[place[np.where(halves + k < ends, halves + k, len(word))]]
+        latent = sums[np.searchsorted(halves, start[own])]
+        latent[two] += sums[np.searchsorted(halves, start[own][two] + stride)]
         norms = np.linalg.norm(latent, axis=1)
-        near = latent @ items.passages.T
-        row, passage = np.nonzero(near >= LEAST_COSINE * np.maximum(norms, 1e-9)[:, None])
+        near = latent @ passages
+        row, passage = np.divmod(
+            np.flatnonzero(near >= LEAST_COSINE * np.maximum(norms, 1e-9)[:, None]), len(items.passages)
+        )
         if not len(row):
             continue
         item = items.passage_item[passage]
@@ -251,9 +275,51 @@ def candidates(items: Items, word: np.ndarray, count: np.ndarray):
         row, item, cosine = row[order], item[order], cosine[order]
         new = np.ones(len(row), dtype=bool)
         new[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1])
-        for r, i, c in zip(row[new], item[new], cosine[new], strict=True):
-            w = own[r]
-            yield int(start[w]), int(end[w]), int(text[w]), int(i), float(c)
+        w = own[row[new]]
+        yield start[w], end[w], text[w], item[new], cosine[new]
+
+
+def candidates(items: Items, word: np.ndarray, count: np.ndarray):
+    """The windows near a passage one by one."""
+    for arrays in near_windows(items, word, count):
+        yield from zip(*(a.tolist() for a in arrays), strict=True)
+
+
+def most_common(items: Items, bucket: np.ndarray, low: np.ndarray, high: np.ndarray, item: np.ndarray) -> np.ndarray:
+    """No common subsequence of an item and the words from ``low`` to ``high`` is longer than this.
+
+    It is that of the item's first words with words taken for equal if their buckets are, all places at once.
+    """
+    length = items.lengths[item]
+    # of longer items so little fits into a number that the bound says nothing
+    size = np.where(length < BITS / PARAPHRASE, high - low, 0)
+    order = np.argsort(-size, kind="stable")
+    first, own, size = low[order], item[order], size[order]
+    full = np.full(len(own), ~np.uint64(0))
+    short = length[order] < BITS
+    full[short] = (np.uint64(1) << length[order][short].astype(np.uint64)) - np.uint64(1)
+    row = full.copy()
+    for step in range(int(size[0]) if len(size) else 0):
+        n = int(np.searchsorted(-size, -step, side="left"))
+        old = row[:n]
+        hit = old & items.masks[own[:n], bucket[first[:n] + step]]
+        row[:n] = ((old + hit) | (old - hit)) & full[:n]
+    bound = np.empty(len(own), dtype=np.int64)
+    bound[order] = length[order] - np.bitwise_count(row)
+    return np.where(length < BITS / PARAPHRASE, bound, length)
+
+
+def possible(items: Items, word: np.ndarray, count: np.ndarray):
+    """The windows near a passage, one by one, without those around which too little of the item can be."""
+    first = np.cumsum(count) - count
+    place = look_up(items.vocabulary, word)
+    bucket = np.where(place >= 0, place % BUCKETS, BUCKETS)
+    for start, end, text, item, cosine in near_windows(items, word, count):
+        length = items.lengths[item]
+        low, high = np.maximum(start - length, first[text]), np.minimum(end + length, (first + count)[text])
+        enough = np.where(length < SHORT_ITEM, 1.0, PARAPHRASE) * length
+        kept = most_common(items, bucket, low, high, item) >= enough
+        yield from zip(*(a[kept].tolist() for a in (start, end, text, item, cosine)), strict=True)
 
 
 def leaks(items: Items, data: np.ndarray, bounds: np.ndarray):
@@ -263,7 +329,7 @@ def leaks(items: Items, data: np.ndarray, bounds: np.ndarray):
     first = np.cumsum(count) - count
     best: dict[tuple[int, int], tuple] = {}
     done: dict[tuple[int, int], int] = {}
-    for start, end, text, item, cosine in candidates(items, word, count):
+    for start, end, text, item, cosine in possible(items, word, count):
         key, own, answer = (text, item), items.words[item], items.answers[item]
         # the checked place reaches so far that the next windows of the same leak lie within it
         if start < done.get(key, -1):

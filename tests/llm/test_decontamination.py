@@ -96,6 +96,20 @@ def test_candidates_are_near_enough_by_brute_force(planted):
     assert all(got[k] == pytest.approx(expected[k], abs=1e-4) for k in got)
 
 
+def test_items_in_a_third_of_the_documents_are_found_at_every_alignment(spark):
+    hot = " ".join(f"hot{k}" for k in range(15))
+    others = [" ".join(f"seldom{i}x{k}" for k in range(40)) for i in range(20)]
+    docs = []
+    for k in range(240):
+        around = [f"around{k}x{j}" for j in range(60)]
+        if k % 3 == 0:
+            around[k // 3 % 8 : k // 3 % 8] = [hot]
+        docs.append((k, " ".join(around)))
+    items = spark.createDataFrame(list(enumerate([hot, *others])), ITEMS)
+    found = decontamination.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(k, 0) for k in range(0, 240, 3)}
+
+
 def test_singular_values_and_vectors(spark):
     rng = np.random.default_rng(8)
     matrix = rng.standard_normal((90, 12)) * 0.7 ** np.arange(12) @ rng.standard_normal((12, 70))
@@ -120,6 +134,22 @@ def test_common_subsequence():
         assert decontamination.common_subsequence(a, b) == table[-1, -1]
 
 
+def test_bound_of_common_subsequences():
+    rng = np.random.default_rng(2)
+    vocabulary = np.sort(rng.integers(0, 2**63, 900).astype(np.uint64))
+    own = [rng.choice(vocabulary[: 20 + 9 * k], k).tolist() for k in (1, 7, 12, 63, 64, 65, 90, 127, 128, 200)]
+    empty = np.zeros((0, 1), dtype=np.float32)
+    items = decontamination.Items(16, list(range(10)), own, [], [], vocabulary, empty, 0.0, empty, empty, empty)
+    word = rng.choice(vocabulary[:300], 4000)
+    item, low = rng.integers(0, 10, 500), rng.integers(0, 3800, 500)
+    high = low + rng.integers(0, 200, 500)
+    bucket = decontamination.look_up(vocabulary, word) % decontamination.BUCKETS
+    bound = decontamination.most_common(items, bucket, low, high, item)
+    for b, i, x, y in zip(bound, item, low, high, strict=True):
+        exact = decontamination.common_subsequence(own[i], word[x:y].tolist())
+        assert exact <= b <= len(own[i])
+
+
 def test_odd_rows(spark):
     docs = odd(spark)
     items = spark.createDataFrame(
