@@ -6,6 +6,7 @@ the documents are folded into it and compared with the passages by cosine. What
 words: how much of the item is a common subsequence of the place in the document, and whether the item's
 answer, its last sentence, is there too.
 
+Whole items are also searched word for word, which finds them wherever they stand; short items only so.
 Every window with a word of the benchmark is folded in: words that no item has don't count in its length, so
 their weight says nothing about its cosine. Neighbouring windows share half of their words, which are summed once.
 """
@@ -25,10 +26,11 @@ from pyspark.sql.pandas.types import from_arrow_schema
 
 from lanehouse.llm.frames import cut, keep, texts, utf8
 from lanehouse.llm.svd import dense, right_vectors
-from lanehouse.llm.words import LOWER, SPACE, span_hashes, word_spans
+from lanehouse.llm.words import LOWER, SPACE, mix, span_hashes, word_spans
 
-#: words of a passage by the least number of words of its items; the step is half of it
-WINDOWS = {12: 16, 3: 4}
+#: words of a passage by the least number of words of its items; the step is half of it. Items that must stand
+#: without a gap need none
+WINDOWS = {12: 16, 8: 4, 3: 0}
 RANK = 128
 #: share of a window's weight on words of the benchmark, which any such word reaches, and cosine to a passage
 LEAST_SHARE, LEAST_COSINE = 1e-9, 0.65
@@ -126,6 +128,19 @@ class Items:
     def lengths(self) -> np.ndarray:
         return np.array([len(own) for own in self.words], dtype=np.int64)
 
+    @cached_property
+    def heads(self) -> dict[int, tuple[np.ndarray, list[list[int]]]]:
+        """By number of words: rising hashes of the items' first words, SHORT_ITEM at most, and the items of each."""
+        result = {}
+        for size in sorted({min(len(own), SHORT_ITEM) for own in self.words if own}):
+            of: dict[int, list[int]] = {}
+            for k, own in enumerate(self.words):
+                if min(len(own), SHORT_ITEM) == size:
+                    of.setdefault(int(grams(np.array(own[:size], dtype=np.uint64), size)[0]), []).append(k)
+            keys = sorted(of)
+            result[size] = np.array(keys, dtype=np.uint64), [of[k] for k in keys]
+        return result
+
     @cached_property
     def masks(self) -> np.ndarray:
         """Per item and bucket of words, which of the item's first words are in the bucket; unknown words are last."""
@@ -202,6 +217,10 @@ def prepare(docs: DataFrame, block: DataFrame, window: int, rank: int = RANK) ->
     found = [(i, words_of_text(t).tolist(), words_of_text(answer_of(t)).tolist()) for i, t in rows]
     every = [w for _, own, _ in found for w in own]
     vocabulary = np.unique(np.array(every, dtype=np.uint64))
+    if not window:
+        none = np.zeros((0, 1), dtype=np.float32)
+        own = [own for _, own, _ in found]
+        return Items(0, [i for i, _, _ in found], own, [], [], vocabulary, none, 0.0, none, none, none)
     seen, n = document_frequencies(docs, vocabulary)
     weights = np.log((n + 1) / (seen + 0.5)).clip(min=0.01)
     spark = docs.sparkSession
@@ -309,6 +328,30 @@ def most_common(items: Items, bucket: np.ndarray, low: np.ndarray, high: np.ndar
     return np.where(length < BITS / PARAPHRASE, bound, length)
 
 
+def grams(word: np.ndarray, size: int) -> np.ndarray:
+    """A hash of every ``size`` words in a row."""
+    number = max(0, len(word) - size + 1)
+    result = np.zeros(number, dtype=np.uint64)
+    for k in range(size):
+        result = mix(result + word[k : k + number])
+    return result
+
+
+def verbatim(items: Items, word: np.ndarray, owner: np.ndarray):
+    """Where whole items stand without a gap, in rising order: first word, its text, and number of the item."""
+    found: list[tuple[int, int, int]] = []
+    for size, (heads, of_head) in items.heads.items():
+        hashes = grams(word, size)
+        place = look_up(heads, hashes)
+        for at in np.flatnonzero(place >= 0).tolist():
+            for item in of_head[place[at]]:
+                own = items.words[item]
+                last = at + len(own) - 1
+                if last < len(word) and owner[last] == owner[at] and word[at : last + 1].tolist() == own:
+                    found.append((at, int(owner[at]), item))
+    return sorted(found)
+
+
 def possible(items: Items, word: np.ndarray, count: np.ndarray):
     """The windows near a passage, one by one, without those around which too little of the item can be."""
     first = np.cumsum(count) - count
@@ -317,8 +360,7 @@ def possible(items: Items, word: np.ndarray, count: np.ndarray):
     for start, end, text, item, cosine in near_windows(items, word, count):
         length = items.lengths[item]
         low, high = np.maximum(start - length, first[text]), np.minimum(end + length, (first + count)[text])
-        enough = np.where(length < SHORT_ITEM, 1.0, PARAPHRASE) * length
-        kept = most_common(items, bucket, low, high, item) >= enough
+        kept = most_common(items, bucket, low, high, item) >= PARAPHRASE * length
         yield from zip(*(a[kept].tolist() for a in (start, end, text, item, cosine)), strict=True)
 
 
@@ -328,26 +370,26 @@ def leaks(items: Items, data: np.ndarray, bounds: np.ndarray):
     count = np.bincount(owner, minlength=len(bounds) - 1)
     first = np.cumsum(count) - count
     best: dict[tuple[int, int], tuple] = {}
+    whole = set()
+    for at, text, item in verbatim(items, word, owner):
+        if (text, item) not in whole:
+            whole.add((text, item))
+            best[text, item] = (at - int(first[text]), 1.0, 1.0, 1.0)
     done: dict[tuple[int, int], int] = {}
-    for start, end, text, item, cosine in possible(items, word, count):
+    for start, end, text, item, cosine in possible(items, word, count) if items.window else ():
         key, own, answer = (text, item), items.words[item], items.answers[item]
         # the checked place reaches so far that the next windows of the same leak lie within it
-        if start < done.get(key, -1):
+        if key in whole or start < done.get(key, -1):
             continue
         low = max(start - len(own), int(first[text]))
         high = min(end + len(own), int(first[text] + count[text]))
-        enough = 1.0 if len(own) < SHORT_ITEM else PARAPHRASE
         place = word[low:high].tolist()
         # no subsequence is longer than the number of words that the place has of the item
-        if sum(map(items.sets[item].__contains__, place)) < enough * len(own):
+        if sum(map(items.sets[item].__contains__, place)) < PARAPHRASE * len(own):
             continue
         common = common_subsequence(own, place) / len(own)
         answered = common_subsequence(answer, place) / max(len(answer), 1)
-        if len(own) < SHORT_ITEM:
-            there = any(place[k : k + len(own)] == own for k in range(len(place)))
-        else:
-            there = common >= VERBATIM or (common >= PARAPHRASE and answered >= ANSWER)
-        if there:
+        if common >= VERBATIM or (common >= PARAPHRASE and answered >= ANSWER):
             done[key] = end
             if key not in best or (common, cosine) > best[key][1:3]:
                 best[key] = (start - int(first[text]), common, cosine, answered)
@@ -378,7 +420,8 @@ def blocks(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> Iterator[
 def find_leaks(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> DataFrame:
     """A row per document and item that it contains, with ``doc_id`` and ``item_id``.
 
-    ``word`` is the number of the first word of the best place, ``cosine`` its window's to the nearest passage,
+    ``word`` is the number of the first word of the best place, ``cosine`` its window's to the nearest passage
+    (1 where the whole item stands without a gap, which is searched for by itself),
     ``common`` the share of the item's words that are there in order, ``answered`` that of its answer's. NULL
     and empty texts contain nothing, and items of fewer than three words are not searched; NULL ids stay; repeated documents and items give
     a row each; other columns are ignored; without documents or items there are no rows.

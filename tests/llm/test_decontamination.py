@@ -110,6 +110,27 @@ def test_items_in_a_third_of_the_documents_are_found_at_every_alignment(spark):
     assert {(r.doc_id, r.item_id) for r in found} == {(k, 0) for k in range(0, 240, 3)}
 
 
+def test_verbatim_items_of_every_length_are_found_at_every_alignment(spark):
+    # all words are words of the benchmark, so what stands around an item is as near to others
+    sizes = [*range(3, 24), 40, 200]
+    own = {n: [f"own{n}x{k}" for k in range(n)] for n in sizes}
+    every = [w for n in sizes for w in own[n]]
+    rng = np.random.default_rng(13)
+    docs, truth = [], set()
+    for i, n in enumerate(sizes):
+        for shift in range(16):
+            around = [every[k] for k in rng.integers(0, len(every), 40)]
+            around[shift:shift] = own[n]
+            docs.append((len(docs), " ".join(around)))
+            truth.add((len(docs) - 1, i))
+    items = spark.createDataFrame([(i, " ".join(own[n])) for i, n in enumerate(sizes)], ITEMS)
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    found = {(r.doc_id, r.item_id): r for r in decontamination.find_leaks(table, items).collect()}
+    assert truth <= set(found) and all(found[key].common == 1 for key in truth)
+    assert all(found[d, i].word == d % 16 for d, i in truth)
+    assert decontamination.without_leaks(table, items).count() == 0
+
+
 def test_singular_values_and_vectors(spark):
     rng = np.random.default_rng(8)
     matrix = rng.standard_normal((90, 12)) * 0.7 ** np.arange(12) @ rng.standard_normal((12, 70))
