@@ -14,9 +14,10 @@ their weight says nothing about its cosine. Neighbouring windows share half of t
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ from lanehouse.llm.words import LOWER, SPACE, mix, span_hashes, word_spans
 
 #: words of a passage by the least number of words of its items; the step is half of it. Items that must stand
 #: without a gap need none
-WINDOWS = {12: 16, 8: 4, 3: 0}
+WINDOWS = {12: 16, 8: 4, 2: 0}
 RANK = 128
 #: share of a window's weight on words of the benchmark, which any such word reaches, and cosine to a passage
 LEAST_SHARE, LEAST_COSINE = 1e-9, 0.65
@@ -45,9 +46,17 @@ FOLDED = 4096
 #: words of an item that fit into one number, and numbers an item has for all words
 BITS, BUCKETS = 64, 512
 
-#: words are separated by whatever is not a letter or digit in ASCII
+#: words are separated by whatever is not a letter or digit; these are the ASCII ones
 BETWEEN = SPACE.copy()
 BETWEEN[[b for b in range(128) if not chr(b).isalnum()]] = True
+#: code points of scripts that put no spaces between words (Thai, Lao, Myanmar, Khmer, Tai, Kana, Bopomofo, Yi, Han);
+#: each of their characters is a word
+UNSPACED = [
+    (0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19FF), (0x1A20, 0x1AAF), (0x3005, 0x3007),
+    (0x3040, 0x312F), (0x31A0, 0x31BF), (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0xA48F), (0xA9E0, 0xA9FF),
+    (0xAA60, 0xAADF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x1AFF0, 0x1B16F), (0x20000, 0x3FFFF),
+]
+SEPARATOR, LETTER, ALONE = 0, 1, 2
 
 LEAKS = pa.schema(
     [
@@ -61,11 +70,52 @@ LEAKS = pa.schema(
 )
 
 
+@lru_cache(maxsize=1)
+def classes() -> np.ndarray:
+    """Of every code point, whether it separates words, belongs to one (marks and joiners too), or is one."""
+    table = np.full(0x110000, SEPARATOR, dtype=np.uint8)
+    for code in range(0x40000):
+        if (c := chr(code)).isalnum() or unicodedata.category(c)[0] == "M" or code in (0x200C, 0x200D):
+            table[code] = LETTER
+    for first, last in UNSPACED:
+        own = table[first : last + 1]
+        own[own == LETTER] = ALONE
+    return table
+
+
+def characters(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First byte, number of bytes, and class of every character beyond ASCII."""
+    lead = np.flatnonzero(data >= 0xC0)
+    size = 2 + (data[lead] >= 0xE0) + (data[lead] >= 0xF0)
+    code = (data[lead] & (0x7F >> size)).astype(np.int64)
+    for k in range(1, 4):
+        more = np.flatnonzero(size > k)
+        # the last bytes may be cut off where a text isn't valid UTF-8
+        code[more] = code[more] << 6 | data[np.minimum(lead[more] + k, len(data) - 1)] & 0x3F
+    return lead, size, classes()[np.minimum(code, 0x10FFFF)]
+
+
 def words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash and text number of every word; ASCII letters in lower case."""
     low = LOWER[data]
-    starts, ends, text = word_spans(low, bounds, BETWEEN)
-    return span_hashes(low, starts, ends), text
+    if not (low >= 0xC0).any():
+        starts, ends, text = word_spans(low, bounds, BETWEEN)
+        return span_hashes(low, starts, ends), text
+    lead, size, kind = characters(low)
+    inside = ~BETWEEN[low]
+    for k in range(4):
+        own = (kind == SEPARATOR) & (size > k)
+        inside[np.minimum(lead[own] + k, len(low) - 1)] = False
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    alone = kind == ALONE
+    edges = np.concatenate([bounds, lead[alone], (lead + size)[alone]])
+    edges = edges[(edges >= 0) & (edges < len(low))]
+    begins[edges] = inside[edges]
+    closes = inside.copy()
+    closes[:-1] &= ~inside[1:] | begins[1:]
+    starts, ends = np.flatnonzero(begins), np.flatnonzero(closes) + 1
+    return span_hashes(low, starts, ends), np.searchsorted(bounds, starts, side="right") - 1
 
 
 def words_of_text(text: str) -> np.ndarray:
@@ -89,7 +139,7 @@ def windows(count: np.ndarray, size: int):
 
 def answer_of(text: str) -> str:
     """The last sentence or line with a word in it."""
-    parts = [p for p in re.split(r"\n|(?<=[.!?]) ", text) if len(words_of_text(p))]
+    parts = [p for p in re.split(r"\n|(?<=[.!?]) |(?<=[。！？])", text) if len(words_of_text(p))]
     return parts[-1] if parts else ""
 
 
@@ -398,12 +448,20 @@ def leaks(items: Items, data: np.ndarray, bounds: np.ndarray):
 
 
 def blocks(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> Iterator[Items]:
-    """The benchmark in prepared blocks of items of similar length; items of one or two words are in none."""
-    parts = F.split(F.col("text").cast("string"), r"[\x00-\x7F&&[^0-9A-Za-z]]+")
-    every = benchmark.select(
-        F.col("item_id").cast("long").alias("item_id"),
-        F.col("text").cast("string").alias("text"),
-        F.size(F.filter(parts, lambda p: p != "")).alias("n"),
+    """The benchmark in prepared blocks of items of similar length; items of one word are in none."""
+    schema = pa.schema([("item_id", pa.int64()), ("text", pa.string()), ("n", pa.int64())])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in cut(batches):
+            text = words(*utf8(batch.column("text")))[1]
+            n = pa.array(np.bincount(text, minlength=batch.num_rows), pa.int64())
+            columns = [batch.column("item_id"), batch.column("text").cast(pa.string()), n]
+            yield pa.RecordBatch.from_arrays(columns, schema=schema)
+
+    every = (
+        benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
+        .where(F.col("text").isNotNull())
+        .mapInArrow(count, from_arrow_schema(schema))
     )
     above = np.inf
     for least, window in WINDOWS.items():
@@ -423,8 +481,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> DataF
     ``word`` is the number of the first word of the best place, ``cosine`` its window's to the nearest passage
     (1 where the whole item stands without a gap, which is searched for by itself),
     ``common`` the share of the item's words that are there in order, ``answered`` that of its answer's. NULL
-    and empty texts contain nothing, and items of fewer than three words are not searched; NULL ids stay; repeated documents and items give
-    a row each; other columns are ignored; without documents or items there are no rows.
+    and empty texts contain nothing, and items of one word are not searched; NULL ids stay; repeated documents and
+    items give a row each; other columns are ignored; without documents or items there are no rows.
     """
 
     def search(items: Items):

@@ -131,6 +131,26 @@ def test_verbatim_items_of_every_length_are_found_at_every_alignment(spark):
     assert decontamination.without_leaks(table, items).count() == 0
 
 
+def test_items_in_scripts_without_spaces_and_of_two_words(spark):
+    items = ["北京是中国的首都，人口超过二千万。它的历史很长。", "東京は日本の首都です。", "กรุงเทพมหานครเป็นเมืองหลวง", "blue whale", "¿año—día?"]
+    around = ["他说：%s对吗", "次の文、%s と書いた", "คำถาม%sครับ", "a Blue, whale swims", "un «año» (día) más"]
+    docs = [a % i if "%s" in a else a for a, i in zip(around, items, strict=True)] + ["blue sky, grey whale", "北京的人口"]
+    table = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    found = decontamination.find_leaks(table, spark.createDataFrame(list(enumerate(items)), ITEMS)).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(k, k) for k in range(5)}
+
+
+def test_words_are_those_of_a_plain_split():
+    texts = ["Año nuevo, día—uno", "漢字 かな交じり文。", "", "x", "naïve\u0301 été…ÉTÉ 😀😀z", "ไทย abc漢def", "漢", "é"]
+    data = [t.encode() for t in texts]
+    got = decontamination.words(np.frombuffer(b"".join(data), dtype=np.uint8), np.cumsum([0, *map(len, data)]))
+    parts = [["Año", "nuevo", "día", "uno"], [*"漢字かな交じり文"], [], ["x"], ["naïve\u0301", "été", "ÉTÉ", "z"],
+             [*"ไทย", "abc", "漢", "def"], ["漢"], ["é"]]
+    assert got[1].tolist() == [k for k, own in enumerate(parts) for _ in own]
+    alone = [int(decontamination.words_of_text(w)[0]) for own in parts for w in own]
+    assert got[0].tolist() == alone
+
+
 def test_singular_values_and_vectors(spark):
     rng = np.random.default_rng(8)
     matrix = rng.standard_normal((90, 12)) * 0.7 ** np.arange(12) @ rng.standard_normal((12, 70))
