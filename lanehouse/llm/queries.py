@@ -15,6 +15,7 @@ from lanehouse.llm import (
     lm_scores,
     near_dedup,
     packing,
+    periodic_runs,
     quality,
     secrets,
     token_counts,
@@ -124,3 +125,9 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = scan(spark, sf_dir, "documents")
     return token_counts.token_counts(docs, tokenizer("byte_bpe_50k.json"), 1024)
+
+
+@query()
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.with_repeats(scan(spark, sf_dir, "documents"))
+    return periodic_runs.digests(periodic_runs.find_runs(docs))
