@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lanehouse.llm import (
     decontamination,
     fingerprints,
+    id_files,
     languages,
     line_dedup,
     lm_scores,
@@ -28,6 +29,8 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 SEQUENCE_TOKENS = 2048
+#: the id that ends a document in the files of op13
+END_ID = 1
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
@@ -131,3 +134,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = periodic_runs.with_repeats(scan(spark, sf_dir, "documents"))
     return periodic_runs.digests(periodic_runs.find_runs(docs))
+
+
+@query()
+def op13_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = id_files.id_folder(spark)
+    docs = scan(spark, sf_dir, "documents")
+    files = id_files.write_ids(docs, tokenizer("word_bpe_49k.json"), folder, END_ID)
+    read = id_files.read_ids(files, folder)
+    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
