@@ -17,6 +17,7 @@ from lanehouse.llm import (
     near_dedup,
     packing,
     periodic_runs,
+    prefix_trie,
     quality,
     secrets,
     token_counts,
@@ -136,6 +137,12 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.digests(periodic_runs.find_runs(docs))
 
 
+@query()
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = prefix_trie.sequences(scan(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(prefix_trie.branched(rows))
+
+
 @query()
 def op13_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = id_files.id_folder(spark)
