@@ -212,13 +212,14 @@ idle AS (
   WHERE active_jobs = 0 AND second <> 'generic' AND queue NOT IN (SELECT queue FROM needed))"""
 
 
-def worker_replies(spark: SparkSession, folder: str) -> DataFrame:
+def worker_replies(spark: SparkSession, folder: str, queue: Column | str = "queue") -> DataFrame:
     """Worker replies as JSON text; a worker without jobs may lack the list of jobs."""
     job = F.struct(F.col("event_type").alias("id"), F.lit("run").alias("name"))
     jobs = F.transform(fn.one_to(F.col("user_id") % 3), lambda n: job)
     active = F.when(F.col("user_id") % 6 != 0, jobs)
     second = F.when(F.col("event_type") == "signup", "generic").otherwise("plain")
-    queues = F.array(F.struct(F.col("queue").alias("name")), F.struct(second.alias("name")))
+    first = F.col(queue) if isinstance(queue, str) else queue
+    queues = F.array(F.struct(first.alias("name")), F.struct(second.alias("name")))
     worker = F.struct(active.alias("active"), queues.alias("active_queues"))
     name = F.concat(F.lit("w"), F.col("event_id").cast("string"))
     return queued(spark, folder).select(F.to_json(F.create_map(name, worker)).alias("value"))
@@ -252,26 +253,31 @@ def idle_workers(spark: SparkSession, folder: str) -> DataFrame:
     return capacity.idle_workers(workers, needed_queues(spark, folder))
 
 
-# The plan of the first twelve queues: later ones come after them and don't change it
+# Workers of low value still serve a queue of their cluster's, which no task waits for any more
 CLEANUP_SQL = f"""{PLAN_SQL}, {CONF_SQL},
-half AS (SELECT * FROM plan WHERE queue < 'hpc_12'),
+serving AS (
+  SELECT 'w' || event_id AS worker_id, user_id % 3 AS active_jobs, event_type,
+         CASE WHEN value < 10 THEN 'hpc_' || cluster ELSE queue END AS queue FROM queued),
 idle AS (
-  SELECT 'w' || event_id AS worker_id FROM queued
-  WHERE user_id % 3 = 0 AND event_type <> 'signup' AND queue NOT IN (SELECT queue FROM half))"""
+  SELECT worker_id FROM serving
+  WHERE active_jobs = 0 AND event_type <> 'signup' AND queue NOT IN (SELECT queue FROM plan))"""
 
 
 def cleanup(spark: SparkSession, folder: str) -> capacity.Cleanup:
-    workers = readers.worker_list(worker_replies(spark, folder))
-    waiting = waiting_queues(spark, folder).where("queue < 'hpc_12'")
+    own = F.concat(F.lit("hpc_"), "cluster")
+    replies = worker_replies(spark, folder, F.when(F.col("value") < 10, own).otherwise(F.col("queue")))
     return capacity.worker_cleanup(
-        workers, waiting, active_jobs(spark, folder), queue_conf(spark, folder)
+        readers.worker_list(replies),
+        waiting_queues(spark, folder),
+        active_jobs(spark, folder),
+        queue_conf(spark, folder),
     )
 
 
 @query(
     f"""
     WITH RECURSIVE {CLEANUP_SQL}
-    SELECT DISTINCT queue AS branch FROM half
+    SELECT DISTINCT queue AS branch FROM plan
     UNION ALL SELECT 'cleanup_celery_workers' WHERE EXISTS (SELECT 1 FROM idle)
     """
 )
@@ -287,7 +293,7 @@ def cleanup_idle(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     f"""
     WITH RECURSIVE {CLEANUP_SQL}
-    SELECT cluster, queue, new_tasks, pbs_resource, worker_queue FROM half JOIN conf USING (queue)
+    SELECT cluster, queue, new_tasks, pbs_resource, worker_queue FROM plan JOIN conf USING (queue)
     """
 )
 def cleanup_plan(spark: SparkSession, folder: str) -> DataFrame:
