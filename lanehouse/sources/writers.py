@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
 from functools import reduce
 
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +48,31 @@ def json_sink(df: DataFrame, path: str) -> None:
     write_new(df, path, "json")
 
 
+def file_per_row(df: DataFrame, folder: str, path: str, content: str) -> None:
+    """A file of its own below ``folder`` for each row, with exactly the bytes of ``content``; NULL gives none.
+
+    ``path`` is relative to the folder. A file is written beside its place and renamed, so a task that runs
+    again leaves the same file; the paths have to differ. Works on the file systems that Arrow knows.
+    """
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        files, top = fs.FileSystem.from_uri(folder)
+        for batch in batches:
+            for name, data in zip(batch["path"], batch["content"], strict=True):
+                home, _, own = f"{top}/{name}".rpartition("/")
+                files.create_dir(home, recursive=True)
+                beside = f"{home}/.{own}-{uuid.uuid4().hex}"
+                with files.open_output_stream(beside) as stream:
+                    stream.write(data)
+                files.move(beside, f"{home}/{own}")
+            yield batch[["path"]]
+
+    rows = df.where(F.col(content).isNotNull()).select(
+        F.col(path).cast("string").alias("path"), F.col(content).cast("binary").alias("content")
+    )
+    rows.mapInPandas(write, "path string").write.format("noop").mode("overwrite").save()
+
+
 def manifest_lines(manifest: DataFrame, path: str = "path") -> DataFrame:
     """Lines of digest, two spaces and path."""
     return manifest.select(F.concat("md5", F.lit("  "), path).alias("value"))

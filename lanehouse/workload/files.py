@@ -92,16 +92,32 @@ def checksum_chunks(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    "SELECT doc_id, md5(text || chr(10)) AS md5, CAST(strlen(text) + 1 AS BIGINT) AS length FROM documents"
+    """
+    SELECT name AS path, md5(content) AS md5, CAST(strlen(content) AS BIGINT) AS length FROM (
+        SELECT source || '/' || doc_id || '.txt' AS name, text AS content FROM documents
+        UNION ALL
+        SELECT source || '/logs/' || doc_id || '/run.log',
+               CASE WHEN doc_id % 3 = 0 THEN '' ELSE 'doc ' || doc_id END
+        FROM documents WHERE doc_id % 5 = 0)
+    """
 )
 def md5_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Every document written to a file of its own; the files are found and read again."""
+    """Every document in a file of its own and, deeper in the tree, the log of some, which may be empty."""
     path = fresh_path(spark, "files")
-    documents = scan(spark, folder, "documents").select("doc_id", "text")
-    documents.repartition("doc_id").write.partitionBy("doc_id").text(path)
-    doc_id = F.regexp_extract("path", r"/doc_id=(\d+)/part-", 1)
-    files = manifest.manifest_build(spark, path).withColumn("doc_id", F.nullif(doc_id, F.lit("")).cast("long"))
-    return files.where(F.col("doc_id").isNotNull()).select("doc_id", "md5", "length")
+    documents = scan(spark, folder, "documents").select("doc_id", "text", "source")
+    texts = documents.select(
+        fn.join_path("source", F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))).alias("name"),
+        F.col("text").alias("content"),
+    )
+    line = F.concat(F.lit("doc "), F.col("doc_id").cast("string"))
+    logs = documents.where("doc_id % 5 = 0").select(
+        F.concat_ws("/", "source", F.lit("logs"), "doc_id", F.lit("run.log")).alias("name"),
+        F.when(F.col("doc_id") % 3 == 0, "").otherwise(line).alias("content"),
+    )
+    writers.file_per_row(texts.unionByName(logs), path, "name", "content")
+    files = manifest.manifest_build(spark, path)
+    below = F.substr("path", F.locate("/", F.col("path")) + 1)
+    return files.select(below.alias("path"), "md5", "length")
 
 
 @query("SELECT s_name AS pool_name, CAST(s_suppkey % 20 AS INTEGER) AS slots FROM supplier")

@@ -2,6 +2,7 @@ import base64
 import hashlib
 import json
 import os
+import subprocess
 from pathlib import Path
 
 import pytest
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from lanehouse import session
 from lanehouse.operators import numbering
 from lanehouse.plans import manifest
-from lanehouse.sources import digests, readers, writers
+from lanehouse.sources import digests, readers, tree, writers
 
 
 def test_line_scan_keeps_order_per_file(spark, tmp_path):
@@ -68,6 +69,38 @@ def test_digests_of_files(spark, tmp_path, piece_bytes):
     ]
 
 
+def test_a_tree_is_what_find_gives(spark, tmp_path):
+    top = tmp_path / "run 1%20"
+    for name in ("a/b/c/d/deep", "a/b", "empty", "é x"):
+        (top / name).mkdir(parents=True, exist_ok=True)
+    for name, data in {
+        "zero.log": b"", "a/b/c/d/deep/zero": b"", "a/b/_SUCCESS": b"", "a/.hidden": b"h", "é x/one two.txt": b"12",
+        readers.MANIFEST_NAME: b"old",
+    }.items():
+        (top / name).write_bytes(data)
+    (top / "a" / "again").symlink_to(top)
+    (top / "a" / "link").symlink_to(top / "zero.log")
+    found = subprocess.run(["find", top, "-type", "f"], capture_output=True, text=True, check=True).stdout
+    expected = {p for p in found.splitlines() if not p.endswith(readers.MANIFEST_NAME)}
+    got = tree.file_tree(spark, str(top)).collect()
+    assert {r.path for r in got} == expected and len(got) == len(expected) == 5
+    assert {r.path: r.length for r in got} == {p: os.path.getsize(p) for p in expected}
+    digest = {r.path: r.md5 for r in digests.file_md5(spark, str(top)).collect()}
+    assert digest["run 1%20/zero.log"] == hashlib.md5(b"").hexdigest()
+    assert digest["run 1%20/é x/one two.txt"] == hashlib.md5(b"12").hexdigest()
+    assert tree.file_tree(spark, str(top / "empty")).collect() == []
+    with pytest.raises(PySparkException):
+        tree.file_tree(spark, str(top / "none")).collect()
+
+
+def test_a_file_per_row(spark, tmp_path):
+    rows = spark.createDataFrame([("a/x.txt", "é\n"), ("b", ""), ("c", None)], "name string, body string")
+    writers.file_per_row(rows, str(tmp_path), "name", "body")
+    writers.file_per_row(rows, str(tmp_path), "name", "body")
+    left = {str(p.relative_to(tmp_path)): p.read_bytes() for p in tmp_path.rglob("*") if p.is_file()}
+    assert left == {"a/x.txt": "é\n".encode(), "b": b""}
+
+
 def test_manifest_lines(spark, tmp_path):
     rows = spark.createDataFrame([("d" * 32, "results/a  b.txt")], "md5 string, path string")
     path = str(tmp_path / "m")
