@@ -32,15 +32,19 @@ def flatten_groups(df: DataFrame, values: str, as_column: str) -> DataFrame:
 def expand_by_count(df: DataFrame, n: str, as_column: str = "item") -> DataFrame:
     """One row per whole number 1..n; none for n below 1.
 
-    A row is first cut into blocks of numbers, which are spread over the tasks and then expanded.
+    A row of one block of numbers is expanded where it is. One of more is cut into blocks, and only these are
+    dealt to the tasks before they are expanded.
     """
     count = F.col(n).cast("long")
     last_block = F.floor((count - 1) / EXPANSION_BLOCK)
     first = F.col("_block") * EXPANSION_BLOCK + 1
-    blocks = df.where(count >= 1).withColumn(
+    short = df.where((count >= 1) & (count <= EXPANSION_BLOCK)).withColumn(
+        as_column, F.explode(F.sequence(F.lit(1).cast("long"), count))
+    )
+    blocks = df.where(count > EXPANSION_BLOCK).withColumn(
         "_block", F.explode(F.sequence(F.lit(0).cast("long"), last_block))
     )
-    return (
+    long = (
         blocks.repartition(*df.columns, "_block")
         .withColumn(
             as_column,
@@ -48,6 +52,7 @@ def expand_by_count(df: DataFrame, n: str, as_column: str = "item") -> DataFrame
         )
         .drop("_block")
     )
+    return short.unionByName(long)
 
 
 def expand_nested(df: DataFrame, nested: str, names: Sequence[str], n: str) -> DataFrame:

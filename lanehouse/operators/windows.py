@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
-from functools import reduce
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lanehouse.functions import columns as fn
 from lanehouse.operators.keys import join_null_safe
-from lanehouse.operators.numbering import position_within
+from lanehouse.operators.levels import indexes_within
 from lanehouse.session import settle
 
 
@@ -127,43 +126,6 @@ def index_within(df: DataFrame, parents: Sequence[str], column: str, as_column:
     return indexes_within(df, parents, {column: as_column})
 
 
-def indexes_within(df: DataFrame, parents: Sequence[str], levels: Mapping[str, str]) -> DataFrame:
-    """Ours: ``index_within`` level by level: each column of ``levels`` within the parents and those before.
-
-    The distinct values of all levels are stacked and numbered by one ``position_within``, then joined
-    back, so a parent with many values or rows needs no task of its own.
-    """
-    columns = list(levels)
-    kinds = dict(df.dtypes)
-    above = [f"_above{k}" for k in range(len(columns))]
-
-    def up_to(last: int) -> list[Column]:
-        return [
-            (F.col(c) if k <= last else F.lit(None)).cast(kinds[c]) for k, c in enumerate(columns)
-        ]
-
-    stacked = reduce(
-        DataFrame.unionByName,
-        (
-            df.select(
-                F.lit(level).alias("_level"),
-                *parents,
-                *(value.alias(c) for value, c in zip(up_to(level), columns, strict=True)),
-                *(value.alias(c) for value, c in zip(up_to(level - 1), above, strict=True)),
-            ).distinct()
-            for level in range(len(columns))
-        ),
-    )
-    numbered = settle(
-        position_within(stacked, ["_level", *parents, *above], columns, "_index"), "indexes"
-    )
-    for level, as_column in enumerate(levels.values()):
-        keys = [*parents, *columns[: level + 1]]
-        own = numbered.where(F.col("_level") == level).select(*keys, F.col("_index").alias(as_column))
-        df = join_null_safe(df, own, keys)
-    return df
-
-
 def slots(
     df: DataFrame, group: Sequence[str], order: Sequence[str], k: int, as_column: str = "slot"
 ) -> DataFrame:

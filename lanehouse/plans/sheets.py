@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from lanehouse.functions import masks
 from lanehouse.operators.aggregates import nested_counts
+from lanehouse.operators.levels import indexes_within
 from lanehouse.operators.sets import expand_by_count
-from lanehouse.operators.windows import indexes_within
 
 # Fixed values
 SHEET_COLUMNS = (

@@ -4,6 +4,7 @@ import json
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pandas as pd
 import pytest
 from py4j.protocol import Py4JJavaError
@@ -11,7 +12,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from lanehouse.functions import columns as fn
-from lanehouse.operators import aggregates, filters, joins, numbering, sets, windows
+from lanehouse.operators import aggregates, filters, joins, levels, numbering, sets, windows
 from lanehouse.plans import collect, graph, status
 from lanehouse.sources import readers
 
@@ -124,6 +125,58 @@ def test_report_order_of_a_large_group(spark):
     assert [r.path for r in got] == [f"{tool}{k}" for tool in ("bclconvert", "fastqc") for k in range(6)]
 
 
+@pytest.mark.parametrize("parents", [["run"], []])
+def test_levels_in_one_pass_over_any_ranges(spark, parents):
+    rng = np.random.default_rng(3)
+    rows = [
+        (
+            None if r == 2 else f"r{r}", None if p == 1 else float(p), int(lane), None if g == 0 else f"g{g}",
+            {"a": int(lane)},
+        )
+        for r, p, lane, g in rng.integers(0, [3, 4, 3, 3], (400, 4))
+        # a third of all rows under one value of all levels
+    ] + [("r0", 2.0, 1, "g1", None)] * 200
+    frame = spark.createDataFrame(rows, "run string, project double, lane int, grp string, note map<string,int>")
+    names = {"project": "a", "lane": "b", "grp": "c"}
+    order = lambda x: (x is not None, x)
+    own = [r[:4] if parents else (None, *r[1:4]) for r in rows]
+    expected = []
+    for row, key in zip(rows, own, strict=True):
+        index = []
+        for level in (1, 2, 3):
+            beside = sorted({o[level] for o in own if o[:level] == key[:level]}, key=order)
+            index.append(beside.index(key[level]) + 1)
+        expected.append((*row[:4], *index))
+    for n in (1, 4, 40):
+        with_partitions = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+        try:
+            got = levels.indexes_within(frame, parents, names).drop("note").collect()
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", with_partitions)
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, expected))
+    none = levels.indexes_within(frame.limit(0), parents, names)
+    assert none.collect() == [] and none.columns == [*frame.columns, "a", "b", "c"]
+
+
+def test_levels_take_one_range_shuffle(spark):
+    plans = []
+    frame = spark.range(100).selectExpr("id % 3 AS a", "id % 5 AS b", "id % 7 AS c")
+    original = levels.settle
+    try:
+        levels.settle = lambda df, label: plans.append(df._jdf.queryExecution().toString()) or original(df, label)
+        out = levels.indexes_within(frame, ["a"], {"b": "n", "c": "m"})
+    finally:
+        levels.settle = original
+    physical = [p.split("== Physical Plan ==")[1] for p in plans]
+    assert [p.count("Exchange") for p in physical] == [1] and "rangepartitioning" in physical[0]
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString().replace("BroadcastExchange", "")
+
+
 def test_indexes_within_parents(spark):
     rows = [("r", None, "x"), ("r", "p", "b"), ("r", "p", "a"), ("r", "p", "a"), ("s", "p", "z"), (None, "p", "y")]
     frame = spark.createDataFrame(rows, "run string, project string, lane string").repartition(3)
