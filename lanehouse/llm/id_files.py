@@ -18,6 +18,7 @@ its rows only, so a task that runs twice leaves one file; the list of files is a
 from __future__ import annotations
 
 import os
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -39,12 +40,18 @@ RANKS = "ranks.ids"
 FILE_IDS = 1 << 23
 #: tasks that read files, at most
 READ_TASKS = 50_000
+SLICE_BYTES = 4 << 20
 #: words and ids of words that a task keeps at hand
 KEPT_WORDS = 600_000
 KEPT_IDS = 1 << 23
-#: stands between words that are given to the tokenizer together, at most so many
+#: stands after pieces that are given to the tokenizer together, at most so many
 MARK = "|"
-JOINED_WORDS = 20_000
+JOINED = 20_000
+#: fixed values: characters that lower case and composition leave single, less the mark, and how words of
+#: them, in lower case, are cut; a line feed ends a word
+PLAIN = re.compile("[!-{}~À-ÖØ-öø-ÿ]+")
+PIECES = re.compile(r"\n|'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[!-/:-@\[-`{-~]+")
+PROBE = "Ab's C1d  (éÀß!) a\tb\n\nc's'tx don't 12"
 
 TOKENS = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
 COUNTS = pa.schema([("id", pa.int64()), ("n", pa.int64())])
@@ -155,60 +162,95 @@ def read_file(path: str) -> bytes:
         return stream.read()
 
 
+class Table:
+    """Ids by word, numbered in the order in which they are added."""
+
+    def __init__(self) -> None:
+        self.number: dict[str, int] = {}
+        self.flat, self.sizes = np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64)
+
+    def __len__(self) -> int:
+        return len(self.sizes)
+
+    def add(self, words: list[str], flat: np.ndarray, sizes: np.ndarray) -> None:
+        self.number |= {w: k for k, w in enumerate(words, len(self))}
+        self.flat, self.sizes = np.append(self.flat, flat), np.append(self.sizes, sizes)
+
+    def numbers(self, words: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.number.__getitem__, words), dtype=np.int64, count=len(words))
+
+    def taken(self, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words with the numbers in ``row``, and where those of each end."""
+        begins, sizes = (np.cumsum(self.sizes) - self.sizes)[row], self.sizes[row]
+        ends = np.cumsum(sizes)
+        return self.flat[np.arange(sizes.sum()) + np.repeat(begins - (ends - sizes), sizes)], ends
+
+
 class Words:
-    """Ids of texts, word by word: the tokenizer drops white space, and nothing reaches over it."""
+    """Ids of texts, word by word, for a tokenizer that drops white space and lets nothing reach over it.
+
+    A word of plain characters is cut by the tokenizer's own rule into pieces, which need no more preparation;
+    the tokenizer's model meets each piece once. Any other word is given to the tokenizer as it is.
+    """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        mark = self.of([MARK])[0]
-        self.mark = mark[0] if len(mark) == 1 else None
+        from tokenizers.pre_tokenizers import ByteLevel, CharDelimiterSplit, Sequence
+
+        self.tokenizer, self.model = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.model.normalizer = None
+        self.model.pre_tokenizer = Sequence(
+            [CharDelimiterSplit(" "), ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        self.mark = self.model.encode(MARK, add_special_tokens=False).ids
         self.forget()
+        own, _ = self.ids(pa.array([PROBE]), 0)
+        if len(self.mark) != 1 or own[:-1].tolist() != self.whole([PROBE])[0]:
+            raise ValueError("the tokenizer doesn't take a text word by word")
 
     def forget(self) -> None:
-        self.number: dict[str, int] = {}
-        self.flat, self.sizes = np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64)
+        self.words, self.pieces = Table(), Table()
+        self.pieces.add(["\n"], np.zeros(0, dtype=np.uint32), np.zeros(1, dtype=np.int64))
 
-    def of(self, texts: list[str]) -> list[list[int]]:
+    def whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def learn_pieces(self, pieces: list[str]) -> None:
+        """Add the ids of new pieces, of which many make one text with a mark after each."""
+        for first in range(0, len(pieces), JOINED):
+            part = pieces[first : first + JOINED]
+            joined = f" {MARK} ".join([*part, ""])
+            found = self.model.encode_batch_fast([joined], add_special_tokens=False)[0].ids
+            ids = np.array(found, dtype=np.uint32)
+            marks = ids == self.mark[0]
+            self.pieces.add(part, ids[~marks], np.diff(np.flatnonzero(marks), prepend=-1) - 1)
+
     def learn(self, words: list[str]) -> None:
-        """Add the ids of new words; many are given to the tokenizer as one text, with a mark between them."""
-        plain = [w for w in words if self.mark is not None and MARK not in w]
-        alone = words if self.mark is None else [w for w in words if MARK in w]
-        flats, sizes = [self.flat], [self.sizes]
-        for first in range(0, len(plain), JOINED_WORDS):
-            part = plain[first : first + JOINED_WORDS]
-            ids = np.array(self.of([f" {MARK} ".join([*part, ""])])[0], dtype=np.uint32)
-            marks = ids == self.mark
-            flats.append(ids[~marks])
-            sizes.append(np.diff(np.flatnonzero(marks), prepend=-1) - 1)
-        for ids in self.of(alone):
-            flats.append(np.array(ids, dtype=np.uint32))
-            sizes.append(np.array([len(ids)]))
-        self.number |= {w: k for k, w in enumerate([*plain, *alone], len(self.sizes))}
-        self.flat, self.sizes = np.concatenate(flats), np.concatenate(sizes)
+        """Add the ids of new words."""
+        plain, others = [], []
+        for word in words:
+            (plain if PLAIN.fullmatch(word) else others).append(word)
+        cut = PIECES.findall("\n".join([*plain, ""]).lower())
+        self.learn_pieces([p for p in dict.fromkeys(cut) if p not in self.pieces.number])
+        row = self.pieces.numbers(cut)
+        ids, ends = self.pieces.taken(row)
+        self.words.add(plain, ids, np.diff(ends[row == 0], prepend=0))
+        lists = self.whole(others)
+        flat = np.array([i for ids in lists for i in ids], dtype=np.uint32)
+        self.words.add(others, flat, np.array([len(ids) for ids in lists], dtype=np.int64))
 
     def ids(self, array: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, each ended by ``end_id``, and how many each has."""
-        if len(self.number) > KEPT_WORDS or len(self.flat) > KEPT_IDS:
+        if max(len(self.words), len(self.pieces)) > KEPT_WORDS or len(self.words.flat) > KEPT_IDS:
             self.forget()
         words, bounds = split_words(array)
         coded = words.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        self.learn([w for w in distinct if w not in self.number])
-        known = np.fromiter((self.number[w] for w in distinct), dtype=np.int64, count=len(distinct))
-        # one word more, the end, after each text's own
-        row = np.insert(known[coded.indices.to_numpy()], bounds[1:], len(self.sizes))
-        sizes = np.append(self.sizes, 1)
-        begins, flat = np.cumsum(sizes) - sizes, np.append(self.flat, np.uint32(end_id))
-        taken = sizes[row]
-        ends = np.cumsum(taken)
-        ids = flat[np.arange(taken.sum()) + np.repeat(begins[row] - (ends - taken), taken)]
-        last = bounds[1:] + np.arange(len(array))
-        return ids, np.diff(ends[last], prepend=0)
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        self.learn([w for w in distinct if w not in self.words.number])
+        ids, ends = self.words.taken(self.words.numbers(distinct)[coded.indices.to_numpy()])
+        upto = np.append(0, ends)[bounds]
+        return np.insert(ids, upto[1:], end_id), np.diff(upto) + 1
 
 
 def token_rows(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
@@ -216,7 +258,7 @@ def token_rows(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words(tokenizer_path)
-        for batch in cut(batches):
+        for batch in cut(batches, size=SLICE_BYTES):
             ids, counts = words.ids(batch.column("text"), end_id)
             parts = np.split(ids, np.cumsum(counts)[:-1])
             columns = [batch.column("doc_id"), pa.array(counts), pa.array(map(packed, parts), pa.binary())]

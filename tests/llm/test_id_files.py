@@ -75,12 +75,20 @@ def test_ids_word_by_word_are_those_of_whole_texts(plain):
         for k in range(0, len(points), 400)
     ]
     found += ["", " ", "<|endoftext|>x <|startoftext|> <|endof text|>", "I'M she'll\x0bCAFÉ ́e", "q" * 50_000]
+    rng = np.random.default_rng(0)
+    letters = [*map(chr, range(32, 127)), *"\n\t'sSTt'|<>ÀéßÿŸµªºİΣσÅ\u030a\u0301"]
+    found += ["".join(rng.choice(letters, 300)) for _ in range(300)]
     ids, counts = words.ids(pa.array(found), 1)
     own = np.split(ids, np.cumsum(counts)[:-1])
     for text, part in zip(found, own, strict=True):
         assert part.tolist() == plain(text)
 
 
+def test_a_tokenizer_that_keeps_white_space_is_refused():
+    with pytest.raises(ValueError):
+        id_files.Words(tokenizer("byte_bpe_50k.json"))
+
+
 def expected(rows, plain):
     out, start = [], 0
     for doc_id, text in rows:
