@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -86,3 +87,28 @@ def map_groups(
                 yield fn(frame.reset_index(drop=True), **fixed)
 
     return df.mapInPandas(call, schema).groupBy(*keys).agg(*merge)
+
+
+def map_whole_groups(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    fn: Callable[..., Iterator[pa.RecordBatch]],
+    schema: str,
+    **fixed,
+) -> DataFrame:
+    """Call ``fn(batches, **fixed)`` once per group, for functions that need all rows of a group in order.
+
+    ``batches`` is an iterator over the group's rows in ``order``, so a task holds one batch of a group of any
+    size; ``fn`` yields batches of ``schema``, which has the keys. One shuffle brings a group together, and its
+    sort serves the grouping too. Such a function can't be split: its largest group is one task's work, in
+    constant memory. What can be merged belongs into ``map_groups``.
+    """
+
+    def call(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from fn(batches, **fixed)
+
+    # the form with an iterator is told by its types, which have to be names of this module's
+    call.__annotations__ = {"batches": Iterator[pa.RecordBatch], "return": Iterator[pa.RecordBatch]}
+    in_order = df.repartition(*keys).sortWithinPartitions(*keys, *order)
+    return in_order.groupBy(*keys).applyInArrow(call, schema)

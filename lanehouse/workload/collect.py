@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -171,3 +175,43 @@ def flat_slides(spark: SparkSession, folder: str) -> DataFrame:
 def required_rows(spark: SparkSession, folder: str) -> DataFrame:
     events = scan(spark, folder, "events").select("event_id", "user_id", "value")
     return filters.require_rows(events.where("value > 5"), "no event above 5")
+
+
+@query(
+    """
+    WITH steps AS (
+        SELECT hour(ts) AS hour, ts, event_id,
+               sum(CASE event_type WHEN 'signup' THEN 1 WHEN 'purchase' THEN -1 ELSE 0 END)
+                 OVER (PARTITION BY hour(ts) ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS level
+        FROM events),
+    waits AS (
+        SELECT *, level - least(0, min(level) OVER (PARTITION BY hour ORDER BY ts, event_id
+                                                    ROWS UNBOUNDED PRECEDING)) AS waiting
+        FROM steps)
+    SELECT CAST(hour AS INTEGER) AS hour, count(*) AS steps, CAST(max(waiting) AS BIGINT) AS most,
+           CAST(arg_max(waiting, struct_pack(ts := ts, event_id := event_id)) AS BIGINT) AS at_end
+    FROM waits GROUP BY hour
+    """
+)
+def queue_backlog(spark: SparkSession, folder: str) -> DataFrame:
+    """Tasks that wait, step by step, where a worker that finds none leaves the count at zero."""
+
+    def follow(batches: Iterator[pa.RecordBatch], floor: int) -> Iterator[pa.RecordBatch]:
+        hour, steps, most, waiting = None, 0, floor, floor
+        for batch in batches:
+            hour, steps = batch.column("hour")[0].as_py(), steps + batch.num_rows
+            level = waiting + np.cumsum(batch.column("delta").to_numpy())
+            level -= np.minimum(np.minimum.accumulate(level) - floor, 0)
+            most, waiting = max(most, int(level.max())), int(level[-1])
+        yield pa.RecordBatch.from_pylist(
+            [{"hour": hour, "steps": steps, "most": most, "at_end": waiting}],
+            pa.schema([("hour", pa.int32()), *((c, pa.int64()) for c in ("steps", "most", "at_end"))]),
+        )
+
+    kind = F.col("event_type")
+    delta = F.when(kind == "signup", 1).when(kind == "purchase", -1).otherwise(0)
+    steps = scan(spark, folder, "events").select(
+        F.hour("ts").alias("hour"), "ts", "event_id", delta.cast("long").alias("delta")
+    )
+    schema = "hour int, steps long, most long, at_end long"
+    return sets.map_whole_groups(steps, ["hour"], ["ts", "event_id"], follow, schema, floor=0)

@@ -10,7 +10,7 @@ from lanehouse.operators.aggregates import max_or_zero
 from lanehouse.operators.joins import update_tracked
 from lanehouse.plans import sync
 from lanehouse.session import fresh_path
-from lanehouse.sources import writers
+from lanehouse.sources import keyed, writers
 from lanehouse.sources.readers import scan
 from lanehouse.workload.registry import query
 
@@ -162,6 +162,35 @@ def sync_projects(spark: SparkSession, folder: str) -> DataFrame:
     return sync.sync_table(sync.PROJECT, as_project(orders, F.col("o_orderstatus")), target)
 
 
+@query(
+    f"""
+    WITH source AS (
+      SELECT o_orderkey AS project_id, printf('P%06d', o_orderkey) AS {sync.PROJECT.columns[1]},
+             'project_' || o_custkey AS project_name, o_orderdate AS start_timestamp,
+             CAST(NULL AS VARCHAR) AS description,
+             CASE WHEN o_orderkey % 1000 < 50 THEN 'O' ELSE o_orderstatus END AS status,
+             o_orderpriority AS deliverable
+      FROM orders),
+    known AS (SELECT * FROM source WHERE project_id < (SELECT avg(project_id) FROM source))
+    SELECT *, CAST(floor(project_id / 200) AS BIGINT) AS key_range FROM known
+    UNION ALL
+    SELECT *, CAST(floor(project_id / 200) AS BIGINT) FROM source
+    WHERE project_id > (SELECT max(project_id) FROM known)
+    """
+)
+def sync_in_place(spark: SparkSession, folder: str) -> DataFrame:
+    """A table in ranges of 200 keys, of which changes touch one in five."""
+    path = fresh_path(spark, "projects")
+    orders = scan(spark, folder, "orders")
+    renewed = F.when(F.col("o_orderkey") % 1000 < 50, "O").otherwise(F.col("o_orderstatus"))
+    target = as_project(
+        orders.where(F.col("o_orderkey") < orders.agg(F.avg("o_orderkey")).scalar()), F.col("o_orderstatus")
+    ).withColumn("start_timestamp", fn.normalise_ts("start_timestamp"))
+    keyed.write_keyed(target, path, "project_id", 200)
+    sync.sync_in_place(sync.PROJECT, as_project(orders, renewed), path, target.schema, 200)
+    return keyed.read_keyed(spark, path, target.schema)
+
+
 @query(
     """
     WITH source AS (

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -226,6 +227,42 @@ def test_a_repeated_sample_fails(spark, tmp_path):
         entries("a", "b", "b").collect()
 
 
+def test_whole_groups_come_in_order_and_in_batches(spark):
+    def changed_runs(batches, base):
+        """Runs of equal neighbours: depends on the order and on every row of the group."""
+        key, runs, last, sizes = None, base, None, []
+        for batch in batches:
+            key = batch.column("key")[0].as_py()
+            sizes.append(batch.num_rows)
+            for value in batch.column("v").to_pylist():
+                runs += value != last
+                last = value
+        yield pa.RecordBatch.from_pylist(
+            [{"key": key, "runs": runs, "batches": len(sizes), "largest": max(sizes)}],
+            pa.schema([("key", pa.string()), ("runs", pa.int64()), ("batches", pa.int64()), ("largest", pa.int64())]),
+        )
+
+    rng = random.Random(4)
+    rows = [(key, k, rng.randrange(2)) for k, (key, *_) in enumerate(hot_rows(3000))]
+    frame = spark.createDataFrame(rows, "key string, id long, v int").repartition(7, "v", "id")
+    schema = "key string, runs long, batches long, largest long"
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 100)
+    try:
+        mapped = sets.map_whole_groups(frame, ["key"], ["id"], changed_runs, schema, base=10)
+        got = {r.key: r for r in mapped.collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    expected = defaultdict(list)
+    for key, _, v in rows:
+        expected[key].append(v)
+    for key, values in expected.items():
+        assert got[key].runs == 11 + sum(a != b for a, b in zip(values, values[1:], strict=False))
+    assert got.keys() == expected.keys() and got["hot"].batches >= 10 and got["hot"].largest <= 100
+    plan = mapped._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert plan.count("Sort [") == 1 and plan.count("Exchange hashpartitioning(key") == 1
+    assert sets.map_whole_groups(frame.limit(0), ["key"], ["id"], changed_runs, schema, base=0).collect() == []
+
+
 def test_slots_limit_each_group(spark):
     got = windows.slots(hot_frame(spark), ["key"], ["id"], 3).collect()
     assert max(Counter(r.key for r in got).values()) == 3

@@ -1,10 +1,11 @@
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from lanehouse.functions import columns as fn
 from lanehouse.operators.joins import update_tracked
 from lanehouse.plans import sync
-from lanehouse.sources import writers
+from lanehouse.sources import keyed, writers
 
 SCHEMA = "id long, status string, at string"
 
@@ -64,6 +65,46 @@ def test_specs_project_their_columns(spark):
     assert got.count() == 1
 
 
+def files_of(path):
+    return {str(p): p.stat().st_mtime_ns for p in path.rglob("*.parquet")}
+
+
+def test_only_touched_ranges_are_written_again(spark, tmp_path):
+    columns = ("id", "status", "at")
+    spec = sync.SyncedTable("s", "t", "id", columns, ("at",), "status")
+    path = tmp_path / "table"
+    rows = [(k, "A", "2024-01-01T00:00:00") for k in range(1, 101)] + [(None, "N", None), (-3, None, None)]
+    before = target(spark, *rows)
+    keyed.write_keyed(before, str(path), "id", 10)
+    old = files_of(path)
+    # one change, one value that is known to neither, a key from below and a load that begins in the last range
+    source = [(k, "A", "x") for k in range(1, 101)]
+    source[34] = (35, "B", "x")
+    source[49] = (50, None, "x")
+    source += [(-3, "X", "x"), (103, "C", "2024-01-02T00:00:00"), (115, "D", None)]
+    touched = sync.sync_in_place(spec, frame(spark, *source), str(path), before.schema, 10)
+    assert touched == [3, 10, 11]
+    new = files_of(path)
+    kept = {p for p in old if not any(f"key_range={k}/" in p for k in (3, 10, 11))}
+    assert len(kept) == len(old) - 2 and all(new.get(p) == old[p] for p in kept)
+    got = keyed.read_keyed(spark, str(path), before.schema).drop("key_range")
+    expected = sync.sync_table(spec, frame(spark, *source), before)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, expected.collect()))
+    # a second run finds nothing to do
+    assert sync.sync_in_place(spec, frame(spark, *source), str(path), before.schema, 10) == []
+    assert files_of(path) == new
+
+
+def test_named_ranges_are_read_alone(spark, tmp_path):
+    path = str(tmp_path / "table")
+    before = target(spark, *[(k, "A", None) for k in range(1, 40)])
+    keyed.write_keyed(before, path, "id", 10)
+    one = keyed.read_keyed(spark, path, before.schema).where(F.col(keyed.RANGE).isin([1, 3]))
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [key_range" in plan
+    assert sorted(r.id for r in one.collect()) == [*range(10, 20), *range(30, 40)]
+
+
 def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
     spark.sql("DROP TABLE IF EXISTS b_source")
     spark.sql("DROP TABLE IF EXISTS b_target")

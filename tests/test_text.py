@@ -155,6 +155,31 @@ def test_after_context_ends_with_the_file(spark):
     assert [r.pos for r in spots] == [1, 2, 4, 5, 6]
 
 
+@pytest.mark.parametrize("n, span", [(1, 64), (3, 64), (1, 1), (9, 4), (200, 64)])
+def test_after_context_over_blocks(spark, n, span):
+    rng = random.Random(n)
+    rows = []
+    for group in ("a", "b", None):
+        hits = {rng.randrange(1000) for _ in range(12)} | {63, 64, 127, 999}
+        rows += [(group, k, "hit" if k in hits else None if k % 7 == 0 else f"line {k}", k) for k in range(1000)]
+    lines = spark.createDataFrame(rows, "file string, pos long, line string, _x long").repartition(5)
+    got = windows.after_context(lines, F.col("line") == "hit", ["file"], n=n, span=span)
+    assert got.columns == lines.columns
+    spots = {(r[0], r[1]) for r in rows if r[2] == "hit"}
+    expected = [r for r in rows if any((r[0], r[1] - back) in spots for back in range(n + 1))]
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, expected))
+
+
+def test_after_context_moves_every_line_once(spark, tmp_path):
+    lines_of(spark, "a\nhit\nb").write.parquet(str(tmp_path / "t"))
+    lines = spark.read.parquet(str(tmp_path / "t"))
+    plan = windows.after_context(lines, F.col("line") == "hit", ["file"])._jdf.queryExecution().toString()
+    physical = plan.split("== Physical Plan ==")[1]
+    assert "Join" not in physical
+    # one exchange for the lines, one for the few rows that reach into the next block
+    assert physical.count("Exchange hashpartitioning") == 2
+
+
 def test_sections(spark):
     def sections(text):
         cut = windows.sections_of_text(F.col("t"), lambda line: line.startswith("#"))
