@@ -30,6 +30,13 @@ def local_session(cores: str = "*", partitions: int = 8, **conf: str) -> SparkSe
 
 
 def is_local(spark: SparkSession) -> bool:
+    """Whether tasks run in this process; with ``local-cluster`` they don't."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
+def on_one_machine(spark: SparkSession) -> bool:
+    """Whether all executors see the disk of the driver's machine."""
     return spark.sparkContext.master.startswith("local")
 
 
@@ -47,7 +54,7 @@ def work_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         default = spark._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
-        if not is_local(spark) and on_local_disk(folder, default):
+        if not on_one_machine(spark) and on_local_disk(folder, default):
             raise RuntimeError(f"spark.checkpoint.dir is on a local disk: {folder}")
         return folder
     if not is_local(spark):
@@ -58,10 +65,28 @@ def work_folder(spark: SparkSession) -> str:
     return _local_folders[application]
 
 
-def remove_folder(spark: SparkSession, path: str) -> None:
-    """Remove a folder with all files in it, on whatever file system it is."""
+def _on_its_system(spark: SparkSession, path: str):
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder with all files in it, on whatever file system it is; none is no error."""
+    files, where = _on_its_system(spark, path)
+    files.delete(where, True)
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    files, where = _on_its_system(spark, path)
+    return files.exists(where)
+
+
+def rename_folder(spark: SparkSession, path: str, new: str) -> None:
+    """Give a folder a name that no other has."""
+    files, where = _on_its_system(spark, path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(new)
+    if files.exists(target) or not files.rename(where, target):
+        raise RuntimeError(f"{path} can't be renamed to {new}")
 
 
 @contextmanager

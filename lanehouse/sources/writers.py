@@ -11,12 +11,38 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanehouse.session import remove_folder
+from lanehouse.session import folder_exists, remove_folder, rename_folder
+
+
+# A table that is being replaced: the new one until it is whole, and the old one until it is gone
+NEXT, LAST = ".next", ".last"
 
 
 def snapshot_replace(df: DataFrame, path: str) -> None:
-    """Replace the whole table at ``path``."""
-    df.write.mode("overwrite").parquet(path)
+    """Replace the whole table at ``path``, which may be one that ``df`` reads.
+
+    The new table is written beside the old one and takes its place by two renames when it is whole; then the
+    old one goes. A write that fails leaves the old table. A job that is lost between the renames leaves it
+    beside its place, where ``snapshot_scan`` finds it and the next replacement puts it back first. One job at
+    a time may replace a table.
+    """
+    spark = df.sparkSession
+    bare = path.rstrip("/")
+    if not folder_exists(spark, bare) and folder_exists(spark, bare + LAST):
+        rename_folder(spark, bare + LAST, bare)
+    remove_folder(spark, bare + NEXT)
+    df.write.parquet(bare + NEXT)
+    remove_folder(spark, bare + LAST)
+    if folder_exists(spark, bare):
+        rename_folder(spark, bare, bare + LAST)
+    rename_folder(spark, bare + NEXT, bare)
+    remove_folder(spark, bare + LAST)
+
+
+def snapshot_scan(spark: SparkSession, path: str) -> DataFrame:
+    """The table at ``path``, or the one beside it that a replacement has just taken from its place."""
+    bare = path.rstrip("/")
+    return spark.read.parquet(bare if folder_exists(spark, bare) else bare + LAST)
 
 
 def bucketed_snapshot(df: DataFrame, table: str, key: str, buckets: int, path: str) -> None:
@@ -31,6 +57,7 @@ def bucketed_snapshot(df: DataFrame, table: str, key: str, buckets: int, path: s
 
 
 def append(df: DataFrame, path: str) -> None:
+    """Add rows; their files come to the table when all of them are written, so a failed write adds none."""
     df.write.mode("append").parquet(path)
 
 

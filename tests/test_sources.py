@@ -139,10 +139,53 @@ def test_a_local_folder_is_refused_on_a_cluster(spark, monkeypatch):
         assert not session.on_local_disk(folder, "file:///")
     assert not session.on_local_disk("/shared/a:b", "hdfs://host:8020")
     monkeypatch.setattr(session, "is_local", lambda _: False)
+    monkeypatch.setattr(session, "on_one_machine", lambda _: False)
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.work_folder(spark)
 
 
+def test_a_failing_write_leaves_the_old_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    writers.snapshot_replace(spark.range(10), path)
+    bad = spark.range(1000).select(F.when(F.col("id") == 999, F.raise_error(F.lit("stop"))).otherwise(F.col("id")).alias("id"))
+    for write in (writers.snapshot_replace, writers.append):
+        with pytest.raises(PySparkException, match="stop"):
+            write(bad, path)
+        assert sorted(r.id for r in spark.read.parquet(path).collect()) == list(range(10))
+    # the table may be read for its own replacement
+    writers.snapshot_replace(spark.read.parquet(path).where("id < 4"), path)
+    writers.append(spark.range(20, 22), path + "/")
+    assert sorted(r.id for r in writers.snapshot_scan(spark, path).collect()) == [0, 1, 2, 3, 20, 21]
+    assert sorted(os.listdir(tmp_path)) == ["t"]
+
+
+def test_a_replacement_that_was_lost_between_its_renames(spark, tmp_path):
+    path = str(tmp_path / "t")
+    writers.snapshot_replace(spark.range(3), path)
+    os.rename(path, path + writers.LAST)
+    spark.range(9).write.parquet(path + writers.NEXT)
+    assert writers.snapshot_scan(spark, path).count() == 3
+    with pytest.raises(PySparkException, match="stop"):
+        writers.snapshot_replace(spark.range(5).select(F.raise_error(F.lit("stop")).alias("id")), path)
+    # the old table is back in its place, and the next run replaces it
+    assert spark.read.parquet(path).count() == 3
+    writers.snapshot_replace(spark.range(7), path)
+    assert spark.read.parquet(path).count() == 7 and sorted(os.listdir(tmp_path)) == ["t"]
+
+
+def test_only_one_process_is_local(spark, monkeypatch):
+    class Context:
+        pass
+
+    class Session:
+        sparkContext = Context()
+
+    for master, local in {"local": 1, "local[4]": 1, "local[*]": 1, "local-cluster[3,2,1024]": 0, "yarn": 0}.items():
+        Context.master = master
+        assert session.is_local(Session) == bool(local)
+        assert session.on_one_machine(Session) == master.startswith("local")
+
+
 def test_old_snapshots_are_removed_whole(spark, tmp_path):
     path = str(tmp_path / "backup")
     for day in ("2024-01-03", "2024-01-01", "2024-01-02"):
