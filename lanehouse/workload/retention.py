@@ -9,6 +9,8 @@ from lanehouse.functions import columns as fn
 from lanehouse.operators.aggregates import last_per_group as last_of_group
 from lanehouse.operators.filters import older_or_equal
 from lanehouse.plans import retention
+from lanehouse.session import fresh_path
+from lanehouse.sources import dated
 from lanehouse.sources.readers import scan
 from lanehouse.workload.registry import query
 
@@ -55,6 +57,24 @@ def retention_survivors(spark: SparkSession, folder: str) -> DataFrame:
     return retention.survivors(orders, "o_orderdate", cutoff(), kept(spark, folder))
 
 
+@query(
+    """
+    SELECT * FROM events
+    WHERE ts > TIMESTAMP '2024-01-15 12:00:00'
+       OR ts IN (SELECT max(ts) FROM events WHERE value > 90 GROUP BY user_id)
+    """
+)
+def retention_in_place(spark: SparkSession, folder: str) -> DataFrame:
+    """A table in a folder per day, of which aged days leave and mixed ones are written again."""
+    path = fresh_path(spark, "events")
+    events = scan(spark, folder, "events")
+    last = retention.kept_instants(events, "ts", [F.col("value") > 90], ["user_id"])
+    dated.write_dated(events, path, "ts")
+    limit = F.lit("2024-01-15 12:00:00").cast("timestamp_ntz")
+    dated.drop_aged(spark, path, events.schema, "ts", limit, last)
+    return dated.read_dated(spark, path, events.schema).drop(dated.DAY)
+
+
 @query(
     f"""
     SELECT 'orders' AS "table", count(*) AS n FROM orders WHERE {EXPIRED_SQL}

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from lanehouse.functions import columns as fn
 from lanehouse.operators.joins import anti_not_in
 from lanehouse.plans import retention
+from lanehouse.sources import dated
 
 DAY = [dt.datetime(2024, 1, d) for d in range(1, 29)]
 RUNS = "dag_id string, execution_date timestamp_ntz, external_trigger boolean"
@@ -113,3 +114,55 @@ def test_project_stages_only_move_forward(spark):
     got = retention.project_cleanup(projects, activity, "id", "ts", cutoff(10))
     stages = {r.id: r.next_stage for r in got.collect()}
     assert stages == {0: "candidate", 1: "notified", 2: "deleted", 3: "deleted", 9: "active"}
+
+
+def files_of(path):
+    return {str(p): p.stat().st_mtime_ns for p in path.rglob("*.parquet")}
+
+
+def dated_table(spark, path):
+    hours = [(f"g{d % 3}", DAY[d - 1] + dt.timedelta(hours=h), h == 5) for d in range(1, 15) for h in (1, 5, 20)]
+    table = spark.createDataFrame([*hours, ("g9", None, False)], RUNS)
+    dated.write_dated(table, str(path), "execution_date")
+    return table
+
+
+def test_aged_days_leave_as_folders(spark, tmp_path):
+    path = tmp_path / "t"
+    table = dated_table(spark, path)
+    limit = F.lit(DAY[9] + dt.timedelta(hours=5)).cast("timestamp_ntz")
+    runs_of = table.where("execution_date < timestamp_ntz'2024-01-09'")
+    kept = retention.kept_instants(runs_of, "execution_date", [fn.is_false("external_trigger")], ["dag_id"])
+    expected = retention.survivors(table, "execution_date", limit, kept)
+    counted = retention.delete_counts(t=retention.candidates(table, "execution_date", limit, kept)).first().n
+    old = files_of(path)
+    assert dated.drop_aged(spark, str(path), table.schema, "execution_date", limit, kept) == counted > 20
+    got = dated.read_dated(spark, str(path), table.schema).drop("day")
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, expected.collect()))
+    # days 6, 7 and 8 hold a last run and day 10 the cutoff; later days and the one without a date stay
+    new = files_of(path)
+    days = sorted(p.name.removeprefix("day=2024-01-") for p in path.iterdir() if p.name.startswith("day=2024"))
+    assert days == ["06", "07", "08", "10", "11", "12", "13", "14"]
+    outside = [p for p in old if any(f"2024-01-{d}/" in p for d in (11, 12, 13, 14)) or "HIVE" in p]
+    assert len(outside) == 5 and all(new.get(p) == old[p] for p in outside)
+    assert dated.drop_aged(spark, str(path), table.schema, "execution_date", limit, kept) == 0
+    assert files_of(path) == new
+
+
+def test_an_unknown_last_run_keeps_all_folders(spark, tmp_path):
+    table = dated_table(spark, tmp_path / "t")
+    old = files_of(tmp_path / "t")
+    kept = spark.createDataFrame([(DAY[0],), (None,)], "last timestamp_ntz")
+    args = (str(tmp_path / "t"), table.schema, "execution_date")
+    assert dated.drop_aged(spark, *args, cutoff(20), kept) == 0
+    assert files_of(tmp_path / "t") == old
+    assert dated.drop_aged(spark, *args, cutoff(20)) == 42
+    assert dated.read_dated(spark, str(tmp_path / "t"), table.schema).count() == 1
+
+
+def test_aged_days_are_counted_without_a_column(spark, tmp_path):
+    table = dated_table(spark, tmp_path / "t")
+    read = dated.read_dated(spark, str(tmp_path / "t"), table.schema)
+    days = read.where(F.col("day").isin([DAY[0].date(), DAY[2].date()])).groupBy().count()
+    plan = days._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<>" in plan and "PartitionFilters: [day" in plan
