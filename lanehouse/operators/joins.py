@@ -75,6 +75,16 @@ def unknown(candidates: DataFrame, known: DataFrame, key: str) -> DataFrame:
     return candidates.join(known.select(key), key, "left_anti")
 
 
+def mark_known(raw: DataFrame, registered: DataFrame, key: str, as_column: str = "known") -> DataFrame:
+    """``raw`` with whether its key is among the registered ones; a NULL key is not.
+
+    A subquery as a column: the planner makes it one existence join, which reads either side once and gives
+    one row per raw record however often the key is registered.
+    """
+    ids = registered.where(F.col(key).isNotNull()).select(F.col(key).alias("_registered"))
+    return raw.withColumn(as_column, F.coalesce(F.col(key).isin(ids), F.lit(False)))
+
+
 def split_new(
     raw: DataFrame, registered: DataFrame, key: str
 ) -> tuple[DataFrame, DataFrame]:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lanehouse.functions import columns as fn
 from lanehouse.operators.aggregates import collect_values
 from lanehouse.operators.filters import drop_null, require_unique
+from lanehouse.sources import readers
 
 # Fixed values
 REQUIRED_OUTPUTS = [
@@ -47,10 +48,24 @@ def collect_inputs(rows: DataFrame, key: str, value: str) -> DataFrame:
     return collect_values(drop_null(rows, [key, value]), [key], value)
 
 
+def metadata_schema(required: Sequence[str] = tuple(REQUIRED_OUTPUTS)) -> str:
+    """What is read of workflow metadata: the sample and the required outputs, each a field of its own.
+
+    The JSON parser passes over all other outputs, however many and large they are.
+    """
+    fields = ", ".join(f"`{name}`: variant" for name in required)
+    return f"{readers.WORKFLOW_INPUTS}, outputs struct<{fields}>"
+
+
 def required_outputs(required: Sequence[str]) -> Column:
-    """The required text outputs of a document as a map; empty where it has no outputs at all."""
-    none = F.create_map().cast("map<string, variant>")
-    return F.coalesce(fn.keep_entries("metadata.outputs", required), none)
+    """The required outputs of a document that are text, with their names; none where it has no outputs."""
+
+    def entry(name: str) -> Column:
+        value = F.col("metadata.outputs").getField(name)
+        text = F.when(fn.is_string(value), value.cast("string"))
+        return F.struct(F.lit(name).alias("output"), text.alias("value"))
+
+    return F.filter(F.array(*map(entry, required)), lambda found: found["value"].isNotNull())
 
 
 def outputs_per_document(
@@ -65,6 +80,7 @@ def select_outputs(
 ) -> DataFrame:
     """Required text outputs of workflow metadata as rows with the sample and the base name.
 
+    ``metadata`` has the column ``metadata``, read with ``metadata_schema`` of these outputs or more.
     Running it fails at a document without any, with the values of ``keep`` in the message. The check
     is part of the same pass.
     """
@@ -75,11 +91,8 @@ def select_outputs(
     checked = F.transform(
         F.array(outputs), lambda found: F.when(F.size(found) > 0, found).otherwise(nothing)
     )[0]
-    return metadata.select(*keep, sample, F.explode(checked).alias("output", "_value")).select(
-        *keep,
-        "sample_name",
-        "output",
-        fn.base_name(F.col("_value").cast("string")).alias("file"),
+    return metadata.select(*keep, sample, F.explode(checked).alias("_found")).select(
+        *keep, "sample_name", "_found.output", fn.base_name("_found.value").alias("file")
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lanehouse.operators.filters import complete_runs
-from lanehouse.operators.joins import split_new
+from lanehouse.operators.joins import mark_known
 from lanehouse.session import settle
 
 
@@ -54,10 +54,11 @@ def apply_transition(
 
 def register_new(raw: DataFrame, registered: DataFrame, key: str) -> DataFrame:
     """Raw records marked for registration or as duplicates, all of them synced afterwards."""
-    new, duplicates = split_new(raw, registered, key)
+    outcome = F.when(F.col("_known"), "duplicate").otherwise("registered")
     return (
-        new.withColumn("outcome", F.lit("registered"))
-        .unionByName(duplicates.withColumn("outcome", F.lit("duplicate")))
+        mark_known(raw, registered, key, "_known")
+        .withColumn("outcome", outcome)
+        .drop("_known")
         .withColumn("synced", F.lit(True))
     )
 

@@ -17,10 +17,7 @@ WORKER_REPLY = (
 )
 ACTIVE_COUNTS = "map<string, map<string, bigint>>"
 WAITING_LIST = "array<map<string, bigint>>"
-WORKFLOW_METADATA = (
-    "inputs struct<sample_and_unmapped_bams: struct<sample_name: string>>,"
-    " outputs map<string, variant>"
-)
+WORKFLOW_INPUTS = "inputs struct<sample_and_unmapped_bams: struct<sample_name: string>>"
 POOLS = "pool_name string, slots int"
 MANIFEST_NAME = "file_manifest.md5"
 JDBC_PARTITIONS = 8

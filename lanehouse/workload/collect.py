@@ -81,7 +81,7 @@ def workflow_documents(spark: SparkSession, folder: str) -> DataFrame:
         F.format_string('"%s":["/work/a.md5"],"other":"/work/other.txt"}}', F.lit(OUTPUT_MD5)),
     )
     return scan(spark, folder, "events").select(
-        "event_id", fn.parse_json(document, readers.WORKFLOW_METADATA).alias("metadata")
+        "event_id", fn.parse_json(document, collect.metadata_schema()).alias("metadata")
     )
 
 

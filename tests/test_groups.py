@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from lanehouse.functions import columns as fn
 from lanehouse.operators import aggregates, filters, joins, levels, numbering, sets, windows
 from lanehouse.plans import collect, graph, status
-from lanehouse.sources import readers
 
 
 def hot_rows(n=500):
@@ -199,7 +198,7 @@ def test_lanes_by_the_usual_pattern(spark):
 def workflow(spark, *outputs):
     rows = [json.dumps({"inputs": {"sample_and_unmapped_bams": {"sample_name": f"s{k}"}}, "outputs": o}) for k, o in enumerate(outputs)]
     frame = spark.createDataFrame(list(enumerate(rows)), "id long, document string")
-    return frame.select("id", fn.parse_json("document", readers.WORKFLOW_METADATA).alias("metadata"))
+    return frame.select("id", fn.parse_json("document", collect.metadata_schema(["wanted", "more", "a.b c"])).alias("metadata"))
 
 
 def test_a_document_without_outputs_fails_by_name(spark):
@@ -215,6 +214,33 @@ def test_a_document_without_outputs_fails_by_name(spark):
     assert sorted(tuple(r) for r in counts.collect()) == [(0, 2), (1, 1), (2, 0)]
 
 
+def test_only_wanted_outputs_are_parsed(spark):
+    rows = workflow(spark, {"a.b c": "/x/é.txt", "wanted": 7, "more": None, "rest": {"deep": ["x"] * 50}})
+    got = collect.select_outputs(rows, ["id"], ["wanted", "more", "a.b c"]).collect()
+    assert [(r.output, r.file) for r in got] == [("a.b c", "é.txt")]
+    document = spark.createDataFrame([("{}",)], "d string")
+    parsed = document.select(fn.parse_json("d", collect.metadata_schema()).alias("metadata"))
+    outputs = parsed.schema["metadata"].dataType["outputs"].dataType
+    assert len(outputs.fields) == 25 and outputs.names == list(collect.REQUIRED_OUTPUTS)
+    text = spark.createDataFrame([('{"a":"x","b":1,"c":"y","d":null}',)], "d string")
+    kept = text.select(fn.keep_entries(fn.parse_json("d", "map<string, variant>"), ["a", "b", "d"]).alias("m"))
+    assert list(kept.first().m) == ["a"]
+
+
+def test_registration_is_one_existence_join(spark, tmp_path):
+    for name, rows in {"raw": [(1, "a"), (2, "b"), (None, "c"), (2, "b")], "known": [(2, "x"), (2, "y"), (None, "z")]}.items():
+        spark.createDataFrame(rows, "id long, note string").write.parquet(f"{tmp_path}/{name}")
+    raw, known = (spark.read.parquet(f"{tmp_path}/{name}") for name in ("raw", "known"))
+    got = status.register_new(raw, known, "id")
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(
+        map(repr, [(1, "a", "registered", True), (2, "b", "duplicate", True), (2, "b", "duplicate", True), (None, "c", "registered", True)])
+    )
+    plan = status.register_new(raw, known, "id")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ExistenceJoin") == 1 and plan.count("FileScan parquet") == 2
+    new, old = joins.split_new(raw, known, "id")
+    assert (new.count(), old.count()) == (2, 2)
+
+
 def test_a_repeated_sample_fails(spark, tmp_path):
     def entries(*samples):
         rows = [(json.dumps({"sample_name": s, collect.GVCF_OUTPUT: f"/x/{s}.vcf"}),) for s in samples]
