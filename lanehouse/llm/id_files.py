@@ -44,14 +44,15 @@ SLICE_BYTES = 4 << 20
 #: words and ids of words that a task keeps at hand
 KEPT_WORDS = 600_000
 KEPT_IDS = 1 << 23
-#: stands after pieces that are given to the tokenizer together, at most so many
-MARK = "|"
+#: pieces that are given to the tokenizer together, at most
 JOINED = 20_000
-#: fixed values: characters that lower case and composition leave single, less the mark, and how words of
-#: them, in lower case, are cut; a line feed ends a word
+#: fixed values: what the name of a piece's last id ends with; characters that lower case and composition
+#: leave single, less the one of special strings; how words of them, in lower case, are cut, where a line feed
+#: ends a word
+LAST = "</w>"
 PLAIN = re.compile("[!-{}~À-ÖØ-öø-ÿ]+")
 PIECES = re.compile(r"\n|'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[!-/:-@\[-`{-~]+")
-PROBE = "Ab's C1d  (éÀß!) a\tb\n\nc's'tx don't 12"
+PROBE = "Ab's C1d  (éÀß!) a\tb c's'tx don't 12"
 
 TOKENS = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
 COUNTS = pa.schema([("id", pa.int64()), ("n", pa.int64())])
@@ -203,10 +204,12 @@ class Words:
         self.model.pre_tokenizer = Sequence(
             [CharDelimiterSplit(" "), ByteLevel(add_prefix_space=False, use_regex=False)]
         )
-        self.mark = self.model.encode(MARK, add_special_tokens=False).ids
+        names = {i: name for name, i in self.tokenizer.get_vocab().items()}
+        self.ends = np.array([names.get(i, "").endswith(LAST) for i in range(max(names) + 1)])
         self.forget()
-        own, _ = self.ids(pa.array([PROBE]), 0)
-        if len(self.mark) != 1 or own[:-1].tolist() != self.whole([PROBE])[0]:
+        pieces = PIECES.findall(PROBE.lower())
+        known = self.ends[[ids[-1] for ids in self.whole(pieces)]].all()
+        if not known or self.ids(pa.array([PROBE]), 0)[0][:-1].tolist() != self.whole([PROBE])[0]:
             raise ValueError("the tokenizer doesn't take a text word by word")
 
     def forget(self) -> None:
@@ -217,14 +220,12 @@ class Words:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def learn_pieces(self, pieces: list[str]) -> None:
-        """Add the ids of new pieces, of which many make one text with a mark after each."""
+        """Add the ids of new pieces, of which many make one text; the last id of each is told by its name."""
         for first in range(0, len(pieces), JOINED):
             part = pieces[first : first + JOINED]
-            joined = f" {MARK} ".join([*part, ""])
-            found = self.model.encode_batch_fast([joined], add_special_tokens=False)[0].ids
+            found = self.model.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids
             ids = np.array(found, dtype=np.uint32)
-            marks = ids == self.mark[0]
-            self.pieces.add(part, ids[~marks], np.diff(np.flatnonzero(marks), prepend=-1) - 1)
+            self.pieces.add(part, ids, np.diff(np.flatnonzero(self.ends[ids]), prepend=-1))
 
     def learn(self, words: list[str]) -> None:
         """Add the ids of new words."""
@@ -273,8 +274,8 @@ def id_counts(tokens: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(0, dtype=np.int64)
         for batch in batches:
-            for ids in batch.column("ids"):
-                own = np.bincount(unpacked(ids.as_py()))
+            for part in cut([batch], "ids"):
+                own = np.bincount(np.concatenate([unpacked(x) for x in part.column("ids").to_pylist()]))
                 if len(own) > len(counts):
                     counts, own = own, counts
                 counts[: len(own)] += own
