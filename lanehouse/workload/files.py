@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lanehouse.functions import columns as fn
 from lanehouse.operators import joins, windows
-from lanehouse.plans import manifest
+from lanehouse.plans import manifest, trees
 from lanehouse.session import fresh_path
 from lanehouse.sources import readers, writers
 from lanehouse.sources.readers import scan
@@ -70,6 +70,23 @@ def manifest_verify(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    f"""
+    WITH {MANIFEST_SQL}
+    SELECT path, CASE WHEN o.path IS NULL THEN 'MISSING' WHEN m.path IS NULL THEN 'EXTRA' ELSE 'MISMATCH'
+                 END AS verdict
+    FROM manifest m FULL JOIN other o USING (path)
+    WHERE o.path IS NULL OR m.path IS NULL OR m.md5 <> o.md5
+    """
+)
+def manifest_trees(spark: SparkSession, folder: str) -> DataFrame:
+    """The same comparison from written digests of folders, of which only differing ones are opened."""
+    expected, actual = fresh_path(spark, "expected"), fresh_path(spark, "actual")
+    trees.write_tree(documents_manifest(spark, folder), expected)
+    trees.write_tree(other_manifest(spark, folder), actual)
+    return trees.compare_trees(spark, expected, actual).verdicts
+
+
 @query(
     f"""
     WITH {MANIFEST_SQL}
