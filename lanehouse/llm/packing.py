@@ -44,9 +44,26 @@ def byte_encoder(ranks_path: str):
     )
 
 
-def token_ids(text: str, ranks_path: str) -> np.ndarray:
-    """The ids of ``text``; a special string inside it gives its id."""
-    return byte_encoder(ranks_path).encode_to_numpy(text, allowed_special="all")
+@lru_cache(maxsize=4)
+def whole_tokenizer(path: str):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
+def token_ids(text: str, tokenizer_path: str, ranks_path: str | None = None) -> np.ndarray:
+    """The ids that the tokenizer at ``tokenizer_path`` gives; a special string inside the text gives its id.
+
+    ``ranks_path`` is the same vocabulary for a library that gives the same ids faster. It takes no very long
+    stretch of white space; a text with one goes to the tokenizer itself.
+    """
+    if ranks_path is not None:
+        try:
+            return byte_encoder(ranks_path).encode_to_numpy(text, allowed_special="all")
+        except ValueError:
+            pass
+    found = whole_tokenizer(tokenizer_path).encode(text, add_special_tokens=False)
+    return np.array(found.ids, dtype=np.uint32)
 
 
 def piece_starts(tokens: int, size: int) -> list[int]:
@@ -55,10 +72,12 @@ def piece_starts(tokens: int, size: int) -> list[int]:
     return [0, *range(first, tokens, size)]
 
 
-def pieces(docs: DataFrame, ranks_path: str, size: int = 2048, end_id: int = 0) -> DataFrame:
+def pieces(
+    docs: DataFrame, tokenizer_path: str, size: int = 2048, end_id: int = 0, ranks_path: str | None = None
+) -> DataFrame:
     """A row per piece: ``doc_id``, ``piece`` (from 0), ``start``, ``length``, ``ids_crc32``.
 
-    A document is the ids of its text and then ``end_id``. One of more than ``size`` tokens is cut into
+    A document is the ids of its text, see ``token_ids``, and then ``end_id``. One of more than ``size`` tokens is cut into
     pieces of ``size``, of which the first may be shorter. The checksum is over little-endian 32-bit ids.
     """
 
@@ -66,7 +85,7 @@ def pieces(docs: DataFrame, ranks_path: str, size: int = 2048, end_id: int = 0)
         for batch in cut(batches):
             rows: tuple[list, ...] = ([], [], [], [], [])
             for doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                ids = np.append(token_ids(text, ranks_path), end_id).astype("<u4")
+                ids = np.append(token_ids(text, tokenizer_path, ranks_path), end_id).astype("<u4")
                 starts = piece_starts(len(ids), size)
                 for number, (start, end) in enumerate(zip(starts, [*starts[1:], len(ids)], strict=True)):
                     row = (doc_id, number, start, end - start, zlib.crc32(ids[start:end].tobytes()))
@@ -142,10 +161,12 @@ def best_fit(pieces: DataFrame, size: int = 2048, group: int = GROUP_PIECES) ->
     return joined.select(*full.columns).unionByName(full).drop("uid")
 
 
-def pack_documents(docs: DataFrame, ranks_path: str, size: int = 2048, end_id: int = 0) -> DataFrame:
+def pack_documents(
+    docs: DataFrame, tokenizer_path: str, size: int = 2048, end_id: int = 0, ranks_path: str | None = None
+) -> DataFrame:
     """The pieces of all documents with their places, see ``pieces`` and ``best_fit``.
 
     NULL text is empty: the end id alone. A NULL ``doc_id`` stays, repeated rows are packed each for
     itself, other columns are ignored, no rows give none.
     """
-    return best_fit(pieces(docs, ranks_path, size, end_id), size)
+    return best_fit(pieces(docs, tokenizer_path, size, end_id, ranks_path), size)

@@ -109,10 +109,15 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.learn(docs, scan(spark, sf_dir, "labels")))
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """``docs`` in sequences, by the parameters of op7."""
+    json, ranks = tokenizer("byte_bpe_50k.json"), tokenizer("byte_bpe_50k.tiktoken")
+    return packing.pack_documents(docs, json, SEQUENCE_TOKENS, ranks_path=ranks)
+
+
 @query()
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = scan(spark, sf_dir, "documents")
-    return packing.pack_documents(docs, tokenizer("byte_bpe_50k.tiktoken"), SEQUENCE_TOKENS)
+    return packed(scan(spark, sf_dir, "documents"))
 
 
 @query()

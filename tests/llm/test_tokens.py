@@ -63,7 +63,7 @@ def test_counts_over_many_buckets(spark, sf_dir, monkeypatch):
 def test_no_documents(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert token_counts.token_counts(none, JSON).collect() == []
-    assert packing.pack_documents(none, RANKS).collect() == []
+    assert packing.pack_documents(none, JSON).collect() == []
 
 
 def test_both_libraries_give_the_same_ids(plain):
@@ -71,7 +71,24 @@ def test_both_libraries_give_the_same_ids(plain):
     points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
     for first in range(0, len(points), 400):
         text = "".join(f"a{chr(c)}a 1{chr(c)}1 ,{chr(c)},  {chr(c)} x" for c in points[first : first + 400])
-        assert packing.token_ids(text, RANKS).tolist() == plain(text)
+        assert packing.token_ids(text, JSON, RANKS).tolist() == plain(text)
+
+
+LONG = {
+    "spaces": " " * 2_000_000 + "x", "feeds": "\n" * 2_000_000 + "x", "letters": "z" * 2_000_000,
+    "mixed": "a \t" + "\r" * 1_200_000 + "<|endoftext|>\u3000" + "é" * 9,
+}
+
+
+@pytest.mark.parametrize("name", LONG)
+def test_very_long_stretches(plain, name):
+    assert packing.token_ids(LONG[name], JSON, RANKS).tolist() == plain(LONG[name])
+
+
+def test_documents_with_very_long_stretches_are_packed(spark, plain):
+    docs = list(enumerate([*LONG.values(), "short", None]))
+    got = packing.pack_documents(spark.createDataFrame(docs, "doc_id long, text string"), JSON, ranks_path=RANKS)
+    check_packing(got.collect(), docs, plain, 2048)
 
 
 def check_packing(got, docs, plain, size):
@@ -112,9 +129,9 @@ def test_packing_of_documents(spark, sf_dir, plain):
 def test_packing_of_odd_texts_in_small_groups(spark, plain):
     distinct = [r for k, r in enumerate(ROWS) if k not in (2, 5)]
     docs = spark.createDataFrame(distinct, SCHEMA)
-    got = packing.best_fit(packing.pieces(docs, RANKS, 64), 64, group=2).collect()
+    got = packing.best_fit(packing.pieces(docs, JSON, 64, ranks_path=RANKS), 64, group=2).collect()
     check_packing(got, [r[:2] for r in distinct], plain, 64)
-    twice = packing.pack_documents(spark.createDataFrame(ROWS, SCHEMA), RANKS, 64)
+    twice = packing.pack_documents(spark.createDataFrame(ROWS, SCHEMA), JSON, 64)
     assert twice.count() == sum(-(-(len(plain(r[1])) + 1) // 64) for r in ROWS)
     assert twice.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 64").count() == 0
 
