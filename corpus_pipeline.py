@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanehouse.llm import decontamination, line_dedup, near_dedup, packing, quality
+from lanehouse.llm import decontamination, line_dedup, near_dedup, quality
 from lanehouse.llm.frames import keep
-from lanehouse.llm.queries import SEQUENCE_TOKENS, tokenizer
+from lanehouse.llm.queries import packed
 from lanehouse.sources.readers import scan
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -42,13 +42,17 @@ def keep_first(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain no benchmark item."""
+    """Documents that contain no benchmark item.
+
+    Items are searched in what the stages before have left: lines that ``drop_lines`` took from a text are
+    not looked at, and of near copies only the one that stays is.
+    """
     return decontamination.without_leaks(docs.select(*COLUMNS), scan(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of what is left, each with its place in a sequence."""
-    return packing.pack_documents(docs, tokenizer("byte_bpe_50k.tiktoken"), SEQUENCE_TOKENS)
+    return packed(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [
