@@ -12,6 +12,8 @@ Only Spark's own functions are used, so the sketches are plain columns.
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -239,29 +241,53 @@ def as_text(cells: Column) -> Column:
     return F.base64(F.unhex(F.array_join(each, "")))
 
 
+def bucket_bounds(ids: list[int], without: int) -> list[tuple[int | None, int]]:
+    """Where buckets begin, as pairs of an id and a hash, from the quantiles of the ids.
+
+    An id that several quantiles fall on has the rows of several buckets, as have the rows without an id for
+    ``without`` buckets: these are cut at equal steps of the hash.
+    """
+    bounds: list[tuple[int | None, int]] = []
+    times = Counter(ids)
+    for i, n in [(None, without), *sorted(times.items())]:
+        first = [] if i is None else [(i, -(1 << 63))]
+        bounds += first + [(i, (k << 64) // n - (1 << 63)) for k in range(1, n)]
+    return bounds
+
+
 def with_next(docs: DataFrame) -> DataFrame:
     """``docs`` (``doc_id``, ``text`` and others) with ``next_``: the columns of the row after by ascending id.
 
     After the last comes the first. NULL ids come before all, equal ids go by their texts' hashes. Rows are
-    dealt into buckets of neighbouring ids, with bounds from the quantiles of the ids; the first row of a
-    bucket also goes to the bucket before it. So one shuffle by bucket brings each row to its neighbour, and the
+    dealt into buckets of neighbouring ids and hashes, see ``bucket_bounds``; the first row of a bucket also goes to the bucket before it. So one shuffle by bucket brings each row to its neighbour, and the
     driver sees a few rows per partition.
     """
     spark = docs.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions")) * BUCKETS_PER_PARTITION
     shares = [k / buckets for k in range(1, buckets)]
-    found = docs.agg(F.percentile_approx("doc_id", shares, 10 * buckets)).first()[0]
-    bounds = sorted(set(found or [0]))
-    edges = F.array(*(F.lit(b).cast("long") for b in bounds))
+    stats = docs.agg(
+        F.percentile_approx("doc_id", shares, 10 * buckets).alias("ids"),
+        F.count_if(F.col("doc_id").isNull()).alias("without"),
+        F.count(F.lit(1)).alias("rows"),
+    ).first()
+    bounds = bucket_bounds(stats["ids"] or [], stats["without"] * buckets // max(stats["rows"], 1))
+
+    def pair(known: Column, i: Column, tie: Column) -> Column:
+        fields = (known.alias("known"), F.coalesce(i, F.lit(0)).cast("long").alias("id"), tie.cast("long").alias("tie"))
+        return F.struct(*fields)
+
+    edges = F.array(*(pair(F.lit(i is not None), F.lit(i or 0), F.lit(t)) for i, t in bounds))
     steps = [1 << k for k in reversed(range(len(bounds).bit_length()))]
+    tie = F.xxhash64("text")
+    own = pair(F.col("doc_id").isNotNull(), F.col("doc_id"), tie)
 
     def further(at: Column, step: Column) -> Column:
         there = F.element_at(edges, F.least(at + step, F.lit(len(bounds))))
-        fits = (at + step <= len(bounds)) & (there <= F.col("doc_id"))
+        fits = (at + step <= len(bounds)) & (there <= own)
         return F.when(fits, at + step).otherwise(at)
 
-    bucket = F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), further)
-    placed = docs.withColumns({"bucket": bucket, "tie": F.xxhash64("text")})
+    bucket = F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), further) if bounds else F.lit(0)
+    placed = docs.withColumns({"bucket": bucket, "tie": tie})
     first = [
         (r.bucket, r.first.doc_id, r.first.tie)
         for r in placed.groupBy("bucket").agg(F.min(F.struct("doc_id", "tie")).alias("first")).collect()

@@ -13,6 +13,14 @@ from lanehouse.session import fresh_path
 SLICE_BYTES = 1 << 20
 
 
+def free(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores in front as it takes to be none of the columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def texts(docs: DataFrame, *more: str) -> DataFrame:
     """``doc_id`` as long, ``text`` with NULL as the empty text, and the columns ``more``; all else goes."""
     return docs.select(

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from lanehouse.llm.frames import cut, keep, texts, utf8
+from lanehouse.llm.frames import cut, free, keep, texts, utf8
 from lanehouse.llm.graphs import components
 from lanehouse.llm.words import mix, words_of
 
@@ -368,12 +368,12 @@ def first_of_class(
         .select(F.col("kept.doc_id").alias("_kept_id"), F.col("kept.hash").alias("_kept_hash"))
     )
     text_hash = F.unhex(F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    marked = docs.withColumn("_own_hash", text_hash)
-    same = marked["doc_id"].cast("long").eqNullSafe(kept["_kept_id"]) & (
-        marked["_own_hash"] == kept["_kept_hash"]
-    )
+    own, kept_id, kept_hash = (free(docs, name) for name in ("_own_hash", "_kept_id", "_kept_hash"))
+    kept = kept.withColumnsRenamed({"_kept_id": kept_id, "_kept_hash": kept_hash})
+    marked = docs.withColumn(own, text_hash)
+    same = marked["doc_id"].cast("long").eqNullSafe(kept[kept_id]) & (marked[own] == kept[kept_hash])
     return (
         marked.join(kept, same)
-        .dropDuplicates(["_kept_id", "_kept_hash"])
+        .dropDuplicates([kept_id, kept_hash])
         .select(*(marked[name] for name in docs.columns))
     )

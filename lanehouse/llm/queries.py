@@ -69,16 +69,17 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     on_page AS (
         SELECT source, unnest(list_distinct(list_filter(
             list_transform(lines, lambda x: trim(x)), lambda x: x <> ''))) AS line
-        FROM pages WHERE source IS NOT NULL),
+        FROM pages),
     counted AS (SELECT source, line, count(*) AS n FROM on_page GROUP BY ALL),
     totals AS (SELECT source, count(*) AS n_pages FROM documents GROUP BY ALL),
     gone AS (
-        SELECT source, list(line) AS drop_lines FROM counted JOIN totals USING (source)
-        WHERE n >= 5 AND n > 0.1 * n_pages GROUP BY ALL),
+        SELECT counted.source, list(line) AS drop_lines
+        FROM counted JOIN totals ON counted.source IS NOT DISTINCT FROM totals.source
+        WHERE n >= 2 AND n > 0.1 * n_pages GROUP BY ALL),
     kept AS (
         SELECT doc_id, lines, CASE WHEN drop_lines IS NULL THEN lines ELSE list_filter(
             lines, lambda x: NOT list_contains(drop_lines, trim(x))) END AS left_lines
-        FROM pages LEFT JOIN gone USING (source))
+        FROM pages LEFT JOIN gone ON pages.source IS NOT DISTINCT FROM gone.source)
     SELECT doc_id, CAST(len(lines) AS INTEGER) AS n_lines,
         CAST(len(lines) - len(left_lines) AS INTEGER) AS n_dropped, array_to_string(left_lines, chr(10)) AS text
     FROM kept

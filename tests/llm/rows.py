@@ -5,7 +5,8 @@ DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 CLASHING = (
     "uid string, part string, host string, key string, drop string, line string, lines string, "
     "answer string, chunk string, bucket string, score string, class_id string, tokens string, "
-    "n_lines string, text_2 string, next string, position string, _drop_lines2 string"
+    "n_lines string, text_2 string, next string, position string, _drop_lines string, _drop_host string, "
+    "_own_hash string, _kept_id string, _kept_hash string, _h string, _words string, _a string, path string"
 )
 
 

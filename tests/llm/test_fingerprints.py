@@ -72,6 +72,26 @@ def test_neighbours_over_many_buckets(spark):
     assert len(seen) == len(ids)
 
 
+def test_rows_of_one_id_are_split(spark):
+    bounds = fingerprints.bucket_bounds([5, 7, 7, 7, 7, 9], 3)
+    assert [i for i, _ in bounds] == [None, None, 5, 7, 7, 7, 7, 9]
+    assert bounds[3] == (7, -(1 << 63)) and bounds[5] == (7, 0) and bounds == sorted(bounds, key=lambda b: (b[0] or 0, b[1]))
+    rows = [(None, f"none {k}") for k in range(300)] + [(7, f"seven {k}") for k in range(300)]
+    rows += [(k, f"text {k}") for k in range(1000, 1300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {(r.doc_id, r.text): (r.next_text, r.at) for r in fingerprints.with_next(docs).withColumn("at", F.spark_partition_id()).collect()}
+    assert len(got) == len(rows)
+    # every row has one after it, in one round through all of them, and an id's rows stand together
+    follow, start, seen = {text: after for (_, text), (after, _) in got.items()}, "text 1299", []
+    while start not in seen:
+        seen.append(start)
+        start = follow[start]
+    kinds = [text.split()[0] for text in seen]
+    assert len(seen) == len(rows) and [k for k, before in zip(kinds, ["", *kinds], strict=False) if k != before] == [
+        "text", "none", "seven", "text",
+    ]
+
+
 def test_odd_rows(spark):
     got = fingerprints.fingerprints(odd(spark)).collect()
     assert len(got) == 12

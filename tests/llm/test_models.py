@@ -138,11 +138,14 @@ def test_lines_match_sql(spark, folder):
 
 def test_lines_of_a_site(spark):
     docs = [(k, f"menu \nbody {k}\n\nmenu\nfooter {k % 2}", "en", "a", 1) for k in range(20)]
-    docs += [(30, "menu\nfew pages", "en", "b", 1), (31, "menu\nno host", "en", None, 1)]
+    docs += [(30, "menu\nan only page", "en", "b", 1), (31, "menu\nno host", "en", None, 1)]
+    docs += [(32, "menu\nnone either", "en", None, 1), (33, "top\nthree", "en", "c", 1), (34, " top\nfour", "en", "c", 1)]
     docs += [(40 + k, None, "en", "a", 1) for k in range(5)]
     got = {r.doc_id: r for r in line_dedup.drop_boilerplate(spark.createDataFrame(docs, DOCUMENTS)).collect()}
     assert got[3].text == "body 3\n" and got[3].n_dropped == 3 and got[3].n_lines == 5
-    assert got[30].text == "menu\nfew pages" and got[31].text == "menu\nno host"
+    # two pages of a host are enough, and pages without a host are one
+    assert got[30].text == "menu\nan only page" and got[31].text == "no host" and got[32].text == "none either"
+    assert got[33].text == "three" and got[34].text == "four"
     assert got[40].text == "" and got[40].n_dropped == 0
 
 
@@ -150,6 +153,10 @@ def test_lines_of_odd_rows(spark):
     docs = odd(spark)
     got = line_dedup.drop_boilerplate(docs)
     assert got.count() == 12 and set(got.columns) == {*docs.columns, "n_dropped"}
+    plain = line_dedup.drop_boilerplate(docs.select("doc_id", "text", "source"))
+    assert sorted(r.text for r in got.collect()) == sorted(r.text for r in plain.collect())
+    given = {r._drop_host for r in docs.collect()}
+    assert {r._drop_host for r in got.collect()} == given
     assert line_dedup.drop_boilerplate(no_rows(spark)).collect() == []
 
 
