@@ -2,7 +2,9 @@
 
 A chunk holds some documents in encoded form and its distinct keys, sorted by hash. Buckets are ranges of
 the hash, so the answers of a chunk, put together in the order of the buckets, stand in the order of its keys.
-A key is sent once per chunk, however often it occurs, so no bucket gets more than its share.
+A key is sent once per chunk, however often it occurs: the bucket of a word that all chunks have gets one
+entry per chunk for it. The messages of a chunk are as many as the buckets, which grow with the table, up to one
+for each of its distinct keys; beyond that they grow as the rows of a plain join on the keys would.
 """
 
 from __future__ import annotations
