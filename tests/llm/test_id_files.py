@@ -84,6 +84,20 @@ def test_ids_word_by_word_are_those_of_whole_texts(plain):
         assert part.tolist() == plain(text)
 
 
+def test_what_is_kept_has_a_bound(plain, monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(id_files, "KEPT_WORDS", 20)
+    monkeypatch.setattr(id_files, "KEPT_PIECES", 30)
+    words, most = id_files.Words(JSON), 0
+    for k in range(30):
+        texts = [f"word{k} other,word {n} x{n * k}y" for n in range(5)]
+        ids, counts = words.ids(pa.array(texts), 1)
+        assert [p.tolist() for p in np.split(ids, np.cumsum(counts)[:-1])] == [plain(t) for t in texts]
+        most = max(most, len(words.words), len(words.pieces))
+    assert most < 80
+
+
 def test_a_tokenizer_that_keeps_white_space_is_refused():
     with pytest.raises(ValueError):
         id_files.Words(tokenizer("byte_bpe_50k.json"))
