@@ -72,32 +72,23 @@ def after_context(
     """Lines that match and the ``n`` lines after each.
 
     ``pos`` counts the lines of a group without gaps. A group is cut into blocks of ``span`` lines, which
-    find their matches by themselves. A block also gets the last match before it that reaches into it, as
-    one row without a line; these rows come from the matches near the end of blocks alone. So every line is
-    moved once, no join meets them, and no group has to fit a task.
+    find their matches by themselves; a match near the end of its block also goes to the blocks that it
+    reaches into. So the lines are read and moved once, no join meets them, and no group has to fit a task.
     """
-    group, columns = list(group), lines.columns
-    block = F.floor(F.col(pos) / span)
+    own_block, last_block = (F.floor(F.col(pos) / span), F.floor((F.col(pos) + n) / span))
     marked = lines.withColumn("_hit", F.when(hit, F.col(pos)))
-    own = marked.withColumn("_block", block)
-    # a match in the last n lines of its block, once for each block that it reaches
-    reached = F.sequence(block + 1, F.floor((F.col(pos) + n) / span))
-    near_end = F.floor((F.col(pos) + n) / span) > block
-    halo = (
-        marked.select(*group, pos, "_hit")
-        .where(F.col("_hit").isNotNull() & near_end)
-        .select(*group, F.explode(reached).alias("_block"), "_hit")
-        .groupBy(*group, "_block")
-        .agg(F.max("_hit").alias("_hit"))
-        .withColumn(pos, F.col("_hit"))
-    )
+    blocks = F.when(
+        F.col("_hit").isNotNull() & (last_block > own_block), F.sequence(own_block, last_block)
+    ).otherwise(F.array(own_block))
+    dealt = marked.withColumn("_block", F.explode(blocks))
     place = Window.partitionBy(*group, "_block").orderBy(pos)
     upto = place.rowsBetween(Window.unboundedPreceding, 0)
-    both = own.withColumn("_own", F.lit(True)).unionByName(
-        halo.withColumn("_own", F.lit(False)), allowMissingColumns=True
+    near = F.col(pos) - F.last("_hit", ignorenulls=True).over(upto) <= n
+    return (
+        dealt.withColumn("_near", near)
+        .where(F.col("_near") & (F.col("_block") == own_block))
+        .select(*lines.columns)
     )
-    last = F.last("_hit", ignorenulls=True).over(upto)
-    return both.withColumn("_last", last).where(F.col("_own") & (F.col(pos) - F.col("_last") <= n)).select(*columns)
 
 
 def context_of_text(text: Column, word: str, n: int = 1) -> Column:
