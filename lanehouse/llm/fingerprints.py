@@ -259,8 +259,9 @@ def with_next(docs: DataFrame) -> DataFrame:
     """``docs`` (``doc_id``, ``text`` and others) with ``next_``: the columns of the row after by ascending id.
 
     After the last comes the first. NULL ids come before all, equal ids go by their texts' hashes. Rows are
-    dealt into buckets of neighbouring ids and hashes, see ``bucket_bounds``; the first row of a bucket also goes to the bucket before it. So one shuffle by bucket brings each row to its neighbour, and the
-    driver sees a few rows per partition.
+    dealt into buckets of neighbouring ids and hashes, see ``bucket_bounds``; the first row of a bucket also
+    goes to the bucket before it. So one shuffle by bucket brings each row to its neighbour, and the driver
+    sees a few rows per partition.
     """
     spark = docs.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions")) * BUCKETS_PER_PARTITION
@@ -273,8 +274,8 @@ def with_next(docs: DataFrame) -> DataFrame:
     bounds = bucket_bounds(stats["ids"] or [], stats["without"] * buckets // max(stats["rows"], 1))
 
     def pair(known: Column, i: Column, tie: Column) -> Column:
-        fields = (known.alias("known"), F.coalesce(i, F.lit(0)).cast("long").alias("id"), tie.cast("long").alias("tie"))
-        return F.struct(*fields)
+        number = F.coalesce(i, F.lit(0)).cast("long")
+        return F.struct(known.alias("known"), number.alias("id"), tie.cast("long").alias("tie"))
 
     edges = F.array(*(pair(F.lit(i is not None), F.lit(i or 0), F.lit(t)) for i, t in bounds))
     steps = [1 << k for k in reversed(range(len(bounds).bit_length()))]

@@ -53,8 +53,9 @@ def drop_boilerplate(
 
     Lines are what stands between line feeds; spaces around a line don't matter, blank lines stay. NULL
     text becomes empty text of one line. Pages whose host is NULL make one host; a line has to be on
-    ``min_pages`` pages, so a host's only page stays whole. Repeated rows are pages of their own. Other columns are kept as they are, except
-    for earlier columns named ``n_lines`` and ``n_dropped``, which are replaced.
+    ``min_pages`` pages, so a host's only page stays whole. Repeated rows are pages of their own. Other
+    columns are kept as they are, except for earlier columns named ``n_lines`` and ``n_dropped``, which are
+    replaced.
     """
     docs = docs.withColumn("text", F.coalesce(F.col("text").cast("string"), F.lit("")))
     # written first: a short list is then seen to be one, and joined without a shuffle of the texts

@@ -176,12 +176,13 @@ def split_words(array: pa.Array) -> tuple[pa.Array, np.ndarray]:
 
 
 def find_runs(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
-    """A row per document: ``doc_id``, ``n_words``, its ``runs`` (start, length, period) and the text without them.
+    """A row per document: ``doc_id``, ``n_words``, its ``runs`` and the ``collapsed`` text without them.
 
-    Words are what stands between ASCII white space, numbered from 0; ``runs`` come by start and period. A
-    run's words after its first period are dropped, the rest makes ``collapsed``, joined by one space. NULL
-    and empty texts have no words; a NULL ``doc_id`` stays, repeated rows are rows each, other columns are
-    ignored, no rows give none. Work is done in the scan, without a shuffle; a text is looked at whole.
+    A run has start, length and period. Words are what stands between ASCII white space, numbered from 0;
+    ``runs`` come by start and period. A run's words after its first period are dropped, the rest makes
+    ``collapsed``, joined by one space. NULL and empty texts have no words; a NULL ``doc_id`` stays, repeated
+    rows are rows each, other columns are ignored, no rows give none. Work is done in the scan, without a
+    shuffle; a text is looked at whole.
     """
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -184,8 +184,7 @@ class Shard:
         if node.key is None:
             node.digest.update((text if node.part == 0 else f",{text}").encode())
         else:
-            row = [MEMBERS, node.key, *[None] * 8, text, self.number, node.part]
-            self.rows.append(row)
+            self.rows.append([MEMBERS, node.key, *[None] * 8, text, self.number, node.part])
         node.part += 1
         node.ids = []
 
@@ -203,7 +202,8 @@ class Shard:
             if node.key is not None:
                 self.rows.append([SHARE, node.key, above and above.key, *numbers, None, self.number, 0])
             else:
-                self.finish(node, above, [NODE, node.name, None, *numbers, node.digest.hexdigest(), self.number, 0])
+                ends = node.digest.hexdigest()
+                self.finish(node, above, [NODE, node.name, None, *numbers, ends, self.number, 0])
             if above:
                 above.count += node.count
                 above.least = node.least if above.least is None else min(above.least, node.least)
@@ -289,7 +289,8 @@ def prefix_trie(rows: DataFrame, shards: int | None = None, held: int = HELD) ->
         yield given()
 
     dealt = paths.mapInArrow(deal, "conv_id long, path binary, sizes array<long>, shard int")
-    in_order = dealt.repartitionById(len(cuts) + 1, F.col("shard")).sortWithinPartitions("shard", "path", "conv_id")
+    shards_of = dealt.repartitionById(len(cuts) + 1, F.col("shard"))
+    in_order = shards_of.sortWithinPartitions("shard", "path", "conv_id")
     return reduced(keep(in_order.mapInArrow(read, from_arrow_schema(PARTS)), "trie"))
 
 
@@ -300,7 +301,7 @@ def reduced(parts: DataFrame) -> DataFrame:
         key, chain = None, None
         for batch in batches:
             rows = []
-            for own, text in zip(batch.column("key").to_pylist(), batch.column("ends").to_pylist(), strict=True):
+            for own, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if own == key:
                     chain.update(f",{text}".encode())
                 else:
@@ -331,7 +332,8 @@ def reduced(parts: DataFrame) -> DataFrame:
         F.col("key").alias("parent_key"), F.col("conv_id").alias("parent_conv_id")
     )
     columns = ("parent_key", *(c for c in RESULT if c != "parent_conv_id"))
-    waiting = nodes.where(F.col("parent_key").isNotNull()).select(*columns).unionByName(skeleton.select(*columns))
+    held = nodes.where(F.col("parent_key").isNotNull()).select(*columns)
+    waiting = held.unionByName(skeleton.select(*columns))
     return finished.unionByName(waiting.join(parents, "parent_key", "left").select(*RESULT))
 
 
