@@ -21,6 +21,7 @@ import os
 import re
 import uuid
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,13 +38,12 @@ from lanehouse.session import fresh_path
 MAGIC = b"LHIDS\x00\x00\x01"
 RANKS = "ranks.ids"
 #: ids after which a file ends; a longer document has a file of its own
-FILE_IDS = 1 << 23
+FILE_IDS = 1 << 22
 #: tasks that read files, at most
 READ_TASKS = 50_000
 SLICE_BYTES = 4 << 20
-#: words and ids of words that a task keeps at hand
-KEPT_WORDS = 600_000
-KEPT_IDS = 1 << 23
+#: words, pieces, and ids of words that a Python worker keeps at hand from one task to the next
+KEPT_WORDS, KEPT_PIECES, KEPT_IDS = 200_000, 400_000, 1 << 22
 #: pieces that are given to the tokenizer together, at most
 JOINED = 20_000
 #: fixed values: what the name of a piece's last id ends with; characters that lower case and composition
@@ -206,6 +206,7 @@ class Words:
         )
         names = {i: name for name, i in self.tokenizer.get_vocab().items()}
         self.ends = np.array([names.get(i, "").endswith(LAST) for i in range(max(names) + 1)])
+        self.words, self.pieces = Table(), Table()
         self.forget()
         pieces = PIECES.findall(PROBE.lower())
         known = self.ends[[ids[-1] for ids in self.whole(pieces)]].all()
@@ -213,8 +214,12 @@ class Words:
             raise ValueError("the tokenizer doesn't take a text word by word")
 
     def forget(self) -> None:
-        self.words, self.pieces = Table(), Table()
-        self.pieces.add(["\n"], np.zeros(0, dtype=np.uint32), np.zeros(1, dtype=np.int64))
+        """Begin anew where too much is known; words are made of pieces again in little time."""
+        if len(self.words) > KEPT_WORDS or len(self.words.flat) > KEPT_IDS:
+            self.words = Table()
+        if not len(self.pieces) or len(self.pieces) > KEPT_PIECES or len(self.pieces.flat) > KEPT_IDS:
+            self.pieces = Table()
+            self.pieces.add(["\n"], np.zeros(0, dtype=np.uint32), np.zeros(1, dtype=np.int64))
 
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -243,8 +248,7 @@ class Words:
 
     def ids(self, array: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, each ended by ``end_id``, and how many each has."""
-        if max(len(self.words), len(self.pieces)) > KEPT_WORDS or len(self.words.flat) > KEPT_IDS:
-            self.forget()
+        self.forget()
         words, bounds = split_words(array)
         coded = words.dictionary_encode()
         distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
@@ -254,11 +258,16 @@ class Words:
         return np.insert(ids, upto[1:], end_id), np.diff(upto) + 1
 
 
+@lru_cache(maxsize=1)
+def words_of(path: str) -> Words:
+    return Words(path)
+
+
 def token_rows(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
     """``doc_id``, ``n_tokens`` and the packed ``ids`` of every text, ``end_id`` last."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words(tokenizer_path)
+        words = words_of(tokenizer_path)
         for batch in cut(batches, size=SLICE_BYTES):
             ids, counts = words.ids(batch.column("text"), end_id)
             parts = np.split(ids, np.cumsum(counts)[:-1])

@@ -52,7 +52,8 @@ def test_coding_of_numbers():
             assert own.tolist() == numbers[counts[:k].sum() : counts[: k + 1].sum()].tolist()
     edges = np.array([0, 255, 256, 65535, 65536, (1 << 24) - 1, 1 << 24, (1 << 32) - 1], dtype=np.uint32)
     control, data, _ = id_files.encoded(edges, np.array([8]))
-    assert len(data) == 1 + 1 + 2 + 2 + 3 + 3 + 4 + 4 and id_files.decoded(control, data, np.array([8])).tolist() == edges.tolist()
+    assert len(data) == 1 + 1 + 2 + 2 + 3 + 3 + 4 + 4
+    assert id_files.decoded(control, data, np.array([8])).tolist() == edges.tolist()
 
 
 def test_a_file_is_whole_or_refused():
