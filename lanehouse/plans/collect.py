@@ -61,11 +61,13 @@ def required_outputs(required: Sequence[str]) -> Column:
     """The required outputs of a document that are text, with their names; none where it has no outputs."""
 
     def entry(name: str) -> Column:
-        value = F.col("metadata.outputs").getField(name)
-        text = F.when(fn.is_string(value), value.cast("string"))
-        return F.struct(F.lit(name).alias("output"), text.alias("value"))
+        return F.struct(F.lit(name).alias("output"), F.col("metadata.outputs").getField(name).alias("value"))
 
-    return F.filter(F.array(*map(entry, required)), lambda found: found["value"].isNotNull())
+    # most outputs are not there: the type of a value is looked at only where there is one
+    return F.filter(
+        F.array(*map(entry, required)),
+        lambda found: found["value"].isNotNull() & fn.is_string(found["value"]),
+    )
 
 
 def outputs_per_document(
@@ -92,7 +94,7 @@ def select_outputs(
         F.array(outputs), lambda found: F.when(F.size(found) > 0, found).otherwise(nothing)
     )[0]
     return metadata.select(*keep, sample, F.explode(checked).alias("_found")).select(
-        *keep, "sample_name", "_found.output", fn.base_name("_found.value").alias("file")
+        *keep, "sample_name", "_found.output", fn.base_name(F.col("_found.value").cast("string")).alias("file")
     )
 
 
