@@ -20,18 +20,21 @@ from __future__ import annotations
 import os
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from lanehouse.llm.frames import cut, keep, packed, texts, unpacked
+from lanehouse.llm.frames import cut, keep, texts, unpacked, utf8
 from lanehouse.llm.periodic_runs import split_words
 from lanehouse.session import fresh_path
 
@@ -42,16 +45,15 @@ FILE_IDS = 1 << 22
 #: tasks that read files, at most
 READ_TASKS = 50_000
 SLICE_BYTES = 4 << 20
-#: words, pieces, and ids of words that a Python worker keeps at hand from one task to the next
-KEPT_WORDS, KEPT_PIECES, KEPT_IDS = 200_000, 400_000, 1 << 22
+#: words that aren't plain, pieces, and ids of either that a Python worker keeps from one task to the next
+KEPT_WORDS, KEPT_PIECES, KEPT_IDS = 200_000, 600_000, 1 << 22
 #: pieces that are given to the tokenizer together, at most
-JOINED = 20_000
+JOINED = 2_000
 #: fixed values: what the name of a piece's last id ends with; characters that lower case and composition
-#: leave single, less the one of special strings; how words of them, in lower case, are cut, where a line feed
-#: ends a word
+#: leave single, less the one of special strings; how words of them, in lower case, are cut
 LAST = "</w>"
-PLAIN = re.compile("[!-{}~À-ÖØ-öø-ÿ]+")
-PIECES = re.compile(r"\n|'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[!-/:-@\[-`{-~]+")
+PLAIN = "^[!-{}~À-ÖØ-öø-ÿ]+$"
+PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[!-/:-@\[-`{-~]+")
 PROBE = "Ab's C1d  (éÀß!) a\tb c's'tx don't 12"
 
 TOKENS = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
@@ -69,6 +71,14 @@ DOCUMENTS = pa.schema(
     [("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())]
 )
 
+#: what a byte of a plain word in lower case belongs to, and what makes a contraction after an apostrophe
+LETTER, DIGIT, OTHER = 0, 1, 2
+KINDS = np.full(256, OTHER, dtype=np.uint8)
+KINDS[ord("0") : ord("9") + 1] = DIGIT
+KINDS[ord("a") : ord("z") + 1] = KINDS[128:] = LETTER
+ENDS_OF_ONE = np.frombuffer(b"stmd", dtype=np.uint8)
+ENDS_OF_TWO = np.frombuffer(b"revell", dtype=">u2").astype(np.uint16)
+
 #: the lengths of four numbers by their control byte, and the bits of a number by its length
 LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.uint8) + 1
 MASKS = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], dtype=np.uint32)
@@ -163,28 +173,65 @@ def read_file(path: str) -> bytes:
         return stream.read()
 
 
-class Table:
-    """Ids by word, numbered in the order in which they are added."""
+def id_rows(ids: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """The bytes of ``ids`` as rows of as many ids as ``sizes`` says."""
+    bounds = 4 * np.append(0, np.cumsum(sizes, dtype=np.int64))
+    buffers = [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(ids, dtype="<u4"))]
+    return pa.Array.from_buffers(pa.large_binary(), len(sizes), buffers)
 
-    def __init__(self) -> None:
-        self.number: dict[str, int] = {}
-        self.flat, self.sizes = np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64)
 
-    def __len__(self) -> int:
-        return len(self.sizes)
+def cut_words(words: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The pieces of plain words in lower case, and which of them begin a word, with their number last.
 
-    def add(self, words: list[str], flat: np.ndarray, sizes: np.ndarray) -> None:
-        self.number |= {w: k for k, w in enumerate(words, len(self))}
-        self.flat, self.sizes = np.append(self.flat, flat), np.append(self.sizes, sizes)
+    A piece is a contraction, letters, a digit, or what is neither, as ``PIECES`` has them one by one.
+    """
+    data, bounds = utf8(words)
+    data = np.append(data, np.zeros(3, dtype=np.uint8))
+    kinds = KINDS[data]
+    first = np.zeros(len(data), dtype=bool)
+    first[bounds] = True
+    begins = first.copy()
+    begins[1:] |= (kinds[1:] != kinds[:-1]) | (kinds[1:] == DIGIT)
+    # an apostrophe that begins a piece goes with the letters of a contraction
+    at = np.flatnonzero(begins & (data == ord("'")))
+    at = at[~first[at + 1]]
+    one = at[np.isin(data[at + 1], ENDS_OF_ONE)]
+    at = at[~first[at + 2]]
+    two = at[np.isin(data[at + 1] * np.uint16(256) + data[at + 2], ENDS_OF_TWO)]
+    begins[one + 1] = begins[two + 1] = False
+    begins[one + 2] = begins[two + 3] = True
+    places = np.flatnonzero(begins).astype(np.int32)
+    pieces = pa.StringArray.from_buffers(len(places) - 1, pa.py_buffer(places), pa.py_buffer(data))
+    return pieces, np.searchsorted(places, bounds)
 
-    def numbers(self, words: list[str]) -> np.ndarray:
-        return np.fromiter(map(self.number.__getitem__, words), dtype=np.int64, count=len(words))
 
-    def taken(self, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of the words with the numbers in ``row``, and where those of each end."""
-        begins, sizes = (np.cumsum(self.sizes) - self.sizes)[row], self.sizes[row]
-        ends = np.cumsum(sizes)
-        return self.flat[np.arange(sizes.sum()) + np.repeat(begins - (ends - sizes), sizes)], ends
+class Table:
+    """Ids by string, a row each; ``learn`` gives those of new strings in a row, and how many each has."""
+
+    def __init__(self, learn: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]) -> None:
+        self.learn = learn
+        self.row: dict[str, int] = {}
+        self.ids, self.n_ids = id_rows(np.zeros(0), np.zeros(0)), 0
+
+    def __len__(self) -> int:
+        return len(self.ids)
+
+    def full(self, most: int) -> bool:
+        return len(self) > most or self.n_ids > KEPT_IDS
+
+    def rows(self, strings: list[str]) -> np.ndarray:
+        """The rows of distinct strings; new ones are added."""
+        rows = np.fromiter(map(self.row.get, strings, repeat(-1)), dtype=np.int64, count=len(strings))
+        places = np.flatnonzero(rows < 0)
+        if len(places):
+            rows[places] = np.arange(len(self), len(self) + len(places))
+            new = [strings[k] for k in places.tolist()]
+            ids, sizes = self.learn(new)
+            if len(sizes) != len(new):
+                raise ValueError("the tokenizer leaves a piece out or cuts it")
+            self.ids, self.n_ids = pa.concat_arrays([self.ids, id_rows(ids, sizes)]), self.n_ids + len(ids)
+            self.row |= zip(new, rows[places].tolist(), strict=True)
+        return rows
 
 
 class Words:
@@ -206,56 +253,71 @@ class Words:
         )
         names = {i: name for name, i in self.tokenizer.get_vocab().items()}
         self.ends = np.array([names.get(i, "").endswith(LAST) for i in range(max(names) + 1)])
-        self.words, self.pieces = Table(), Table()
-        self.forget()
+        self.words, self.pieces = Table(self.of_others), Table(self.of_pieces)
         pieces = PIECES.findall(PROBE.lower())
         known = self.ends[[ids[-1] for ids in self.whole(pieces)]].all()
         if not known or self.ids(pa.array([PROBE]), 0)[0][:-1].tolist() != self.whole([PROBE])[0]:
             raise ValueError("the tokenizer doesn't take a text word by word")
 
     def forget(self) -> None:
-        """Begin anew where too much is known; words are made of pieces again in little time."""
-        if len(self.words) > KEPT_WORDS or len(self.words.flat) > KEPT_IDS:
-            self.words = Table()
-        if not len(self.pieces) or len(self.pieces) > KEPT_PIECES or len(self.pieces.flat) > KEPT_IDS:
-            self.pieces = Table()
-            self.pieces.add(["\n"], np.zeros(0, dtype=np.uint32), np.zeros(1, dtype=np.int64))
+        """Begin anew where too much is known."""
+        if self.words.full(KEPT_WORDS):
+            self.words = Table(self.of_others)
+        if self.pieces.full(KEPT_PIECES):
+            self.pieces = Table(self.of_pieces)
 
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn_pieces(self, pieces: list[str]) -> None:
-        """Add the ids of new pieces, of which many make one text; the last id of each is told by its name."""
+    def of_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces, of which many make one text; the last id of each is told by its name."""
+        found = []
         for first in range(0, len(pieces), JOINED):
-            part = pieces[first : first + JOINED]
-            found = self.model.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids
-            ids = np.array(found, dtype=np.uint32)
-            self.pieces.add(part, ids, np.diff(np.flatnonzero(self.ends[ids]), prepend=-1))
-
-    def learn(self, words: list[str]) -> None:
-        """Add the ids of new words."""
-        plain, others = [], []
-        for word in words:
-            (plain if PLAIN.fullmatch(word) else others).append(word)
-        cut = PIECES.findall("\n".join([*plain, ""]).lower())
-        self.learn_pieces([p for p in dict.fromkeys(cut) if p not in self.pieces.number])
-        row = self.pieces.numbers(cut)
-        ids, ends = self.pieces.taken(row)
-        self.words.add(plain, ids, np.diff(ends[row == 0], prepend=0))
-        lists = self.whole(others)
-        flat = np.array([i for ids in lists for i in ids], dtype=np.uint32)
-        self.words.add(others, flat, np.array([len(ids) for ids in lists], dtype=np.int64))
+            text = " ".join(pieces[first : first + JOINED])
+            ids = self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids
+            found.append(np.array(ids, dtype=np.uint32))
+        ids = np.concatenate(found)
+        return ids, np.diff(np.flatnonzero(self.ends[ids]), prepend=-1)
+
+    def of_others(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words that aren't plain."""
+        lists = self.whole(words)
+        ids = np.array([i for found in lists for i in found], dtype=np.uint32)
+        return ids, np.array([len(found) for found in lists])
+
+    def of_plain(self, words: pa.Array) -> pa.Array:
+        """The ids of plain words, a row each."""
+        pieces, bounds = cut_words(pc.utf8_lower(words))
+        coded = pieces.dictionary_encode()
+        rows = self.pieces.rows(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        ids, ends = utf8(self.pieces.ids.take(pa.array(rows[coded.indices.to_numpy()])))
+        return id_rows(ids.view("<u4"), np.diff(ends[bounds]) // 4)
 
     def ids(self, array: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, each ended by ``end_id``, and how many each has."""
         self.forget()
         words, bounds = split_words(array)
         coded = words.dictionary_encode()
-        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        self.learn([w for w in distinct if w not in self.words.number])
-        ids, ends = self.words.taken(self.words.numbers(distinct)[coded.indices.to_numpy()])
-        upto = np.append(0, ends)[bounds]
-        return np.insert(ids, upto[1:], end_id), np.diff(upto) + 1
+        distinct = coded.dictionary
+        plain = pc.match_substring_regex(distinct, PLAIN)
+        others = distinct.filter(pc.invert(plain)).to_numpy(zero_copy_only=False)
+        other_rows = self.words.rows(others.tolist())
+        end = id_rows(np.array([end_id]), np.ones(1))
+        rows = [self.of_plain(distinct.filter(plain)), self.words.ids.take(pa.array(other_rows)), end]
+        # plain words come first among the rows, the end of a text is the last one
+        place = np.empty(len(distinct), dtype=np.int64)
+        place[np.argsort(~plain.to_numpy(zero_copy_only=False), kind="stable")] = np.arange(len(distinct))
+        row = np.insert(place[coded.indices.to_numpy()], bounds[1:], len(distinct))
+        ids, ends = utf8(pa.concat_arrays(rows).take(pa.array(row)))
+        upto = bounds + np.arange(len(bounds))
+        return ids.view("<u4"), np.diff(ends[upto]) // 4
+
+
+def packed_parts(ids: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    """What ``packed`` makes of the ids between every two neighbouring bounds, split into bytes at once."""
+    planes = np.stack([(ids >> bits).astype(np.uint8) for bits in (0, 8, 16, 24)])
+    compress = zstandard.ZstdCompressor(level=1).compress
+    return [compress(planes[:, a:b].ravel()) for a, b in pairwise(bounds.tolist())]
 
 
 @lru_cache(maxsize=1)
@@ -270,8 +332,8 @@ def token_rows(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
         words = words_of(tokenizer_path)
         for batch in cut(batches, size=SLICE_BYTES):
             ids, counts = words.ids(batch.column("text"), end_id)
-            parts = np.split(ids, np.cumsum(counts)[:-1])
-            columns = [batch.column("doc_id"), pa.array(counts), pa.array(map(packed, parts), pa.binary())]
+            parts = packed_parts(ids, np.append(0, np.cumsum(counts)))
+            columns = [batch.column("doc_id"), pa.array(counts), pa.array(parts, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, schema=TOKENS)
 
     return texts(docs).mapInArrow(encode, from_arrow_schema(TOKENS))

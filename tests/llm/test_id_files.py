@@ -99,6 +99,48 @@ def test_what_is_kept_has_a_bound(plain, monkeypatch):
     assert most < 80
 
 
+def test_plain_words_are_cut_together_and_only_their_pieces_are_kept(plain, monkeypatch):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(1)
+    letters = [*"''sstmdrevll", *"aZ09.-}~éÀß"]
+    cut = ["".join(rng.choice(letters, rng.integers(1, 9))) for _ in range(20_000)]
+    cut += ["'", "'r", "x'", "'s't", "''s"]
+    lower = [w.lower() for w in cut]
+    pieces, bounds = id_files.cut_words(pa.array(lower).slice(3))
+    pieces = pieces.to_pylist()
+    own = [pieces[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    assert own == [id_files.PIECES.findall(w) for w in lower[3:]]
+    none, ends = id_files.cut_words(pa.array([], pa.string()))
+    assert (len(none), ends.tolist()) == (0, [0])
+
+    words, met = id_files.Words(JSON), []
+    learn = words.pieces.learn
+    monkeypatch.setattr(words.pieces, "learn", lambda new: [met.extend(new), learn(new)][1])
+    held = len(words.words)
+    for k in range(0, len(cut), 1000):
+        texts = [" ".join(cut[k : k + 1000]), " ".join(reversed(cut[: k + 500]))]
+        ids, counts = words.ids(pa.array(texts), 1)
+        assert [p.tolist() for p in np.split(ids, np.cumsum(counts)[:-1])] == [plain(t) for t in texts]
+    assert len(met) == len(set(met)) and len(words.words) == held == 0
+
+
+def test_a_piece_that_the_tokenizer_leaves_out_is_no_silent_shift():
+    table = id_files.Table(lambda new: (np.zeros(1, dtype=np.uint32), np.ones(1)))
+    with pytest.raises(ValueError):
+        table.rows(["a", "b"])
+    assert (len(table), table.row) == (0, {})
+
+
+def test_packed_parts_are_those_of_each_document():
+    from lanehouse.llm.frames import packed, unpacked
+
+    numbers = np.array([0, 255, 256, 70_000, (1 << 32) - 1, 1, 1], dtype=np.uint32)
+    parts = id_files.packed_parts(numbers, np.array([0, 2, 2, 7]))
+    assert parts == [packed(numbers[:2]), packed(numbers[:0]), packed(numbers[2:])]
+    assert [unpacked(p).tolist() for p in parts] == [[0, 255], [], numbers[2:].tolist()]
+
+
 def test_a_tokenizer_that_keeps_white_space_is_refused():
     with pytest.raises(ValueError):
         id_files.Words(tokenizer("byte_bpe_50k.json"))
